@@ -145,7 +145,7 @@ def evaluate_rules(
             tag_terms(samples, mine)
             .groupBy("rule", "series", grid_window(range_s, step_s).alias("_w"))
             .agg(F.max("value").alias("value"))
-            .select("rule", "series", grid_time(range_s).alias("t"), "value")
+            .select("rule", "series", grid_time().alias("t"), "value")
         )
         out.append(peak if end is None else peak.where(F.col("t") <= end))
     return condition_holds(reduce(DataFrame.unionByName, out), rules)

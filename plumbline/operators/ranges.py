@@ -146,9 +146,12 @@ def grid_window(range_s: int, step_s: int, ts: str = "ts") -> Column:
     )
 
 
-def grid_time(range_s: int, window: str = "_w") -> Column:
-    """Evaluation time of a window from ``grid_window``."""
-    return F.timestamp_micros(F.unix_micros(F.col(f"{window}.start")) + F.lit(range_s * MICROS))
+def grid_time(window: str = "_w") -> Column:
+    """Evaluation time of a window from ``grid_window``: its last microsecond.
+
+    Also carries the watermark of a streaming frame on to the next operator.
+    """
+    return F.window_time(window)
 
 
 def over_time_grid(
@@ -169,7 +172,7 @@ def over_time_grid(
     return (
         samples.groupBy(*keys, grid_window(range_s, step_s).alias("_w"))
         .agg(_OVER_TIME[how]("value").alias("value"))
-        .select(*keys, grid_time(range_s).alias("t"), "value")
+        .select(*keys, grid_time().alias("t"), "value")
     )
 
 
@@ -284,7 +287,7 @@ def increase_grid(
         )
         .select(
             *keys,
-            grid_time(range_s).alias("t"),
+            grid_time().alias("t"),
             "_n",
             "_sum",
             "_t0",
