@@ -8,6 +8,7 @@ counts, and only the rows under that one prefix are ranked.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -54,57 +55,58 @@ def require_unique(df: DataFrame, key: str | Sequence[str]) -> None:
         raise DataError(f"key {names} is not unique or has nulls, e.g. {shown}")
 
 
-def check_stratify(df: DataFrame, target: str | None, test_size: float) -> None:
-    """Raise the errors of a split that cannot be made; one small aggregate job."""
+def class_counts(df: DataFrame, target: str | None, test_size: float) -> list[tuple]:
+    """``(class, rows)`` in class order, or the error of a split that cannot be made.
+
+    One aggregate job; what reaches the driver is one row per class, and more classes than
+    ``MAX_CLASSES`` are refused.  Without a target everything is one class.
+    """
     if not 0.0 < test_size < 1.0:
         raise DataError(f"cannot stratify: test_size must be inside (0, 1), got {test_size}")
-    grouped = df.groupBy(target) if target else df.groupBy(F.lit(0).alias("_all"))
-    rows = grouped.agg(F.count(F.lit(1)).alias("n")).limit(MAX_CLASSES + 1).collect()
-    total = sum(r["n"] for r in rows)
-    if target and any(r[target] is None for r in rows):
+    cls = F.col(target) if target else F.lit(0)
+    rows = (
+        df.groupBy(cls.alias(_CLASS))
+        .agg(F.count(F.lit(1)).alias("n"))
+        .limit(MAX_CLASSES + 1)
+        .collect()
+    )
+    counts = [(r[_CLASS], r["n"]) for r in rows]
+    if any(c is None for c, _ in counts):
         raise DataError(f"cannot stratify: target {target!r} has nulls")
-    if len(rows) > MAX_CLASSES:
+    if len(counts) > MAX_CLASSES:
         raise DataError(f"cannot stratify: more than {MAX_CLASSES} classes in {target!r}")
-    n_test = -int(-(test_size * total) // 1)
+    total = sum(n for _, n in counts)
+    n_test = math.ceil(test_size * total)
     if total < 2 or n_test < 1 or n_test >= total:
         raise DataError(f"cannot stratify: {total} rows leave one side empty")
     if target:
-        small = [r[target] for r in rows if r["n"] < 2]
+        small = [c for c, n in counts if n < 2]
         if small:
             raise DataError(f"cannot stratify: class(es) {small} have fewer than 2 rows")
-        if n_test < len(rows) or total - n_test < len(rows):
+        if n_test < len(counts) or total - n_test < len(counts):
             raise DataError("cannot stratify: fewer rows on one side than classes")
+    return sorted(counts)
 
 
-def _quotas(prefix_counts: DataFrame, test_size: float) -> DataFrame:
-    """Held-out rows per class: floor of the share, then largest remainders.
+def quotas(counts: Sequence[tuple], test_size: float) -> list[tuple]:
+    """``(class, held-out rows)``: floor of each share, then largest remainders.
 
-    Works on one row per class.  Whole-number arithmetic, so no share is misrounded.
+    Equal remainders go to the smaller class.  Whole numbers, so no share is misrounded.
     """
-    everything = Window.partitionBy()
-    whole = lambda c: c.cast("decimal(19,0)")
-    classes = prefix_counts.groupBy(_CLASS).agg(F.sum("_n").alias("_nc"))
-    product = whole(F.col("_want")) * whole(F.col("_nc"))
-    ranked = (
-        classes.withColumn("_all", F.sum("_nc").over(everything))
-        .withColumn("_want", F.ceil(F.lit(float(test_size)) * F.col("_all")))
-        .withColumn("_base", F.call_function("div", product, whole(F.col("_all"))))
-        .withColumn("_rest", product % whole(F.col("_all")))
-        .withColumn("_spare", F.col("_want") - F.sum("_base").over(everything))
-        .withColumn(
-            "_seat", F.row_number().over(Window.orderBy(F.col("_rest").desc(), F.col(_CLASS).asc()))
-        )
-    )
-    extra = F.when(F.col("_seat") <= F.col("_spare"), 1).otherwise(0)
-    return ranked.select(_CLASS, (F.col("_base") + extra).alias("_quota"))
+    total = sum(n for _, n in counts)
+    n_test = math.ceil(test_size * total)
+    shares = [(c, *divmod(n_test * n, total)) for c, n in counts]
+    spare = n_test - sum(base for _, base, _ in shares)
+    favoured = {c for c, _, _ in sorted(shares, key=lambda s: (-s[2], s[0]))[:spare]}
+    return [(c, base + (c in favoured)) for c, base, _ in shares]
 
 
-def _cutoffs(tagged: DataFrame, test_size: float) -> DataFrame:
+def _cutoffs(tagged: DataFrame, quota: DataFrame) -> DataFrame:
     """The last held-out hash of each class, one row per class."""
     counts = tagged.groupBy(_CLASS, _PREFIX).agg(F.count(F.lit(1)).alias("_n"))
     running = Window.partitionBy(_CLASS).orderBy(_PREFIX)
     edge = (
-        counts.join(F.broadcast(_quotas(counts, test_size)), _CLASS)
+        counts.join(F.broadcast(quota), _CLASS)
         .withColumn("_upto", F.sum("_n").over(running))
         .where("_upto >= _quota and _upto - _n < _quota")
         .select(_CLASS, _PREFIX, (F.col("_quota") - (F.col("_upto") - F.col("_n"))).alias("_take"))
@@ -142,14 +144,18 @@ def stratified_split(
     require_columns(df, [*names, *([target] if target else [])], "split")
     if out in df.columns:
         raise ConfigError(f"column {out!r} already exists")
-    # Always run: it also proves the size of the class table that is broadcast.
-    check_stratify(df, target, test_size)
+    # Also proves the size of the class tables that are broadcast below.
+    counts = class_counts(df, target, test_size)
     if validate:
         require_unique(df, names)
     cls = F.col(target) if target else F.lit(0)
     tagged = df.withColumns({_CLASS: cls, _HASH: hash_order(seed, names)})
     slim = tagged.select(_CLASS, _HASH, F.substring(_HASH, 1, prefix_digits).alias(_PREFIX))
-    cuts = _cutoffs(slim, test_size)
+    kind = slim.schema[_CLASS].dataType.simpleString()
+    quota = df.sparkSession.createDataFrame(
+        quotas(counts, test_size), f"{_CLASS} {kind}, _quota bigint"
+    )
+    cuts = _cutoffs(slim, quota)
     held = F.coalesce(F.col(_HASH) <= F.col("_cut"), F.lit(False))
     return (
         tagged.join(F.broadcast(cuts), _CLASS, "left")

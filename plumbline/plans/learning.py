@@ -21,6 +21,7 @@ from plumbline.operators.forest import (
 )
 from plumbline.operators.columns import require_columns
 from plumbline.operators.split import TEST, TRAIN, random_split, stratified_split
+from plumbline.session import stored
 from plumbline.sources.datasets import write_metrics_json
 from plumbline.sources.ledger import RunLedger
 
@@ -83,10 +84,12 @@ def holdout_run(
 ) -> tuple[Training, DataFrame]:
     """Stratified split, training on one part, scored rows of the other.
 
-    The key is checked once, before the first split.
+    The features are stored before the split scans them, and the split before both sides
+    read it, so neither is computed again; the key is checked once, before the first split.
     """
     settings = settings or ForestSettings()
-    parts = stratified_split(df, target, test_size, settings.seed, key)
+    parts = stratified_split(stored(df, "features"), target, test_size, settings.seed, key)
+    parts = stored(parts, "parts")
     train = parts.where(parts.partition == TRAIN).drop("partition")
     test = parts.where(parts.partition == TEST).drop("partition")
     training = train_and_report(train, target, key, settings, validate_key=False)

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 from plumbline.errors import ConfigError
 
@@ -56,3 +56,14 @@ def shared_dir(spark: SparkSession, purpose: str) -> str:
         context.setCheckpointDir(tempfile.mkdtemp(prefix="plumbline-"))
         root = context.getCheckpointDir()
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+
+
+def stored(df: DataFrame, purpose: str) -> DataFrame:
+    """``df`` written to the shared folder and read back.
+
+    Cuts the lineage: later steps scan the table again instead of computing it again, and
+    a lost executor costs one part of a scan.
+    """
+    path = shared_dir(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

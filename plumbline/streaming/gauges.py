@@ -13,7 +13,7 @@ from plumbline.operators.columns import STAGES, allow_values
 
 log = logging.getLogger(__name__)
 
-# The two gauges of a stage.
+# The two gauges of a stage (a deployment may put a prefix before them).
 DURATION_METRIC = "pipeline_stage_duration_seconds"
 SUCCESS_METRIC = "pipeline_stage_success"
 # End of fixed values.
@@ -37,11 +37,11 @@ def newest_gauges(pushes: DataFrame) -> DataFrame:
     )
 
 
-def gauge_samples(gauges: DataFrame) -> DataFrame:
+def gauge_samples(gauges: DataFrame, prefix: str = "") -> DataFrame:
     """Gauges as metric samples, two per (job, stage)."""
     pair = F.array(
-        F.struct(F.lit(DURATION_METRIC).alias("metric"), F.col("duration_seconds").alias("value")),
-        F.struct(F.lit(SUCCESS_METRIC).alias("metric"), F.col("success").cast("double").alias("value")),
+        F.struct(F.lit(prefix + DURATION_METRIC).alias("metric"), F.col("duration_seconds").alias("value")),
+        F.struct(F.lit(prefix + SUCCESS_METRIC).alias("metric"), F.col("success").cast("double").alias("value")),
     )
     labels = F.create_map(F.lit("job"), F.col("job"), F.lit("stage"), F.col("stage"))
     return gauges.select(labels.alias("labels"), "ts", F.inline(pair)).select(

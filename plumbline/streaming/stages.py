@@ -66,26 +66,27 @@ def stage_status(
     """Outcome of every stage in each job's latest run; a stage not reached is ``not_run``.
 
     ``runs`` is ``(job, run_id, stage, started, outcome)``.  The stage list is a constant,
-    opened per job by a generator, so there is no join and nothing to broadcast.
+    so one aggregate finds every stage and no join with the list is needed.
     """
     newest = (
         latest_group(runs, [job], "run_id", "started")
         .groupBy(job, "run_id")
         .agg(
-            F.map_from_entries(
-                F.collect_set(
-                    F.when(F.col("stage").isin(*domain), F.struct("stage", "outcome"))
-                )
-            ).alias("_seen")
+            *[
+                F.max(F.when(F.col("stage") == s, F.col("outcome"))).alias(f"_{i}")
+                for i, s in enumerate(domain)
+            ]
         )
     )
-    stage = F.explode(F.array(*[F.lit(s) for s in domain]))
-    return newest.select(job, "run_id", "_seen", stage.alias("stage")).select(
-        job,
-        "run_id",
-        "stage",
-        F.coalesce(F.try_element_at("_seen", F.col("stage")), F.lit("not_run")).alias("outcome"),
+    lines = F.array(
+        *[
+            F.struct(
+                F.lit(s).alias("stage"), F.coalesce(F.col(f"_{i}"), F.lit("not_run")).alias("outcome")
+            )
+            for i, s in enumerate(domain)
+        ]
     )
+    return newest.select(job, "run_id", F.inline(lines))
 
 
 class StageTimer(StatefulProcessor):
