@@ -84,17 +84,26 @@ def shared_rows(left: DataFrame, right: DataFrame) -> DataFrame:
 
 
 def row_difference(left: DataFrame, right: DataFrame) -> DataFrame:
-    """Rows of the bag difference in both directions, with the side they come from."""
+    """Rows one side holds more often than the other: the row, the side, and how many more.
+
+    One aggregation with map-side combining serves both directions.
+    """
     cols = left.columns
-    right = right.select(*cols)
+    sign = lambda df, n: df.select(*cols).withColumn("_sign", F.lit(n))
     return (
-        left.exceptAll(right)
-        .withColumn("side", F.lit("left"))
-        .unionByName(right.exceptAll(left).withColumn("side", F.lit("right")))
+        sign(left, 1)
+        .unionByName(sign(right, -1))
+        .groupBy(*[F.col(f"`{c}`") for c in cols])
+        .agg(F.sum("_sign").alias("_more"))
+        .where("_more <> 0")
+        .withColumn("side", F.when(F.col("_more") > 0, "left").otherwise("right"))
+        .withColumn("times", F.abs("_more"))
+        .drop("_more")
     )
 
 
 def same_rows(left: DataFrame, right: DataFrame) -> bool:
+    """Whether both hold the same bag of rows."""
     return row_difference(left, right).isEmpty()
 
 

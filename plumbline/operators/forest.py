@@ -68,7 +68,7 @@ class ForestSettings:
     max_depth: int | None = 5
     seed: int = 42
     partitions: int | None = None
-    parallelism: int = 4
+    parallelism: int = 8
     leaf_sizes: Sequence[int] = LEAF_SIZES
     least_gains: Sequence[float] = LEAST_GAINS
     folds: int = FOLDS

@@ -351,8 +351,8 @@ def orphans(spark, sf):
 
 @query("""WITH a AS (SELECT p_brand, p_type FROM part WHERE p_size <= 25),
     b AS (SELECT p_brand, p_type FROM part WHERE p_size > 20)
-    SELECT p_brand, p_type, 'left' AS side FROM (SELECT * FROM a EXCEPT ALL SELECT * FROM b)
-    UNION ALL SELECT p_brand, p_type, 'right' FROM (SELECT * FROM b EXCEPT ALL SELECT * FROM a)""")
+    SELECT p_brand, p_type, 'left' AS side, count(*) AS times FROM (SELECT * FROM a EXCEPT ALL SELECT * FROM b) GROUP BY ALL
+    UNION ALL SELECT p_brand, p_type, 'right', count(*) FROM (SELECT * FROM b EXCEPT ALL SELECT * FROM a) GROUP BY ALL""")
 def row_difference(spark, sf):
     part = table(spark, sf, "part")
     pick = lambda cond: part.where(cond).select("p_brand", "p_type")
@@ -512,10 +512,10 @@ def malformed_rows(spark, sf):
         spark, path, "o_orderkey bigint, o_orderstatus string", malformed="keep"
     )
     good, bad = datasets.split_malformed(marked)
-    tagged = good.select(F.lit(1).alias("g")).unionByName(bad.select(F.lit(0).alias("g")))
-    return tagged.agg(
-        F.count(F.when(F.col("g") == 1, 1)).alias("good_rows"),
-        F.count(F.when(F.col("g") == 0, 1)).alias("malformed_lines"),
+    tag = lambda df, g: df.select("o_orderkey", F.lit(g).alias("good"))
+    return tag(good, True).unionByName(tag(bad, False)).agg(
+        F.count(F.when(F.col("good"), F.col("o_orderkey"))).alias("good_rows"),
+        F.count(F.when(~F.col("good"), F.col("o_orderkey"))).alias("malformed_lines"),
     )
 
 

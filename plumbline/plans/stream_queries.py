@@ -1,0 +1,82 @@
+"""The streaming operators over the events as a file stream.
+
+A stream gives results up to its watermark, so the queries and their SQL look at times
+before ``SETTLED``.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from plumbline.operators import ranges
+from plumbline.plans import metric_queries as mq
+from plumbline.plans.registry import query
+from plumbline.plans.tables import event_samples
+from plumbline.session import shared_dir
+from plumbline.streaming.alerts import stream_alert_transitions
+from plumbline.streaming.gauges import GaugeTable
+from plumbline.streaming.jobs import drain, drain_batches
+from plumbline.streaming.stages import stream_stage_runs
+from plumbline.streaming.windows import tumbling
+
+SETTLED = "2024-01-30 00:00:00"
+EVENT_SCHEMA = (
+    "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
+)
+
+
+def _events(spark, sf):
+    return spark.readStream.schema(EVENT_SCHEMA).option("pathGlobFilter", "events.parquet").parquet(sf)
+
+
+def _settled(df, column):
+    return df.where(F.col(column) <= F.lit(SETTLED).cast("timestamp"))
+
+
+@query(f"""SELECT time_bucket(INTERVAL 1 HOUR, ts) AS starts, event_type AS metric, count(*) AS n, max(value) AS largest
+    FROM events WHERE time_bucket(INTERVAL 1 HOUR, ts) <= TIMESTAMP '{SETTLED}' GROUP BY ALL""")
+def stream_tumbling(spark, sf):
+    counts = tumbling(event_samples(_events(spark, sf)), 3600, ["metric"], delay="1 hour")
+    return mq._no_zone(_settled(drain(counts, shared_dir(spark, "tumbling")), "starts"))
+
+
+@query(f"""WITH {mq._GRID} SELECT event_type AS metric, t, max(value) AS value FROM events
+    JOIN g ON ts <= t AND ts >= t - INTERVAL 6 HOUR WHERE t <= TIMESTAMP '{SETTLED}' GROUP BY ALL""")
+def stream_sliding_max(spark, sf):
+    seen = event_samples(_events(spark, sf)).withWatermark("ts", "1 hour")
+    peaks = ranges.over_time_grid(seen, mq.LOOKBACK, mq.HOUR, "max", keys=["metric"])
+    return mq._no_zone(_settled(drain(peaks, shared_dir(spark, "sliding")), "t"))
+
+
+@query(f"""WITH {mq._TRANSITIONS} SELECT rule, series, since, state, at_time FROM moves
+    WHERE at_time <= TIMESTAMP '{SETTLED}'""")
+def stream_alerts_equal_batch(spark, sf):
+    moves = stream_alert_transitions(
+        event_samples(_events(spark, sf)),
+        mq.RULES,
+        step_s=mq.HOUR,
+        lookback_s=mq.LOOKBACK,
+        delay="1 hour",
+    )
+    rows = drain(moves, shared_dir(spark, "alerts"))
+    return mq._no_zone(_settled(rows, "at").withColumnRenamed("at", "at_time"))
+
+
+@query(f"""WITH {mq._GAUGES} SELECT job, stage, duration_seconds, CAST(success AS INTEGER) AS success, ts FROM last
+    WHERE stage <> 'deploy'""")
+def stream_gauges(spark, sf):
+    """Gauges kept by a sink; a stage outside the list is refused."""
+    root = shared_dir(spark, "gauges")
+    gauges = GaugeTable(spark, f"{root}/table")
+    drain_batches(mq.gauge_pushes(_events(spark, sf)), root, gauges.sink())
+    return mq._no_zone(gauges.read())
+
+
+@query(f"""WITH {mq._STAGE_EVENTS} SELECT run_id, stage, started, round(duration_seconds, 6) AS duration_seconds, outcome
+    FROM runs WHERE started <= TIMESTAMP '2024-01-28 00:00:00'""")
+def stream_stage_durations(spark, sf):
+    runs = stream_stage_runs(
+        mq.stage_events(_events(spark, sf)).drop("job"), timeout_s=25 * 3600, delay="1 hour"
+    )
+    rows = drain(runs, shared_dir(spark, "stages")).where("started <= '2024-01-28 00:00:00'")
+    return mq._no_zone(rows.withColumn("duration_seconds", F.round("duration_seconds", 6)))

@@ -67,6 +67,8 @@ def read_dataset(
         spark.read.option("header", True)
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", CORRUPT)
+        # A pruned read parses only the wanted fields and misses surplus ones.
+        .option("columnPruning", False)
         .schema(marked)
         .csv(path)
     )

@@ -30,33 +30,32 @@ STAGE_RUN = "run_id string, stage string, started timestamp, duration_seconds do
 def stage_runs(events: DataFrame) -> DataFrame:
     """``(run_id, stage, started, duration_seconds, outcome)``, one row per run and stage.
 
-    The first start and the first end count, so a failure that is reported twice is
-    recorded once.
+    The first start counts, and the first end or interruption after it, so a failure that
+    is reported twice is recorded once; at the same time an end comes before an
+    interruption.  Starts are reduced to one row per key before they meet the events again,
+    and both aggregations combine on the map side, so a run that reports without end is no
+    hot group.
     """
-    at = lambda kind: F.when(F.col("kind") == kind, F.col("ts"))
-    first_end = F.min_by(F.col("ok"), at("end"))
-    seconds = (F.unix_micros("ended") - F.unix_micros("started")) / F.lit(1e6)
-    broken = F.col("interrupted") & (F.col("ended").isNull() | (F.col("broke") < F.col("ended")))
-    return (
-        events.groupBy("run_id", "stage")
-        .agg(
-            F.min(at("start")).alias("started"),
-            F.min(at("end")).alias("ended"),
-            first_end.alias("ok"),
-            F.min(at("interrupt")).alias("broke"),
-            F.bool_or(F.col("kind") == "interrupt").alias("interrupted"),
-        )
-        .where("started is not null")
-        .select(
-            "run_id",
-            "stage",
-            "started",
-            F.when(~broken & F.col("ended").isNotNull(), seconds).alias("duration_seconds"),
-            F.when(broken | F.col("ended").isNull(), "interrupted")
-            .when(F.col("ok"), "success")
-            .otherwise("failure")
-            .alias("outcome"),
-        )
+    keys = ["run_id", "stage"]
+    begun = events.where("kind = 'start'").groupBy(*keys).agg(F.min("ts").alias("started"))
+    order = F.struct("ts", (F.col("kind") == "interrupt").alias("late"), "ok")
+    closed = (
+        events.where("kind <> 'start'")
+        .join(begun, keys)
+        .where("ts >= started")
+        .groupBy(*keys)
+        .agg(F.min_by(F.struct("kind", "ok", "ts"), order).alias("close"))
+    )
+    ended = F.coalesce(F.col("close.kind") == "end", F.lit(False))
+    seconds = (F.unix_micros("close.ts") - F.unix_micros("started")) / F.lit(1e6)
+    return begun.join(closed, keys, "left").select(
+        *keys,
+        "started",
+        F.when(ended, seconds).alias("duration_seconds"),
+        F.when(~ended, "interrupted")
+        .when(F.col("close.ok"), "success")
+        .otherwise("failure")
+        .alias("outcome"),
     )
 
 
@@ -109,8 +108,9 @@ class StageTimer(StatefulProcessor):
         for batch in rows:
             us = batch["ts"].astype("datetime64[us]").astype("int64")
             events += zip(us.tolist(), batch["kind"], batch["ok"], strict=True)
-        # At the same time a start comes before an end.
-        events.sort(key=lambda e: (e[0], e[1] != "start"))
+        # At the same time a start comes before an end, and that before an interruption.
+        place = {"start": 0, "end": 1, "interrupt": 2}
+        events.sort(key=lambda e: (e[0], place[e[1]], bool(e[2])))
         start, done = tuple(self.start.get()) if self.start.exists() else (None, False)
         known = start is not None
         outcome = seconds = None
