@@ -101,7 +101,7 @@ def series_key(labels: Column | str = "labels") -> Column:
     """
     m = F.col(labels) if isinstance(labels, str) else labels
     kept = F.map_filter(m, lambda _, v: v != "")
-    return F.to_json(F.map_from_entries(F.array_sort(F.map_entries(kept))))
+    return F.to_json(F.map_from_entries(F.sort_array(F.map_entries(kept))))
 
 
 def labels_from_key(key: Column | str) -> Column:

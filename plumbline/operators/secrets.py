@@ -18,6 +18,7 @@ PLACEHOLDER_START = "replace_with|changeme|<.*>|placeholder|example|dummy|xxx+|\
 # End of fixed values.
 
 # name = "value", where the name holds a credential word.
+_QUOTED = '=[ \\t]*"[^"]'
 _LITERAL = f'(?i)([A-Za-z0-9_-]*(?:{CREDENTIAL_NAME})[A-Za-z0-9_-]*)[ \\t]*=[ \\t]*"([^"]+)"'
 
 
@@ -48,8 +49,9 @@ def credential_literals(df: DataFrame, key: str, text: str) -> DataFrame:
     spans = F.explode(F.regexp_extract_all(F.col(text), F.lit(_LITERAL), F.lit(0)))
     value = F.trim(F.regexp_extract("_span", _LITERAL, 2))
     return (
-        # Cheap test first, so that only suspicious texts are cut into matches.
-        df.where(F.col(text).rlike(_LITERAL))
+        # Every literal holds an equals sign before a quote.  That test is many times cheaper
+        # than the full pattern, and few texts pass it.
+        df.where(F.col(text).rlike(_QUOTED))
         .select(F.col(key), spans.alias("_span"))
         .where((value != "") & ~value.rlike(f"(?i)^(?:{PLACEHOLDER_START})"))
         .select(

@@ -6,6 +6,7 @@ The samples are the events: the type is the metric, the user its label.  There a
 
 from __future__ import annotations
 
+import json
 from dataclasses import replace
 
 from pyspark.sql import Window
@@ -410,81 +411,90 @@ def standing_rule_pack(spark, sf):
     )
 
 
+_CLAIM = {"persistentvolumeclaim": "data-mlflow-postgres-0"}
+_ROOT_DISK = {"mountpoint": "/", "fstype": "ext4"}
+# Event type -> samples made from it: metric, how its value is made, further labels.
+_CLUSTER = {
+    "error": [
+        ("kube_job_failed", "bit", {"condition": "true"}),
+        ("kube_pod_container_status_terminated_reason", "bit", {"reason": "OOMKilled"}),
+        ("kube_pod_container_status_waiting_reason", "bit", {"reason": "CrashLoopBackOff"}),
+        ("kube_job_status_failed", "bit", {}),
+    ],
+    "view": [
+        ("container_memory_working_set_bytes", "value", {}),
+        ("kubelet_volume_stats_used_bytes", "value", _CLAIM),
+        ("probe_success", "not bit", {"job": "blackbox-mlflow-health"}),
+        ("node_memory_MemAvailable_bytes", "value", {}),
+        ("node_filesystem_avail_bytes", "value", _ROOT_DISK),
+    ],
+    "click": [
+        ("kube_pod_container_resource_limits", "value", {"resource": "memory"}),
+        ("kubelet_volume_stats_capacity_bytes", "value", _CLAIM),
+        ("pg_up", "not bit", {}),
+        ("node_memory_MemTotal_bytes", "more", {}),
+        ("node_filesystem_size_bytes", "more", _ROOT_DISK),
+    ],
+    "purchase": [
+        ("kube_job_status_succeeded", "bit", {}),
+        ("kube_job_status_start_time", "start", {}),
+        ("kube_job_status_completion_time", "end", {}),
+        ("node_cpu_seconds_total", "value", {"mode": "idle", "cpu": "0"}),
+        ("kube_node_status_condition", "bit", {"condition": "Ready", "status": "true"}),
+    ],
+    "signup": [
+        ("kube_job_status_active", "bit", {}),
+        ("kube_deployment_status_replicas_available", "value", {}),
+        ("kube_deployment_status_replicas_unavailable", "bit", {}),
+        ("kube_pod_status_phase", "bit", {"phase": "Pending"}),
+        ("kube_pod_container_status_restarts_total", "value", {}),
+    ],
+}
+
+
 def _cluster_samples(spark, sf):
     """Events renamed to the cluster metrics of the panels and rules, one pod per user.
 
     Errors are failed jobs, killed and crashing containers; views and clicks are memory,
     volume and health samples.
     """
-    pod = F.concat(
-        F.when(F.col("event_type").isin("view", "click"), "mlflow-").otherwise("nightly-"),
-        F.col("user_id").cast("string"),
-    )
-    base = {
-        "namespace": F.lit("prod"),
-        "pod": pod,
-        "container": F.lit("main"),
-        "job_name": F.lit("nightly"),
-        "deployment": pod,
-        "instance": F.concat(F.lit("node-"), F.substring(F.col("user_id").cast("string"), -1, 1)),
-    }
 
-    def sample(metric, value, **extra):
-        named = {**base, **{k: F.lit(v) for k, v in extra.items()}}
-        flat = [x for k, v in named.items() for x in (F.lit(k), v)]
-        return F.struct(
-            F.lit(metric).alias("metric"),
-            F.create_map(*flat).alias("labels"),
+    made = {
+        kind: [{"metric": m, "how": how, "extra": extra} for m, how, extra in lines]
+        for kind, lines in _CLUSTER.items()
+    }
+    recipes = F.from_json(
+        F.lit(json.dumps(made)),
+        "map<string, array<struct<metric:string, how:string, extra:map<string,string>>>>",
+    )
+    user = F.col("user_id").cast("string")
+    bit = F.when(F.col("value") > 50, 1.0).otherwise(0.0)
+    second = F.unix_seconds("ts").cast("double")
+    value = (
+        F.when(F.col("how") == "bit", bit)
+        .when(F.col("how") == "not bit", 1.0 - bit)
+        .when(F.col("how") == "more", F.col("value") + 100)
+        .when(F.col("how") == "start", second)
+        .when(F.col("how") == "end", second + F.col("value"))
+        .otherwise(F.col("value"))
+    )
+    server = F.col("event_type").isin("view", "click")
+    base = F.create_map(
+        *[F.lit("namespace"), F.lit("prod"), F.lit("container"), F.lit("main")],
+        *[F.lit("job_name"), F.lit("nightly"), F.lit("pod"), F.col("pod"), F.lit("deployment"), F.col("pod")],
+        *[F.lit("instance"), F.col("instance")],
+    )
+    return (
+        table(spark, sf, "events")
+        .select(
             F.col("ts").cast("timestamp").alias("ts"),
-            value.cast("double").alias("value"),
+            "value",
+            F.concat(F.when(server, "mlflow-").otherwise("nightly-"), user).alias("pod"),
+            F.concat(F.lit("node-"), F.substring(user, -1, 1)).alias("instance"),
+            F.inline(F.try_element_at(recipes, F.col("event_type"))),
         )
-
-    kind, v = F.col("event_type"), F.col("value")
-    bit = F.when(v > 50, 1).otherwise(0)
-    when = lambda t, *s: F.when(kind == t, F.array(*s))
-    made = F.coalesce(
-        when(
-            "error",
-            sample("kube_job_failed", bit, condition="true"),
-            sample("kube_pod_container_status_terminated_reason", bit, reason="OOMKilled"),
-            sample("kube_pod_container_status_waiting_reason", bit, reason="CrashLoopBackOff"),
-            sample("kube_job_status_failed", bit),
-        ),
-        when(
-            "view",
-            sample("container_memory_working_set_bytes", v),
-            sample("kubelet_volume_stats_used_bytes", v, persistentvolumeclaim="data-mlflow-postgres-0"),
-            sample("probe_success", F.lit(1) - bit, job="blackbox-mlflow-health"),
-            sample("node_memory_MemAvailable_bytes", v),
-            sample("node_filesystem_avail_bytes", v, mountpoint="/", fstype="ext4"),
-        ),
-        when(
-            "click",
-            sample("kube_pod_container_resource_limits", v, resource="memory"),
-            sample(
-                "kubelet_volume_stats_capacity_bytes", v, persistentvolumeclaim="data-mlflow-postgres-0"
-            ),
-            sample("pg_up", F.lit(1) - bit),
-            sample("node_memory_MemTotal_bytes", v + 100),
-            sample("node_filesystem_size_bytes", v + 100, mountpoint="/", fstype="ext4"),
-        ),
-        when(
-            "purchase",
-            sample("kube_job_status_succeeded", bit),
-            sample("kube_job_status_start_time", F.unix_seconds(F.col("ts").cast("timestamp"))),
-            sample("kube_job_status_completion_time", F.unix_seconds(F.col("ts").cast("timestamp")) + v),
-            sample("node_cpu_seconds_total", v, mode="idle", cpu="0"),
-            sample("kube_node_status_condition", bit, condition="Ready", status="true"),
-        ),
-        F.array(
-            sample("kube_job_status_active", bit),
-            sample("kube_deployment_status_replicas_available", v),
-            sample("kube_deployment_status_replicas_unavailable", bit),
-            sample("kube_pod_status_phase", bit, phase="Pending"),
-            sample("kube_pod_container_status_restarts_total", v),
-        ),
+        .select("metric", F.map_concat(base, "extra").alias("labels"), "ts", value.alias("value"))
     )
-    return table(spark, sf, "events").select(F.inline(made))
 
 
 @query()

@@ -25,19 +25,19 @@ def event_samples(events: DataFrame) -> DataFrame:
 def document_features(documents: DataFrame, labels: DataFrame) -> DataFrame:
     """Simple numeric features of the labelled documents, keyed by ``doc_id``."""
     text = F.col("text")
-    words = F.regexp_count(text, F.lit(r"\S+"))
+    count = lambda mark: (F.length(text) - F.length(F.replace(text, F.lit(mark)))).cast("double")
     return (
         documents.join(labels.select("doc_id", "quality"), "doc_id")
         .select(
             "doc_id",
             F.length(text).cast("double").alias("chars"),
-            words.cast("double").alias("words"),
-            F.regexp_count(text, F.lit(r"\n")).cast("double").alias("lines"),
-            F.regexp_count(text, F.lit(r"[0-9]")).cast("double").alias("digits"),
-            F.regexp_count(text, F.lit(r"[.,;:!?]")).cast("double").alias("marks"),
-            F.regexp_count(text, F.lit(r"[A-Z]")).cast("double").alias("capitals"),
-            F.coalesce(F.try_divide(F.length(text), words), F.lit(0.0)).alias("word_length"),
+            count(" ").alias("blanks"),
+            count("\n").alias("lines"),
+            count(".").alias("stops"),
+            count(",").alias("commas"),
+            F.regexp_count(text, F.lit("[0-9]")).cast("double").alias("digits"),
             (F.col("lang") == "en").cast("double").alias("is_en"),
             "quality",
         )
+        .withColumn("word_length", F.col("chars") / (F.col("blanks") + F.col("lines") + 1))
     )
