@@ -19,7 +19,7 @@ CORRUPT = "_corrupt_record"
 def _header(spark: SparkSession, path: str) -> list[str]:
     """The first line of the dataset, split into names.  Reads one line only."""
     try:
-        first = spark.read.option("header", False).csv(path).limit(1).collect()
+        first = _reader(spark, False).option("header", False).csv(path).limit(1).collect()
     except AnalysisException as e:
         if e.getCondition() == "PATH_NOT_FOUND":
             raise DataError(f"dataset not found: {path}") from None
@@ -32,6 +32,10 @@ def _header(spark: SparkSession, path: str) -> list[str]:
     return names
 
 
+def _reader(spark: SparkSession, multi_line: bool):
+    return spark.read.option("escape", '"').option("multiLine", multi_line)
+
+
 def read_dataset(
     spark: SparkSession,
     path: str,
@@ -39,8 +43,11 @@ def read_dataset(
     *,
     malformed: str = "error",
     required: Sequence[str] = (),
+    multi_line: bool = False,
 ) -> DataFrame:
-    """A CSV dataset with a header.
+    """A CSV dataset with a header.  Quotes inside a field are doubled.
+
+    ``multi_line`` allows line breaks inside quoted fields; a file is then read by one task.
 
     A missing path, an empty file, a duplicate header and a header that differs from the
     schema raise ``DataError`` at once.  Rows with too many or too few fields, or with
@@ -57,14 +64,15 @@ def read_dataset(
     if missing:
         raise DataError(f"{path}: missing column(s) {missing}; found {names}")
     if schema is None:
-        wanted = spark.read.csv(path, header=True, inferSchema=True).schema
+        wanted = _reader(spark, multi_line).csv(path, header=True, inferSchema=True).schema
     else:
         wanted = T._parse_datatype_string(schema) if isinstance(schema, str) else schema
         if [f.name for f in wanted] != names:
             raise DataError(f"{path}: header {names} does not match columns {wanted.fieldNames()}")
     marked = T.StructType([*wanted.fields, T.StructField(CORRUPT, T.StringType())])
     df = (
-        spark.read.option("header", True)
+        _reader(spark, multi_line)
+        .option("header", True)
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", CORRUPT)
         # A pruned read parses only the wanted fields and misses surplus ones.
@@ -89,24 +97,29 @@ def read_dataset(
 def split_malformed(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     """``(good rows, malformed lines)`` of a frame read with ``malformed="keep"``."""
     require_columns(df, [CORRUPT], "split_malformed")
+    # Spark refuses a query that reads nothing but the malformed text, so the filter also
+    # looks at a parsed field; the comparison is always true.
+    read = F.coalesce(F.col(df.columns[0]).cast("string"), F.lit("")) >= ""
     return (
-        df.where(F.col(CORRUPT).isNull()).drop(CORRUPT),
-        df.where(F.col(CORRUPT).isNotNull()),
+        df.where(F.col(CORRUPT).isNull() & read).drop(CORRUPT),
+        df.where(F.col(CORRUPT).isNotNull() & read),
     )
 
 
 def write_dataset(
     df: DataFrame, path: str, fmt: str = "parquet", *, partition_by: Sequence[str] = ()
 ) -> None:
-    """Write a dataset as part files; Parquet, or CSV with a header.  No index column."""
+    """Write a dataset as part files; Parquet, or CSV with a header.  No index column.
+
+    CSV does not tell an empty text from a null; both read back as null.
+    """
     if fmt not in ("parquet", "csv"):
         raise ConfigError(f"format must be 'parquet' or 'csv', got {fmt!r}")
     out = df.write.mode("overwrite")
     if partition_by:
         out = out.partitionBy(*partition_by)
     if fmt == "csv":
-        # Empty text and null must stay apart, and quotes must survive.
-        out = out.option("header", True).option("emptyValue", '""').option("escape", '"')
+        out = out.option("header", True).option("escape", '"')
     out.format(fmt).save(path)
 
 

@@ -31,7 +31,8 @@ def file_manifest(spark: SparkSession, path: str, pattern: str | None = None) ->
     """Manifest of every file under a path; ``pattern`` is a file-name glob.
 
     Each file is read as one row, so a file must stay below 2 GB; see
-    ``large_file_manifest`` for larger ones.
+    ``large_file_manifest`` for larger ones.  Spark does not plan a read of an empty file,
+    so empty files have no row.
     """
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", True)
     if pattern:
