@@ -70,9 +70,11 @@ class AlertRule:
         return [("part", self.select)] + ([("whole", self.whole)] if self.whole else [])
 
 
-def tag_terms(samples: DataFrame, rules: Sequence[AlertRule]) -> DataFrame:
+def tag_terms(samples: DataFrame, rules: Sequence[AlertRule], *more: str) -> DataFrame:
     """``(rule, side, series, ts, value)``: one row per sample and rule term it satisfies.
 
+    ``more`` names further columns to keep.
+
     The metric names of all rules are filtered first, which reaches the file scan.
     """
     cols = samples.columns
@@ -86,9 +88,13 @@ def tag_terms(samples: DataFrame, rules: Sequence[AlertRule]) -> DataFrame:
     return (
         samples.where(F.col("metric").isin(*{sel.metric for _, _, sel in terms}))
         .select(
-            F.explode(F.array_compact(tags)).alias("_t"), series_key().alias("series"), "ts", "value"
+            F.explode(F.array_compact(tags)).alias("_t"),
+            series_key().alias("series"),
+            "ts",
+            "value",
+            *more,
         )
-        .select("_t.rule", "_t.side", "series", "ts", "value")
+        .select("_t.rule", "_t.side", "series", "ts", "value", *more)
     )
 
 

@@ -132,17 +132,18 @@ def over_time(
     )
 
 
-def grid_window(range_s: int, step_s: int, ts: str = "ts") -> Column:
+def grid_window(range_s: int, step_s: int, ts: str = "ts", tail_us: int = 1) -> Column:
     """The sliding windows ``[t - range, t]`` for every grid time ``t``.
 
     Spark's windows are half-open; one extra microsecond, the resolution of a timestamp,
-    makes them closed.  Works on batch and on streaming frames.
+    makes them closed.  ``tail_us`` is for times of a coarser resolution.  Works on batch
+    and on streaming frames.
     """
     if range_s < step_s:
         raise ConfigError("the range must be at least one step")
     offset = (-range_s) % step_s
     return F.window(
-        ts, f"{range_s * MICROS + 1} microseconds", f"{step_s} seconds", f"{offset} seconds"
+        ts, f"{range_s * MICROS + tail_us} microseconds", f"{step_s} seconds", f"{offset} seconds"
     )
 
 

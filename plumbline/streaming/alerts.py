@@ -8,7 +8,7 @@ from functools import reduce
 
 import pandas as pd
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.types import StructType
@@ -20,7 +20,7 @@ from plumbline.operators.alerting import (
     fold_terms,
     tag_terms,
 )
-from plumbline.operators.ranges import grid_time, grid_window
+from plumbline.operators.ranges import grid_window
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 # Executors need not have this package installed: its task code travels with the plan.
@@ -35,6 +35,21 @@ def use_rocksdb(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
 
 
+# Windows end this long after their evaluation time.  A watermark is whole milliseconds, so
+# a window it has not passed is never late for the operator that follows.
+_TAIL_US = 1000
+
+
+def event_half_seconds(ts: str = "ts") -> Column:
+    """The time as the windows see it: whole seconds stay, all else is half past a second.
+
+    Evaluation times are whole seconds, so no sample changes its side of one.
+    """
+    us = F.unix_micros(ts)
+    second = us - F.pmod(us, F.lit(1_000_000))
+    return F.timestamp_micros(F.when(us == second, us).otherwise(second + 500_000))
+
+
 def stream_rule_values(
     samples: DataFrame,
     rules: Sequence[AlertRule],
@@ -43,35 +58,39 @@ def stream_rule_values(
     lookback_s: int = 300,
     delay: str = "1 minute",
 ) -> DataFrame:
-    """``(rule, series, t, value)`` where a condition holds, once the watermark passes ``t``.
+    """``(rule, series, t, value, due)`` where a condition holds.
 
-    Instant values and folds over series are two sliding aggregates in a row; samples of
-    one hot series meet on the map side.  Samples later than ``delay`` are dropped.
+    A row is given once the watermark passes ``due``, just after ``t``.  Instant values and
+    folds over series are two sliding aggregates in a row; samples of one hot series meet
+    on the map side.  Samples later than ``delay`` are dropped.
     """
-    seen = samples.withWatermark("ts", delay)
+    seen = samples.withColumn("at", event_half_seconds()).withWatermark("at", delay)
     spot = [r for r in rules if r.kind != "range_max"]
     spans = [r for r in rules if r.kind == "range_max"]
     out = []
     if spot:
+        window = grid_window(lookback_s, step_s, "at", _TAIL_US)
         instant = (
-            tag_terms(seen, spot)
-            .groupBy("rule", "side", "series", grid_window(lookback_s, step_s).alias("_w"))
+            tag_terms(seen, spot, "at")
+            .groupBy("rule", "side", "series", window.alias("_w"))
             .agg(F.max_by("value", F.struct("ts", "value")).alias("value"))
         )
-        out.append(
-            fold_terms(instant, spot, [F.col("_w")])
-            .withColumn("series", F.lit(NO_LABELS))
-            .select("rule", "series", grid_time().alias("t"), "value")
-        )
+        out.append(fold_terms(instant, spot, [F.col("_w")]))
     for range_s in sorted({r.range_s for r in spans}):
         mine = [r for r in spans if r.range_s == range_s]
+        window = grid_window(range_s, step_s, "at", _TAIL_US)
         out.append(
-            tag_terms(seen, mine)
-            .groupBy("rule", "series", grid_window(range_s, step_s).alias("_w"))
+            tag_terms(seen, mine, "at")
+            .groupBy("rule", "series", window.alias("_w"))
             .agg(F.max("value").alias("value"))
-            .select("rule", "series", grid_time().alias("t"), "value")
         )
-    return condition_holds(reduce(DataFrame.unionByName, out), rules)
+    due = [
+        df.select("rule", "series", "value", F.window_time("_w").alias("due")) for df in out
+    ]
+    values = reduce(DataFrame.unionByName, due).withColumn(
+        "t", F.timestamp_micros(F.unix_micros("due") - F.lit(_TAIL_US - 1))
+    )
+    return condition_holds(values, rules)
 
 
 class AlertState(StatefulProcessor):
@@ -98,8 +117,8 @@ class AlertState(StatefulProcessor):
         )
 
     def _timer(self, run) -> int:
-        # Just after the next grid time: a row for that time, if there is one, is given in
-        # the same batch and is handled first.
+        # When a row for the next grid time is due.  If there is one, it comes in the same
+        # batch and is handled before the timer.
         return (run[1] + self.step) // 1000 + 1
 
     def _ended(self, run):
