@@ -20,6 +20,7 @@ from plumbline.functions.labels import Selector, labels_from_key, series_key
 from plumbline.functions.scalars import template
 from plumbline.operators.chunks import CHUNK, GHOST, MICROS, carry_last, chunk_width, with_chunks
 from plumbline.operators.ranges import grid_time, grid_window, instant_lookback
+from plumbline.session import stored
 
 NO_LABELS = "{}"
 _COMPARE = {
@@ -173,8 +174,9 @@ def active_since(
     width = chunk_width(step, (chunk_s or 86_400) * MICROS)
     w = Window.partitionBy(*keys, CHUNK).orderBy("_us")
     gap = F.col("_us") - F.lag("_us").over(w)
+    named = held.withColumns({k: F.coalesce(F.col(k), F.lit("")) for k in keys})
     starts = (
-        with_chunks(held.withColumn("_us", F.unix_micros("t")), "_us", width, ahead_us=step)
+        with_chunks(named.withColumn("_us", F.unix_micros("t")), "_us", width, ahead_us=step)
         .withColumn("_start", F.when(gap.isNull() | (gap > step), F.col("_us")))
         .where(~F.col(GHOST))
         .drop(GHOST)
@@ -202,8 +204,14 @@ def alert_timeline(
     end: Column | None = None,
     chunk_s: int | None = None,
 ) -> DataFrame:
-    """``(rule, series, t, value, since, state)``; inactive times have no row."""
-    held = evaluate_rules(samples, rules, step_s=step_s, lookback_s=lookback_s, end=end)
+    """``(rule, series, t, value, since, state)``; inactive times have no row.
+
+    The times at which a condition holds, few next to the samples, are stored once, as the
+    search for the starts reads them twice.
+    """
+    held = stored(
+        evaluate_rules(samples, rules, step_s=step_s, lookback_s=lookback_s, end=end), "held"
+    )
     lasted = F.unix_micros("t") - F.unix_micros("since")
     return active_since(held, step_s, chunk_s=chunk_s).withColumn(
         "state", F.when(lasted >= _durations(rules), "firing").otherwise("pending")

@@ -54,15 +54,22 @@ def carry_last(
 
     The group is cut by ``chunk`` (whose order agrees with ``order``).  Inside a chunk a
     window finds the value; what began in an earlier chunk comes from the chunk summary.
+    The summary reads every column, although it needs few, so that both sides of the join
+    are planned over the same shuffle and Spark runs it once; the keys should be columns
+    without nulls for the same reason.
     """
     inside = Window.partitionBy(*keys, chunk).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
     earlier = Window.partitionBy(*keys).orderBy(chunk).rowsBetween(Window.unboundedPreceding, -1)
     tagged = df.withColumn("_value", value)
     ends = (
         tagged.groupBy(*keys, chunk)
-        .agg(F.max_by("_value", F.when(F.col("_value").isNotNull(), F.col(order))).alias("_end"))
+        .agg(
+            F.max_by("_value", F.when(F.col("_value").isNotNull(), F.col(order))).alias("_end"),
+            F.max(F.hash(*tagged.columns)).alias("_read"),
+        )
+        .where("_read is not null")
         .withColumn("_carried", F.last("_end", ignorenulls=True).over(earlier))
-        .drop("_end")
+        .drop("_end", "_read")
     )
     return (
         tagged.withColumn(out, F.last("_value", ignorenulls=True).over(inside))

@@ -75,31 +75,36 @@ def credential_entries(entries: DataFrame, name: str = "name", value: str = "val
 def walk_strings(df: DataFrame, key: str, document: str, depth: int = 3) -> DataFrame:
     """``(key, path, value)`` for every scalar under a JSON document, its value as text.
 
-    Objects and arrays are opened level by level (array places read ``[0]``).  A document
-    nested deeper than ``depth`` raises, so nothing is left out unseen.
+    Objects and arrays are opened level by level in one pass (array places read ``[0]``); a
+    value that is a scalar already passes the next level unchanged.  A document nested
+    deeper than ``depth`` raises, so nothing is left out unseen.
     """
     tvf = df.sparkSession.tvf
-    level = df.select(
+    container = F.schema_of_variant("_v").rlike("^(OBJECT|ARRAY)<")
+    rows = df.select(
         F.col(key), F.lit("").alias("path"), F.try_parse_json(F.col(document)).alias("_v")
     ).where("_v is not null")
-    found = None
-    for n in range(1, depth + 1):
+    for n in range(depth):
+        # A text, number or null at the top is no entry of a document.
+        rows = rows.where(container) if n == 0 else rows
         dot = F.when(F.col("path") == "", "").otherwise(".")
         step = F.when(F.col("_key").isNull(), F.format_string("[%d]", F.col("_pos"))).otherwise(
             F.concat(dot, F.col("_key"))
         )
-        level = level.lateralJoin(
-            tvf.variant_explode(F.col("_v").outer()).toDF("_pos", "_key", "_inner")
-        ).select(key, F.concat("path", step).alias("path"), F.col("_inner").alias("_v"))
-        nested = F.schema_of_variant("_v").rlike("^(OBJECT|ARRAY)<")
-        text = F.variant_get("_v", "$", "string")
-        if n == depth:
-            deeper = F.raise_error(F.lit(f"document nested deeper than {depth} levels"))
-            leaves = level.select(
-                key, "path", F.when(nested, deeper.cast("string")).otherwise(text).alias("value")
+        rows = (
+            rows.withColumn("_open", container)
+            .withColumn("_inside", F.when(F.col("_open"), F.col("_v")))
+            .lateralJoin(
+                tvf.variant_explode_outer(F.col("_inside").outer()).toDF("_pos", "_key", "_inner")
             )
-        else:
-            leaves = level.where(~nested).select(key, "path", text.alias("value"))
-            level = level.where(nested)
-        found = leaves if found is None else found.unionByName(leaves)
-    return found
+            # An empty object or array has nothing in it.
+            .where(~F.col("_open") | F.col("_pos").isNotNull())
+            .select(
+                key,
+                F.when(F.col("_open"), F.concat("path", step)).otherwise(F.col("path")).alias("path"),
+                F.when(F.col("_open"), F.col("_inner")).otherwise(F.col("_v")).alias("_v"),
+            )
+        )
+    deeper = F.raise_error(F.lit(f"document nested deeper than {depth} levels")).cast("string")
+    text = F.variant_get("_v", "$", "string")
+    return rows.select(key, "path", F.when(container, deeper).otherwise(text).alias("value"))

@@ -19,7 +19,7 @@ from plumbline.operators.columns import require_columns
 
 TRAIN, TEST = "train", "test"
 # The table of classes is one row per class and is broadcast; this bounds it.
-MAX_CLASSES = 10_000
+MAX_CLASSES = 100_000
 _HASH, _PREFIX, _CLASS = "_hash", "_prefix", "_class"
 
 

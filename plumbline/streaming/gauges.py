@@ -53,8 +53,8 @@ class GaugeTable:
     """A state table with one row per (job, stage), written in numbered versions.
 
     A version is complete before it can be seen, and the same batch writes the same
-    version, so a batch that runs twice changes nothing.  The table is as small as the
-    list of stages; only the pushes grow, and they are reduced before they meet it.
+    version, so a batch that runs twice changes nothing.  Pushes are
+    reduced to one row per (job, stage) before they meet the table.
     """
 
     def __init__(self, spark: SparkSession, root: str | None, stages: Sequence[str] = STAGES):
@@ -77,7 +77,7 @@ class GaugeTable:
         return rows.where(F.col("version") == newest).drop("version").where("stage is not null")
 
     def _write(self, rows: DataFrame, version: int) -> None:
-        rows.coalesce(1).write.mode("overwrite").parquet(f"{self.root}/version={version}")
+        rows.write.mode("overwrite").parquet(f"{self.root}/version={version}")
 
     def upsert(self, pushes: DataFrame, version: int) -> None:
         """Merge pushes into the table.  Unknown stages are refused and logged.
