@@ -129,7 +129,7 @@ def stratified_split(
     key: str | Sequence[str],
     *,
     validate: bool = True,
-    prefix_digits: int = 4,
+    prefix_digits: int | None = None,
     out: str = "partition",
 ) -> DataFrame:
     """``df`` plus a column that says ``train`` or ``test``.
@@ -137,7 +137,8 @@ def stratified_split(
     Exactly ``ceil(test_size * rows)`` rows are held out and classes keep their shares.
     Three passes over (key, target), the last of them a plain projection of all columns:
     neither the rows nor any class is shuffled or sorted.  ``prefix_digits`` hex digits
-    divide each class into ``16**prefix_digits`` parts; one part must fit one task.
+    divide each class into ``16**prefix_digits`` parts.  By default there are about as many
+    parts as rows in a part of the largest class: a million of each for 10**12 rows.
     ``validate=False`` leaves out only the key check, for a key already known to be unique.
     """
     names = _keys(key)
@@ -149,6 +150,8 @@ def stratified_split(
     if validate:
         require_unique(df, names)
     cls = F.col(target) if target else F.lit(0)
+    if prefix_digits is None:
+        prefix_digits = max(1, math.ceil(math.log(max(n for _, n in counts), 16) / 2))
     tagged = df.withColumns({_CLASS: cls, _HASH: hash_order(seed, names)})
     slim = tagged.select(_CLASS, _HASH, F.substring(_HASH, 1, prefix_digits).alias(_PREFIX))
     kind = slim.schema[_CLASS].dataType.simpleString()
