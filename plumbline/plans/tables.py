@@ -26,18 +26,15 @@ def document_features(documents: DataFrame, labels: DataFrame) -> DataFrame:
     """Simple numeric features of the labelled documents, keyed by ``doc_id``."""
     text = F.col("text")
     count = lambda mark: (F.length(text) - F.length(F.replace(text, F.lit(mark)))).cast("double")
-    return (
-        documents.join(labels.select("doc_id", "quality"), "doc_id")
-        .select(
-            "doc_id",
-            F.length(text).cast("double").alias("chars"),
-            count(" ").alias("blanks"),
-            count("\n").alias("lines"),
-            count(".").alias("stops"),
-            count(",").alias("commas"),
-            F.regexp_count(text, F.lit("[0-9]")).cast("double").alias("digits"),
-            (F.col("lang") == "en").cast("double").alias("is_en"),
-            "quality",
-        )
-        .withColumn("word_length", F.col("chars") / (F.col("blanks") + F.col("lines") + 1))
-    )
+    # Features first: a join then shuffles a few numbers per document, not its text.
+    numbers = documents.select(
+        "doc_id",
+        F.length(text).cast("double").alias("chars"),
+        count(" ").alias("blanks"),
+        count("\n").alias("lines"),
+        count(".").alias("stops"),
+        count(",").alias("commas"),
+        F.regexp_count(text, F.lit("[0-9]")).cast("double").alias("digits"),
+        (F.col("lang") == "en").cast("double").alias("is_en"),
+    ).withColumn("word_length", F.col("chars") / (F.col("blanks") + F.col("lines") + 1))
+    return numbers.join(labels.select("doc_id", "quality"), "doc_id")

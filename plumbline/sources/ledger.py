@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping
 
 from pyspark.errors import AnalysisException
@@ -69,6 +70,7 @@ class RunLedger:
         )
 
     def _log(self, run_id, experiment, stage, metrics, params, artifacts, status="FINISHED"):
+        run_id = run_id or uuid.uuid4().hex
         experiment = (experiment or "").strip() or DEFAULT_EXPERIMENT
         numbers = {k: float(v) for k, v in metrics.items()}
         texts = {k: str(v) for k, v in params.items()}
@@ -81,24 +83,27 @@ class RunLedger:
             self.append("run_artifacts", self._pairs(run_id, experiment, artifacts, "string", "text"))
         run = self.spark.createDataFrame([(run_id, experiment, stage, status)], TABLES["runs"])
         self.append("runs", run)
+        return run_id
 
-    def log_evaluation(self, run_id: str, metrics: Mapping, experiment: str | None = None) -> None:
-        """Record the held-out metrics of one evaluation."""
-        self._log(run_id, experiment, "evaluate", metrics, {}, {})
+    def log_evaluation(
+        self, run_id: str | None, metrics: Mapping, experiment: str | None = None
+    ) -> str:
+        """Record the held-out metrics of one evaluation; without a name it is a fresh run."""
+        return self._log(run_id, experiment, "evaluate", metrics, {}, {})
 
     def log_training_run(
         self,
-        run_id: str,
+        run_id: str | None,
         *,
         params: Mapping,
         best_params: Mapping,
         metrics: Mapping,
         artifacts: Mapping[str, str] | None = None,
         experiment: str | None = None,
-    ) -> None:
+    ) -> str:
         """Record one training run; tuned parameters are stored as ``best_<name>``."""
         tuned = {BEST_PREFIX + k: v for k, v in best_params.items()}
-        self._log(run_id, experiment, "train", metrics, {**params, **tuned}, dict(artifacts or {}))
+        return self._log(run_id, experiment, "train", metrics, {**params, **tuned}, dict(artifacts or {}))
 
     def newest_metric(self, name: str) -> DataFrame:
         """Values of one metric over all runs of all experiments."""

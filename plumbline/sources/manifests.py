@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Iterator
 
 import pandas as pd
@@ -11,6 +12,8 @@ from pyspark.sql import functions as F
 from plumbline.errors import DataError
 from plumbline.functions.scalars import digest_equal
 
+log = logging.getLogger(__name__)
+
 # Fixed value: bytes hashed at a time.
 HASH_CHUNK_BYTES = 1024 * 1024
 # End of fixed value.
@@ -131,19 +134,27 @@ def land_dataset(
     *,
     schema: str,
     fmt: str = "csv",
+    strict: bool = False,
 ) -> DataFrame:
     """Read files, check each against its pin, and write the rows of the good ones.
 
-    Rows of files that are ``ok`` or ``unpinned`` go to ``dest``; the verification table is
-    stored in ``<dest>_verified``, also for the files that were refused, and returned.
-    The files are read before they are judged, so a wrong digest never hides a file that
-    cannot be read.
+    Rows of files that are ``ok`` or ``unpinned`` go to ``dest``; unpinned ones are warned
+    about.  The verification table is stored in ``<dest>_verified``, also for the files that
+    were refused, and returned.  ``strict`` raises on a wrong digest instead, after that
+    table is stored and before any row is.  The files are read before they are judged, so a
+    wrong digest never hides a file that cannot be read.
     """
     manifest = file_manifest(spark, source)
     pins = expected if expected is not None else spark.createDataFrame([], "path string, sha256 string")
     checked = f"{dest.rstrip('/')}_verified"
     verify_manifest(manifest, pins).write.mode("overwrite").parquet(checked)
     verified = spark.read.parquet(checked)
+    totals = verified.groupBy("status").agg(F.count(F.lit(1)).alias("n")).collect()
+    log.info("files under %s: %s", source, {r["status"]: r["n"] for r in totals})
+    if any(r["status"] == "unpinned" for r in totals):
+        log.warning("files without a pinned digest under %s", source)
+    if strict:
+        require_verified(verified)
     good = verified.where("status in ('ok', 'unpinned')").select(F.col("path").alias("_path"))
     reader = spark.read.schema(schema).option("recursiveFileLookup", True)
     if fmt == "csv":

@@ -98,6 +98,26 @@ def test_manifest_of_files(spark, tmp_path):
     assert {r["status"] for r in manifests.verify_manifest(frame, none).collect()} == {"unpinned"}
 
 
+def test_landing(spark, tmp_path):
+    source, dest = tmp_path / "in", str(tmp_path / "out")
+    source.mkdir()
+    (source / "good.csv").write_text("a,b\n1,2\n")
+    (source / "bad.csv").write_text("a,b\n3,4\n")
+    (source / "free.csv").write_text("a,b\n5,6\n")
+    files = manifests.file_manifest(spark, str(source))
+    pins = files.where(~F.col("path").contains("free")).select(
+        "path",
+        F.when(F.col("path").contains("bad"), F.md5("path")).otherwise(F.upper("sha256")).alias("sha256"),
+    )
+    verified = manifests.land_dataset(spark, str(source), dest, pins, schema=SCHEMA)
+    status = {r["path"].rsplit("/", 1)[1]: r["status"] for r in verified.collect()}
+    assert status == {"good.csv": "ok", "bad.csv": "mismatch", "free.csv": "unpinned"}
+    assert {r["a"] for r in spark.read.parquet(dest).collect()} == {1, 5}
+    with pytest.raises(DataError, match="mismatch"):
+        manifests.land_dataset(spark, str(source), str(tmp_path / "x"), pins, schema=SCHEMA, strict=True)
+    assert not (tmp_path / "x").exists() and (tmp_path / "x_verified").exists()
+
+
 def test_ledger(spark, tmp_path):
     ledger = RunLedger(spark, str(tmp_path / "ledger"))
     assert ledger.read("runs").isEmpty()
@@ -112,6 +132,7 @@ def test_ledger(spark, tmp_path):
     }
     assert {(r["name"], r["value"]) for r in ledger.read("run_params").collect()} == {("seed", "1"), ("best_min_leaf", "2")}
     assert ledger.read("run_metrics").count() == 2
+    assert ledger.log_evaluation(None, {}) != ledger.log_evaluation(None, {})
     with pytest.raises(ConfigError):
         ledger.read("nothing")
 
