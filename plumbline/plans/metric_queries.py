@@ -395,22 +395,6 @@ def firing_alerts(spark, sf):
     )
 
 
-@query()
-def standing_rule_pack(spark, sf):
-    """The eight standing rules over samples that the events stand in for."""
-    # The events are hours apart, so the grid is hourly and no range is shorter than a step.
-    rules = [
-        replace(r, range_s=max(r.range_s, HOUR))
-        for r in standing_rules(namespace="prod", job="nightly", watched_namespaces="prod|watch")
-    ]
-    return _no_zone(
-        alerting.alert_transitions(
-            alerting.alert_timeline(_cluster_samples(spark, sf), rules, step_s=HOUR, lookback_s=LOOKBACK),
-            HOUR,
-        )
-    )
-
-
 _CLAIM = {"persistentvolumeclaim": "data-mlflow-postgres-0"}
 _ROOT_DISK = {"mountpoint": "/", "fstype": "ext4"}
 # Event type -> samples made from it: metric, how its value is made, further labels.
@@ -497,13 +481,115 @@ def _cluster_samples(spark, sf):
     )
 
 
-@query()
+PANEL_TIME = "2024-01-20 00:00:00"
+_RECIPE_SQL = ", ".join(
+    f"('{kind}', '{metric}', '{how}')" for kind, lines in _CLUSTER.items() for metric, how, _ in lines
+)
+# Every metric comes from one event type, so a series is a metric and a user.
+_NEWEST_SQL = f"""recipe(kind, metric, how) AS (VALUES {_RECIPE_SQL}),
+    made AS (SELECT metric, user_id, ts, CASE how WHEN 'bit' THEN CAST(value > 50 AS DOUBLE)
+        WHEN 'not bit' THEN 1.0 - CAST(value > 50 AS DOUBLE) WHEN 'more' THEN value + 100
+        WHEN 'start' THEN CAST(floor(epoch_us(ts) / 1e6) AS DOUBLE)
+        WHEN 'end' THEN CAST(floor(epoch_us(ts) / 1e6) AS DOUBLE) + value ELSE value END AS v
+      FROM events JOIN recipe ON event_type = kind),
+    s AS (SELECT metric, user_id, arg_max(v, ts) AS v FROM made WHERE ts <= TIMESTAMP '{PANEL_TIME}'
+      AND ts >= TIMESTAMP '{PANEL_TIME}' - INTERVAL 5 DAY GROUP BY metric, user_id),
+    t AS (SELECT metric, max(v) AS top, sum(v) AS total, CAST(count(*) AS DOUBLE) AS n FROM s GROUP BY metric),
+    lines AS (SELECT metric, v, '{{"container":"main","deployment":"nightly-' || user_id || '","instance":"node-' ||
+      right(CAST(user_id AS VARCHAR), 1) || '","job_name":"nightly","namespace":"prod","pod":"nightly-' || user_id || '"}}' AS labels
+      FROM s)"""
+_ONE_METRIC = {
+    "nodes ready": ("kube_node_status_condition", "total"),
+    "nodes not ready": ("kube_node_status_condition", "n - total"),
+    "crash looping": ("kube_pod_container_status_waiting_reason", "total"),
+    "failed jobs": ("kube_job_status_failed", "total"),
+    "pods not running": ("kube_pod_status_phase", "total"),
+    "tracker up": ("probe_success", "top"),
+    "database up": ("pg_up", "top"),
+    "last run succeeded": ("kube_job_status_succeeded", "top"),
+    "last run failed": ("kube_job_status_failed", "top"),
+    "last run started": ("kube_job_status_start_time", "top * 1000"),
+    "out of memory": ("kube_pod_container_status_terminated_reason", "total"),
+}
+_TWO_METRICS = {
+    "tracker memory": ("container_memory_working_set_bytes", "kube_pod_container_resource_limits", "100 * a.total / b.total"),
+    "database volume": ("kubelet_volume_stats_used_bytes", "kubelet_volume_stats_capacity_bytes", "100 * a.total / b.total"),
+    "last run seconds": ("kube_job_status_completion_time", "kube_job_status_start_time", "a.top - b.top"),
+}
+_SERIES_PANELS = {
+    "unavailable replicas": ("kube_deployment_status_replicas_unavailable", "v > 0"),
+    "jobs succeeded": ("kube_job_status_succeeded", "true"),
+    "jobs failed": ("kube_job_status_failed", "true"),
+    "jobs active": ("kube_job_status_active", "true"),
+}
+_PANELS_SQL = f"WITH {_NEWEST_SQL} " + " UNION ALL ".join(
+    [
+        f"SELECT '{panel}' AS panel, '{{}}' AS labels, round({value}, 6) AS value FROM t WHERE metric = '{metric}'"
+        for panel, (metric, value) in _ONE_METRIC.items()
+    ]
+    + [
+        f"SELECT '{panel}', '{{}}', round({value}, 6) FROM t a JOIN t b ON a.metric = '{one}' AND b.metric = '{two}'"
+        for panel, (one, two, value) in _TWO_METRICS.items()
+    ]
+    + [
+        f"SELECT '{panel}', labels, v FROM lines WHERE metric = '{metric}' AND {kept}"
+        for panel, (metric, kept) in _SERIES_PANELS.items()
+    ]
+)
+
+
+@query(_PANELS_SQL, headline=True)
 def status_panels(spark, sf):
     """Every instant panel at one time, as (panel, labels, value)."""
     samples = _cluster_samples(spark, sf)
-    at = F.lit("2024-01-20 00:00:00").cast("timestamp")
+    at = F.lit(PANEL_TIME).cast("timestamp")
     panels = instant_panels(namespace="prod", job="nightly")
-    return panel_results(samples, panels, at, lookback_s=5 * 24 * HOUR)
+    found = panel_results(samples, panels, at, lookback_s=5 * 24 * HOUR)
+    return found.withColumn("value", F.round("value", 6))
+
+
+# Rule, its metrics and value per grid time, and its comparison.  Every duration is below the
+# hourly step, so a rule fires at the second grid time of a run.
+_STANDING = [
+    ("PipelineJobFailed", "kube_job_failed", None, "a.top", "= 1"),
+    ("PipelineJobOOMKilled", "kube_pod_container_status_terminated_reason", None, "a.top", "= 1"),
+    ("MLflowDown", "probe_success", None, "a.top", "= 0"),
+    ("MLflowMemoryHigh", "container_memory_working_set_bytes", "kube_pod_container_resource_limits", "100 * a.total / b.total", "> 90"),
+    ("PostgresDown", "pg_up", None, "a.top", "= 0"),
+    ("PostgresPVCAlmostFull", "kubelet_volume_stats_used_bytes", "kubelet_volume_stats_capacity_bytes", "100 * a.total / b.total", "> 85"),
+]
+_STANDING_SQL = f"""WITH {_NEWEST_SQL}, {_GRID},
+    i AS (SELECT metric, user_id, t, arg_max(v, ts) AS v FROM made JOIN g ON ts <= t AND ts >= t - INTERVAL 6 HOUR GROUP BY ALL),
+    x AS (SELECT metric, t, max(v) AS top, sum(v) AS total FROM i GROUP BY metric, t),
+    held AS ({" UNION ALL ".join(
+        f"SELECT '{rule}' AS rule, '{{}}' AS series, a.t FROM x a "
+        + (f"JOIN x b ON b.t = a.t AND b.metric = '{two}' " if two else "")
+        + f"WHERE a.metric = '{one}' AND {value} {test}"
+        for rule, one, two, value, test in _STANDING
+    )} UNION ALL SELECT 'KubePodCrashLooping', '{{"container":"main","deployment":"nightly-' || user_id || '","instance":"node-' ||
+        right(CAST(user_id AS VARCHAR), 1) || '","job_name":"nightly","namespace":"prod","pod":"nightly-' || user_id ||
+        '","reason":"CrashLoopBackOff"}}', t FROM made JOIN g ON ts <= t AND ts >= t - INTERVAL 1 HOUR
+      WHERE metric = 'kube_pod_container_status_waiting_reason' GROUP BY user_id, t HAVING max(v) >= 1),
+    starts AS (SELECT *, CASE WHEN t - lag(t) OVER w <= INTERVAL 1 HOUR THEN 0 ELSE 1 END AS s FROM held
+      WINDOW w AS (PARTITION BY rule, series ORDER BY t)),
+    islands AS (SELECT *, sum(s) OVER (PARTITION BY rule, series ORDER BY t) AS island FROM starts),
+    runs AS (SELECT rule, series, min(t) AS since, max(t) AS last FROM islands GROUP BY rule, series, island)
+    SELECT rule, series, since, 'pending' AS state, since AS at_time FROM runs
+    UNION ALL SELECT rule, series, since, 'firing', since + INTERVAL 1 HOUR FROM runs WHERE last > since
+    UNION ALL SELECT rule, series, since, CASE WHEN last > since THEN 'resolved' ELSE 'inactive' END, last + INTERVAL 1 HOUR FROM runs"""
+
+
+@query(_STANDING_SQL)
+def standing_rule_pack(spark, sf):
+    """The eight standing rules over samples that the events stand in for."""
+    # The events are hours apart, so the grid is hourly and no range is shorter than a step.
+    rules = [
+        replace(r, range_s=max(r.range_s, HOUR))
+        for r in standing_rules(namespace="prod", job="nightly", watched_namespaces="prod|watch")
+    ]
+    samples = _cluster_samples(spark, sf)
+    timeline = alerting.alert_timeline(samples, rules, step_s=HOUR, lookback_s=LOOKBACK)
+    return _no_zone(alerting.alert_transitions(timeline, HOUR).withColumnRenamed("at", "at_time"))
 
 
 @query()
