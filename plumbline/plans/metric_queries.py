@@ -592,12 +592,68 @@ def standing_rule_pack(spark, sf):
     return _no_zone(alerting.alert_transitions(timeline, HOUR).withColumnRenamed("at", "at_time"))
 
 
-@query()
+def _labels_sql(**values) -> str:
+    """A label map as its canonical text; values are SQL texts."""
+    pairs = " || ',' || ".join(f"""'"{k}":"' || {v} || '"'""" for k, v in sorted(values.items()))
+    return f"'{{' || {pairs} || '}}'"
+
+
+_NODE = "'node-' || right(CAST(user_id AS VARCHAR), 1)"
+_SERVER = {
+    "namespace": "'prod'",
+    "container": "'main'",
+    "job_name": "'nightly'",
+    "pod": "'mlflow-' || user_id",
+    "deployment": "'mlflow-' || user_id",
+    "instance": _NODE,
+}
+_DISK = {**_SERVER, "mountpoint": "'/'", "fstype": "'ext4'"}
+_JOB_POD = _labels_sql(namespace="'prod'", pod="'nightly-' || user_id")
+_DEPLOYMENT = _labels_sql(namespace="'prod'", deployment="'nightly-' || user_id")
+_DAY_STRETCH = _STRETCH.replace("259200000000", "86400000000")
+
+
+def _used_sql(panel: str, free: str, whole: str, labels_sql: str) -> str:
+    return f"""SELECT '{panel}', a.t, {labels_sql}, 100 * (1 - a.v / b.v) FROM i a JOIN i b USING (user_id, t)
+      WHERE a.metric = '{free}' AND b.metric = '{whole}'"""
+
+
+def _total_sql(panel: str, metric: str, how: str, labels_sql: str = "'{}'") -> str:
+    return f"SELECT '{panel}', t, {labels_sql}, {how}(v) FROM i WHERE metric = '{metric}' GROUP BY ALL"
+
+
+_TREND_PARTS = [
+    f"SELECT 'node cpu' AS panel, t, {_labels_sql(instance=_NODE)} AS labels, 100 * (1 - avg(grown / 86400.0)) AS value "
+    "FROM c WHERE metric = 'node_cpu_seconds_total' GROUP BY ALL",
+    f"SELECT 'restarts', t, {_JOB_POD}, grown FROM c WHERE metric = 'kube_pod_container_status_restarts_total'",
+    _used_sql("node memory", "node_memory_MemAvailable_bytes", "node_memory_MemTotal_bytes", _labels_sql(**_SERVER)),
+    _used_sql("node disk", "node_filesystem_avail_bytes", "node_filesystem_size_bytes", _labels_sql(**_DISK)),
+    _total_sql("replicas available", "kube_deployment_status_replicas_available", "sum", _DEPLOYMENT),
+    _total_sql("pods by phase", "kube_pod_status_phase", "sum", _labels_sql(phase="'Pending'")),
+    _total_sql("tracker memory bytes", "container_memory_working_set_bytes", "sum"),
+    _total_sql("runs succeeded", "kube_job_status_succeeded", "max"),
+    _total_sql("runs failed", "kube_job_status_failed", "max"),
+]
+_TRENDS_SQL = f"""WITH {_NEWEST_SQL}, {_GRID},
+    i AS (SELECT metric, user_id, t, arg_max(v, ts) AS v FROM made JOIN g ON ts <= t AND ts >= t - INTERVAL 6 HOUR GROUP BY ALL),
+    days AS (SELECT unnest(generate_series(lo, hi, INTERVAL 1 HOUR)) AS t FROM (SELECT
+      date_trunc('hour', min(ts)) AS lo, date_trunc('hour', max(ts)) + INTERVAL 25 HOUR AS hi FROM events)),
+    d AS (SELECT *, epoch_us(ts) AS us, CASE WHEN v < lag(v) OVER w THEN v ELSE v - lag(v) OVER w END AS up FROM made
+      WHERE metric IN ('node_cpu_seconds_total', 'kube_pod_container_status_restarts_total')
+      WINDOW w AS (PARTITION BY metric, user_id ORDER BY ts)),
+    f AS (SELECT metric, user_id, t, count(*) AS n, sum(up) - coalesce(arg_min_null(up, ts), 0) AS raw, arg_min(v, ts) AS v0,
+      min(us) AS t0, max(us) AS t1, epoch_us(t) AS te FROM d JOIN days ON ts <= t AND ts >= t - INTERVAL 1 DAY GROUP BY ALL)
+    {_DAY_STRETCH}, c AS (SELECT metric, user_id, t, raw * ((span + s1 + e0) / span) AS grown FROM z),
+    p(panel, t, labels, value) AS ({" UNION ALL ".join(_TREND_PARTS)})
+    SELECT panel, t, labels, round(value, 6) AS value FROM p"""
+
+
+@query(_TRENDS_SQL)
 def trend_panel_values(spark, sf):
     """Every trend panel on an hourly grid, as (panel, t, labels, value)."""
     panels = trend_panels(namespace="prod", job="nightly")
     values = panel_trends(_cluster_samples(spark, sf), panels, HOUR, LOOKBACK, range_s=24 * HOUR)
-    return _no_zone(values)
+    return _no_zone(values.withColumn("value", F.round("value", 6)))
 
 
 # ---------------------------------------------------------------- stages and runs
