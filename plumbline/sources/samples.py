@@ -41,13 +41,16 @@ def stream_kafka_samples(spark: SparkSession, servers: str, topic: str, **option
     return raw.select(F.from_json(F.col("value").cast("string"), SAMPLE_SCHEMA).alias("s")).select("s.*")
 
 
-def write_samples(samples: DataFrame, path: str, promoted: Sequence[str] = ()) -> None:
+def write_samples(
+    samples: DataFrame, path: str, promoted: Sequence[str] = (), *, spread_over: int = 64
+) -> None:
     """Store samples partitioned by metric and day, with hot labels as plain columns.
 
-    Rows are spread over (metric, day, hash of the labels), so that one large metric is
-    written by many tasks and each series stays together in its file.
+    Rows are spread over (metric, day, hash of labels and hour), so that one large metric,
+    or one large series, is written by up to ``spread_over`` tasks and files a day.
     """
-    spread = F.pmod(F.xxhash64(F.to_json("labels")), F.lit(64))
+    place = F.xxhash64(F.to_json("labels"), F.hour("ts"))
+    spread = F.pmod(place, F.lit(spread_over))
     (
         promote_labels(samples, promoted)
         .withColumn("day", F.to_date("ts"))

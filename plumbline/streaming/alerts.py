@@ -14,7 +14,6 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.types import StructType
 
 from plumbline.operators.alerting import (
-    NO_LABELS,
     AlertRule,
     condition_holds,
     fold_terms,
