@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from plumbline.llm.components import components
+from plumbline.llm.filters import key_filter, spot
 from plumbline.llm.text import WordHashes, blank_words, byte_texts, mixed, shingle_set
 from plumbline.session import stored
 
@@ -28,8 +29,6 @@ from plumbline.session import stored
 BUCKET_BITS = 18
 #: Words of 64 bits in the parity sketch of a set.
 SKETCH = 8
-#: Bits of the filter that tells which documents' sets are needed (1 MB).
-FILTER_BITS = 23
 _KEYS = [f"k{i}" for i in range(SKETCH)]
 
 
@@ -266,31 +265,18 @@ def _verified(docs: DataFrame, pairs: DataFrame, k: int, percent: int) -> DataFr
 
 def _sets_of(docs: DataFrame, needed: DataFrame, k: int) -> DataFrame:
     """Shingle sets of the needed documents and, where the filter cannot tell, of a few more."""
-    spot = F.shiftrightunsigned(F.xxhash64("doc_id"), 64 - FILTER_BITS)
-    parts = needed.groupBy(F.bitmap_bucket_number(spot).alias("bucket")).agg(
-        F.bitmap_construct_agg(F.bitmap_bit_position(spot)).alias("bits")
-    )
-    # At most 257 rows of 4 kB, whatever the input.
-    marks = {int(r["bucket"]): np.frombuffer(bytes(r["bits"]), np.uint8) for r in parts.collect()}
+    marks = key_filter(needed, F.xxhash64("doc_id"))
     shared = docs.sparkSession.sparkContext.broadcast(marks)
 
     def work(batches):
         seen, marked = WordHashes(), shared.value
         for batch in batches:
-            buckets = batch.column(2).to_numpy()
-            places = batch.column(3).to_numpy()
-            keep = [
-                i
-                for i, (b, p) in enumerate(zip(buckets.tolist(), places.tolist(), strict=True))
-                if b in marked and marked[b][p >> 3] >> (p & 7) & 1
-            ]
-            if not keep:
+            keep = np.flatnonzero(marked[batch.column(2).to_numpy()])
+            if not len(keep):
                 continue
             some = batch.take(pa.array(keep))
             sets = [shingle_set(seen.of(blank_words(t)), k).view(np.int64) for t in byte_texts(some.column(1))]
             yield pa.RecordBatch.from_arrays([some.column(0), pa.array(sets, pa.list_(pa.int64()))], ["doc_id", "tokens"])
 
-    rows = docs.where("doc_id is not null").select(
-        "doc_id", "text", F.bitmap_bucket_number(spot).alias("bucket"), F.bitmap_bit_position(spot).alias("place")
-    )
+    rows = docs.where("doc_id is not null").select("doc_id", "text", spot(F.xxhash64("doc_id")))
     return rows.mapInArrow(work, "doc_id long, tokens array<long>")

@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from plumbline.llm.jaccard import shingle_links
+from plumbline.llm.linedup import drop_repeated_chunks
+from plumbline.llm.toxicity import learn_toxicity, not_held_out, with_toxicity
 from plumbline.plans.registry import query
 from plumbline.plans.tables import table
 
@@ -33,3 +37,26 @@ FROM documents d LEFT JOIN c USING (doc_id) LEFT JOIN r ON r.k = c.k LEFT JOIN c
 def op10_ngram_jaccard_join(spark, sf):
     """Documents and their components under links of shingle similarity 0.75 or more."""
     return shingle_links(table(spark, sf, "documents"))
+
+
+@query()
+def op8_line_dedup(spark, sf):
+    """Documents without the passages of 50 words and more that occur earlier."""
+    return drop_repeated_chunks(table(spark, sf, "documents")).select(
+        "doc_id", "text", "n_chunks", "n_removed", "words_removed"
+    )
+
+
+@query()
+def op2_toxicity(spark, sf):
+    """Toxicity of every whole text, with the nearest labelled examples."""
+    docs = table(spark, sf, "documents")
+    model = learn_toxicity(docs, table(spark, sf, "labels"), learn=not_held_out())
+    score = F.col("toxicity.score")
+    return with_toxicity(docs.select("doc_id", "text"), model).select(
+        "doc_id",
+        (~not_held_out()).alias("held_out"),
+        score.alias("score"),
+        (score >= 0.3).cast("int").alias("predicted"),
+        F.col("toxicity.evidence").alias("evidence"),
+    )
