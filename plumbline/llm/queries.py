@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from plumbline.llm.jaccard import shingle_links
+from plumbline.llm.decontaminate import contamination_report
 from plumbline.llm.linedup import drop_repeated_chunks
 from plumbline.llm.toxicity import learn_toxicity, not_held_out, with_toxicity
 from plumbline.plans.registry import query
@@ -60,3 +61,29 @@ def op2_toxicity(spark, sf):
         (score >= 0.3).cast("int").alias("predicted"),
         F.col("toxicity.evidence").alias("evidence"),
     )
+
+
+_CONTAMINATION_SQL = r"""
+WITH dw AS MATERIALIZED (SELECT doc_id, text, regexp_extract_all(translate(coalesce(text, ''),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') ws FROM documents),
+bw AS (SELECT item_id, regexp_extract_all(translate(coalesce(text, ''),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') ws FROM benchmark),
+iw AS MATERIALIZED (SELECT DISTINCT item_id, least(len(ws), 10) n, array_to_string(ws[i:i + least(len(ws), 10) - 1], ' ') g
+       FROM (SELECT item_id, ws, unnest(range(1, greatest(len(ws) - 9, 1) + 1)) i FROM bw WHERE len(ws) > 0)),
+sizes AS (SELECT DISTINCT n FROM iw),
+tw AS (SELECT doc_id, i, n, array_to_string(ws[i:i + n - 1], ' ') g
+       FROM (SELECT doc_id, ws, n, unnest(range(1, len(ws) - n + 2)) i FROM dw, sizes WHERE len(ws) >= n)),
+hit AS MATERIALIZED (SELECT tw.doc_id, tw.i, tw.n, iw.item_id FROM tw JOIN iw ON tw.g = iw.g AND tw.n = iw.n),
+spots AS (SELECT doc_id, count(DISTINCT p) n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) p FROM hit) GROUP BY 1),
+items AS (SELECT doc_id, count(*) n_items, string_agg(k, ',' ORDER BY k) names
+          FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) k FROM hit) GROUP BY 1)
+SELECT doc_id, len(ws) n_words, coalesce(n_hit, 0) n_hit, coalesce(n_items, 0) n_items,
+       sha256(coalesce(names, '')) items_sha256, coalesce(n_hit, 0) > 0 contaminated
+FROM dw LEFT JOIN spots USING (doc_id) LEFT JOIN items USING (doc_id)
+"""
+
+
+@query(_CONTAMINATION_SQL)
+def op3_benchmark_decontamination(spark, sf):
+    """Words and items of the benchmark that occur in each document."""
+    return contamination_report(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
