@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from plumbline.llm.components import components
 from plumbline.llm.filters import key_filter, spot
-from plumbline.llm.text import WordHashes, blank_words, byte_texts, mixed, shingle_set
+from plumbline.llm.text import mixed, shingle_sets
 from plumbline.session import stored
 
 #: Buckets of hashes whose counts order the tokens; the counts are broadcast (2 MB).
@@ -98,7 +98,11 @@ def shingle_links(docs: DataFrame, k: int = 5, percent: int = 75) -> DataFrame:
             .select("a", "b")
         )
     )
-    links = _verified(docs, _plausible(first, classes, percent), k, percent)
+    shared_prefix = lists.groupBy("grp").agg(F.collect_list("token").alias("tokens"))
+    seen = stored(
+        classes.select("rep", "grp", F.col("n_shingles").alias("n"), *_KEYS).join(shared_prefix, "grp", "left"), "seen"
+    )
+    links = _verified(docs, _plausible(first, seen, percent), k, percent)
     known = components(links)
 
     # Step 2: what lies outside a list's main component against the rest of the list.
@@ -136,7 +140,7 @@ def shingle_links(docs: DataFrame, k: int = 5, percent: int = 75) -> DataFrame:
         .select(F.least("a", "rep").alias("a"), F.greatest("a", "rep").alias("b"))
         .distinct()
     )
-    more = _verified(docs, rest, k, percent)
+    more = _verified(docs, _plausible(rest, seen, percent), k, percent)
     found = components(known.select(F.col("node").alias("a"), F.col("component").alias("b")).union(more))
 
     return (
@@ -159,14 +163,10 @@ def _bucket_counts(docs: DataFrame, k: int):
     """How often each bucket of shingle hashes occurs over all documents, as a broadcast array."""
 
     def work(batches):
-        seen, counts = WordHashes(), np.zeros(1 << BUCKET_BITS, np.int64)
+        counts = np.zeros(1 << BUCKET_BITS, np.int64)
         for batch in batches:
-            for text in byte_texts(batch.column(0)):
-                at = _bucket(shingle_set(seen.of(blank_words(text)), k))
-                if len(at) > 5_000:
-                    counts += np.bincount(at, minlength=len(counts))
-                else:
-                    np.add.at(counts, at, 1)
+            for tokens in shingle_sets(batch.column(0), k):
+                np.add.at(counts, _bucket(tokens), 1)
         used = np.flatnonzero(counts)
         yield pa.RecordBatch.from_arrays([pa.array(used.astype(np.int32)), pa.array(counts[used])], ["bucket", "n"])
 
@@ -181,11 +181,10 @@ def _prefixes(docs: DataFrame, k: int, percent: int, order) -> DataFrame:
     """Per document: size, signature, group, parity sketch and the rarest tokens of its set."""
 
     def work(batches):
-        seen, counts = WordHashes(), order.value
+        counts = order.value
         for batch in batches:
             sizes, sigs, groups, sketches, firsts = [], [], [], [], []
-            for text in byte_texts(batch.column(1)):
-                tokens = shingle_set(seen.of(blank_words(text)), k)
+            for tokens in shingle_sets(batch.column(1), k):
                 n = len(tokens)
                 sizes.append(n)
                 if not n:
@@ -228,11 +227,27 @@ def _may_link(n: str, m: str, left: str, right: str, percent: int):
     )
 
 
-def _plausible(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
-    """The distinct pairs of class representatives that size and sketch do not rule out."""
-    one = classes.select(F.col("rep").alias("a"), F.col("n_shingles").alias("a_n"), *[F.col(c).alias(f"a_{c}") for c in _KEYS])
-    two = classes.select(F.col("rep").alias("b"), F.col("n_shingles").alias("b_n"), *[F.col(c).alias(f"b_{c}") for c in _KEYS])
-    return pairs.distinct().join(one, "a").join(two, "b").where(_may_link("a_n", "b_n", "a_", "b_", percent)).select("a", "b")
+def _plausible(pairs: DataFrame, seen: DataFrame, percent: int) -> DataFrame:
+    """The distinct pairs of class representatives that cheap exact bounds do not rule out.
+
+    What two sets share lies in both prefixes or beyond the prefix of one of them, so it is
+    at most the shared prefix tokens and the larger rest.
+    """
+    sides = [
+        seen.select(F.col("rep").alias(x), *[F.col(c).alias(f"{x}_{c}") for c in ["grp", "n", "tokens", *_KEYS]])
+        for x in "ab"
+    ]
+    rest = f"cast(ceil({percent} * greatest(a_n, b_n) / 100.0) as int) - 1"
+    common = "if(a_grp = b_grp, a_n, coalesce(size(array_intersect(a_tokens, b_tokens)), 0))"
+    enough = F.expr(f"{100 + percent}L * ({common} + {rest}) >= {percent}L * (a_n + b_n)")
+    return (
+        pairs.distinct()
+        .join(sides[0], "a")
+        .join(sides[1], "b")
+        .where(_may_link("a_n", "b_n", "a_", "b_", percent))
+        .where(enough)
+        .select("a", "b")
+    )
 
 
 def _open_lists(lists: DataFrame, member: DataFrame, crowd: DataFrame) -> DataFrame:
@@ -254,13 +269,13 @@ def _verified(docs: DataFrame, pairs: DataFrame, k: int, percent: int) -> DataFr
     """The pairs whose whole sets are similar enough."""
     pairs = stored(pairs, "pairs")
     needed = stored(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "needed")
-    sets = stored(_sets_of(docs, needed, k).join(needed, "doc_id", "left_semi").dropDuplicates(["doc_id"]), "sets")
+    sets = stored(_sets_of(docs, needed, k).join(needed, "doc_id", "left_semi"), "sets")
     one = sets.select(F.col("doc_id").alias("a"), F.col("tokens").alias("a_set"))
     two = sets.select(F.col("doc_id").alias("b"), F.col("tokens").alias("b_set"))
     both = pairs.join(one, "a").join(two, "b")
     same = F.size(F.array_intersect("a_set", "b_set"))
     total = F.size("a_set") + F.size("b_set") - same
-    return both.where(100 * same >= percent * total).select("a", "b")
+    return both.where(100 * same >= percent * total).select("a", "b").distinct()
 
 
 def _sets_of(docs: DataFrame, needed: DataFrame, k: int) -> DataFrame:
@@ -269,13 +284,13 @@ def _sets_of(docs: DataFrame, needed: DataFrame, k: int) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(marks)
 
     def work(batches):
-        seen, marked = WordHashes(), shared.value
+        marked = shared.value
         for batch in batches:
             keep = np.flatnonzero(marked[batch.column(2).to_numpy()])
             if not len(keep):
                 continue
             some = batch.take(pa.array(keep))
-            sets = [shingle_set(seen.of(blank_words(t)), k).view(np.int64) for t in byte_texts(some.column(1))]
+            sets = [x.view(np.int64) for x in shingle_sets(some.column(1), k)]
             yield pa.RecordBatch.from_arrays([some.column(0), pa.array(sets, pa.list_(pa.int64()))], ["doc_id", "tokens"])
 
     rows = docs.where("doc_id is not null").select("doc_id", "text", spot(F.xxhash64("doc_id")))

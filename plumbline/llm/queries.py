@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from plumbline.llm.jaccard import shingle_links
 from plumbline.llm.decontaminate import contamination_report
 from plumbline.llm.linedup import drop_repeated_chunks
+from plumbline.llm.mixing import LANGUAGE_WEIGHTS, labelled_domains, mixture
 from plumbline.llm.toxicity import learn_toxicity, not_held_out, with_toxicity
 from plumbline.plans.registry import query
 from plumbline.plans.tables import table
@@ -87,3 +88,12 @@ FROM dw LEFT JOIN spots USING (doc_id) LEFT JOIN items USING (doc_id)
 def op3_benchmark_decontamination(spark, sf):
     """Words and items of the benchmark that occur in each document."""
     return contamination_report(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+
+
+@query()
+def op4_mixing_rates(spark, sf):
+    """The rate of each document under which the languages meet their target weights."""
+    docs = table(spark, sf, "documents")
+    rated, model = mixture(docs, labelled_domains(docs, table(spark, sf, "labels")), LANGUAGE_WEIGHTS)
+    names = F.array(*[F.lit(n) for n in model.names]).cast("array<string>")
+    return rated.select("doc_id", "n_tokens", F.map_from_arrays(names, "posterior").alias("posterior"), "rate")

@@ -7,12 +7,11 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Words whose hash a worker remembers; the memory is emptied when it is full.
-REMEMBERED = 1_000_000
+#: Bytes of text that are hashed together; a longer text is hashed alone.
+TOGETHER = 1 << 20
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -31,19 +30,6 @@ def blank_words(text: bytes) -> list[bytes]:
     return text.lower().split()
 
 
-class WordHashes(dict):
-    """64-bit hash of each word, computed once per worker and word."""
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= REMEMBERED:
-            self.clear()
-        value = self[word] = xxhash.xxh3_64_intdigest(word)
-        return value
-
-    def of(self, words: list[bytes]) -> np.ndarray:
-        return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
-
-
 def mixed(x: np.ndarray) -> np.ndarray:
     """Spread 64-bit values evenly (a finalising permutation)."""
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
@@ -51,18 +37,76 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def shingle_set(words: np.ndarray, k: int) -> np.ndarray:
-    """Sorted distinct hashes of ``k``-word shingles; a shorter text is one shingle."""
-    n = len(words)
-    if not n:
-        return words
-    width = min(k, n)
-    rolled = np.full(n - width + 1, width, np.uint64)
-    for i in range(width):
-        rolled = rolled * _ODD + words[i : n - width + 1 + i]
-    return np.unique(mixed(rolled))
-
-
-def map_arrow(df: DataFrame, work, schema: str) -> DataFrame:
-    """``mapInArrow`` over record batches; ``work`` is a generator function of batches."""
-    return df.mapInArrow(work, schema)
+def sorted_distinct(x: np.ndarray) -> np.ndarray:
+    x = np.sort(x)
+    return x[np.append(True, x[1:] != x[:-1])] if len(x) else x
+
+
+# A random value for each byte, the same for A-Z as for a-z; blanks are marked apart.
+_VALUES = mixed(np.arange(1, 257, dtype=np.uint64) * _ODD)
+_VALUES[65:91] = _VALUES[97:123]
+_BLANK = np.zeros(256, bool)
+_BLANK[[9, 10, 11, 12, 13, 32]] = True
+_BACK = np.uint64(pow(int(_ODD), -1, 1 << 64))
+
+
+def _powers(base: np.uint64, n: int) -> np.ndarray:
+    out = np.full(n, base, np.uint64)
+    out[0] = 1
+    return np.cumprod(out, dtype=np.uint64)
+
+
+def hashed_words(column: pa.Array):
+    """``(row, hashes, start)`` for runs of rows of a text column.
+
+    ``hashes`` are the 64-bit hashes of all words of the run, one after the other, and
+    ``start[i]`` is where those of row ``row + i`` start (with one more entry for the end).
+    Hashing is a prefix sum over bytes, so its cost is that of a few numpy passes.
+    """
+    column = column.cast(pa.large_binary()).fill_null(b"")
+    ends = np.frombuffer(column.buffers()[1], np.int64, len(column) + 1, column.offset * 8)
+    data = np.frombuffer(column.buffers()[2] or b"", np.uint8)
+    row = 0
+    while row < len(column):
+        stop = max(int(np.searchsorted(ends, ends[row] + TOGETHER, "right")) - 1, row + 1)
+        text = data[ends[row] : ends[stop]]
+        if not len(text):
+            yield row, np.zeros(0, np.uint64), np.zeros(stop - row + 1, np.int64)
+            row = stop
+            continue
+        blank = _BLANK[text]
+        # A word starts after a blank or where a text starts, and ends before the next such place.
+        first = ends[row:stop] - ends[row]
+        fresh = np.zeros(len(text) + 1, bool)
+        fresh[first] = True
+        before = np.append(True, blank) | fresh
+        at = np.flatnonzero(~blank & before[:-1])
+        to = np.flatnonzero(~blank & (np.append(blank[1:], True) | fresh[1:])) + 1
+        total = np.zeros(len(text) + 1, np.uint64)
+        np.cumsum(_VALUES[text] * _powers(_ODD, len(text)), out=total[1:])
+        hashes = (total[to] - total[at]) * _powers(_BACK, len(text))[at]
+        hashes = mixed(hashes + (to - at).astype(np.uint64) * _ODD)
+        yield row, hashes, np.searchsorted(at, np.append(first, len(text)))
+        row = stop
+
+
+def shingle_sets(column: pa.Array, k: int):
+    """Sorted distinct hashes of the ``k``-word shingles of each text, in the order of the rows.
+
+    A text of fewer words is one shingle; one without words has none.
+    """
+    for _, words, start in hashed_words(column):
+        rolled = np.full(max(len(words) - k + 1, 0), k, np.uint64)
+        for i in range(k):
+            rolled = rolled * _ODD + words[i : len(words) - k + 1 + i] if len(rolled) else rolled
+        rolled = mixed(rolled)
+        for a, b in zip(start[:-1].tolist(), start[1:].tolist(), strict=True):
+            if b - a >= k:
+                yield sorted_distinct(rolled[a : b - k + 1])
+            elif a == b:
+                yield np.zeros(0, np.uint64)
+            else:
+                short = np.full(1, b - a, np.uint64)
+                for i in range(a, b):
+                    short = short * _ODD + words[i]
+                yield mixed(short)
