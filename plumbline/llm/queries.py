@@ -10,6 +10,7 @@ from plumbline.llm.decontaminate import contamination_report
 from plumbline.llm.linedup import drop_repeated_chunks
 from plumbline.llm.mixing import LANGUAGE_WEIGHTS, labelled_domains, mixture
 from plumbline.llm.toxicity import learn_toxicity, not_held_out, with_toxicity
+from plumbline.llm.vectors import near_vectors
 from plumbline.plans.registry import query
 from plumbline.plans.tables import table
 
@@ -122,3 +123,24 @@ def op6_chat_formatting(spark, sf):
     rows = table(spark, sf, "conversations").select("conv_id", "turn", "role", "text")
     extra = spark.createDataFrame([(-1, 0, "user", text), (-1, 1, "assistant", text)], rows.schema)
     return read_back(format_chats(rows.union(extra))).drop("in_order")
+
+
+_VECTOR_SQL = """
+WITH RECURSIVE v AS MATERIALIZED (
+  SELECT vec_id, CAST(embedding AS DOUBLE[]) e FROM embeddings
+  WHERE vec_id IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+l AS MATERIALIZED (SELECT a.vec_id a, b.vec_id b FROM v a JOIN v b
+  ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e) AND list_cosine_similarity(a.e, b.e) >= 0.95),
+r AS (SELECT vec_id node, vec_id root FROM embeddings UNION SELECT b, root FROM r JOIN l ON a = node),
+c AS (SELECT node, min(root) component_id FROM r GROUP BY node),
+n AS (SELECT a, count(*) n FROM l GROUP BY a)
+SELECT vec_id, coalesce(n, 0) n_links, component_id, vec_id = component_id kept
+FROM embeddings JOIN c ON node = vec_id LEFT JOIN n ON a = vec_id
+"""
+
+
+@query(_VECTOR_SQL)
+def op1_embedding_near_dedup(spark, sf):
+    """Links and components of all embeddings at cosine 0.95."""
+    return near_vectors(table(spark, sf, "embeddings"))
