@@ -9,6 +9,7 @@ from plumbline.llm.chat import format_chats, read_back
 from plumbline.llm.decontaminate import contamination_report
 from plumbline.llm.linedup import drop_repeated_chunks
 from plumbline.llm.mixing import LANGUAGE_WEIGHTS, labelled_domains, mixture
+from plumbline.llm.quality import learn_quality, learnt_from, with_quality
 from plumbline.llm.toxicity import learn_toxicity, not_held_out, with_toxicity
 from plumbline.llm.vectors import near_vectors
 from plumbline.plans.registry import query
@@ -144,3 +145,16 @@ FROM embeddings JOIN c ON node = vec_id LEFT JOIN n ON a = vec_id
 def op1_embedding_near_dedup(spark, sf):
     """Links and components of all embeddings at cosine 0.95."""
     return near_vectors(table(spark, sf, "embeddings"))
+
+
+@query()
+def op7_quality_classifier(spark, sf):
+    """Quality of every whole text by attention over its passages."""
+    docs = table(spark, sf, "documents")
+    model = learn_quality(docs, table(spark, sf, "labels"), learn=learnt_from())
+    return with_quality(docs.select("doc_id", "text"), model, "score").select(
+        "doc_id",
+        (~learnt_from()).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.3).cast("int").alias("predicted"),
+    )

@@ -74,22 +74,25 @@ def hashed_words(column: pa.Array):
             yield row, np.zeros(0, np.uint64), np.zeros(stop - row + 1, np.int64)
             row = stop
             continue
-        blank = _BLANK[text]
-        # A word starts after a blank or where a text starts, and ends before the next such place.
         first = ends[row:stop] - ends[row]
-        fresh = np.zeros(len(text) + 1, bool)
-        fresh[first] = True
-        before = np.append(True, blank) | fresh
-        at = np.flatnonzero(~blank & before[:-1])
-        to = np.flatnonzero(~blank & (np.append(blank[1:], True) | fresh[1:])) + 1
-        total = np.zeros(len(text) + 1, np.uint64)
-        np.cumsum(_VALUES[text] * _powers(_ODD, len(text)), out=total[1:])
-        hashes = (total[to] - total[at]) * _powers(_BACK, len(text))[at]
-        hashes = mixed(hashes + (to - at).astype(np.uint64) * _ODD)
+        at, _, hashes = located_words(text, first)
         yield row, hashes, np.searchsorted(at, np.append(first, len(text)))
         row = stop
 
 
+def located_words(text: np.ndarray, first=(0,)) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start, end and hash of each word in bytes; texts start at ``first``, where no word goes on."""
+    blank = _BLANK[text]
+    fresh = np.zeros(len(text) + 1, bool)
+    fresh[first] = True
+    at = np.flatnonzero(~blank & (np.append(True, blank[:-1]) | fresh[:-1]))
+    to = np.flatnonzero(~blank & (np.append(blank[1:], True) | fresh[1:])) + 1
+    total = np.zeros(len(text) + 1, np.uint64)
+    np.cumsum(_VALUES[text] * _powers(_ODD, len(text)), out=total[1:])
+    hashes = (total[to] - total[at]) * _powers(_BACK, len(text))[at]
+    return at, to, mixed(hashes + (to - at).astype(np.uint64) * _ODD)
+
+
 def shingle_sets(column: pa.Array, k: int):
     """Sorted distinct hashes of the ``k``-word shingles of each text, in the order of the rows.
 
