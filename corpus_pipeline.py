@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from plumbline.llm.decontaminate import without_contaminated
+from plumbline.llm.filters import without_keys
 from plumbline.llm.jaccard import shingle_links
 from plumbline.llm.linedup import drop_repeated_chunks
 from plumbline.llm.mixing import LANGUAGE_WEIGHTS, fit_steps, labelled_domains, learn_domains, with_posteriors, with_rates
@@ -45,8 +46,8 @@ def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def dedup_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of documents that are linked by shingle similarity, the one of smallest doc_id."""
     links = shingle_links(docs)
-    gone = links.where("doc_id <> component_id").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+    gone = stored(links.where("doc_id <> component_id").select("doc_id").distinct(), "gone")
+    return without_keys(docs, F.col("doc_id").cast("long"), gone)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from plumbline.llm.filters import marked, without_keys
 from plumbline.session import stored
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -73,7 +74,9 @@ def contamination(docs: DataFrame, items: DataFrame, n: int = 10) -> tuple[DataF
         found = texts.select("_key", F.lit(0).alias("pos"), F.lit(0).cast("long").alias("hash"), F.lit(0).alias("width")).limit(0)
     found = stored(found.distinct(), "found")
     # Verify word by word: the hit documents' words against the items' windows.
-    hit = texts.join(found.select("_key").distinct(), "_key", "left_semi").dropDuplicates(["_key"])
+    keyed = stored(found.select("_key").distinct(), "keys")
+    maybe = marked(texts, F.col("_key"), keyed, F.col("_key")).where("_marked").drop("_marked")
+    hit = maybe.join(keyed, "_key", "left_semi").dropDuplicates(["_key"])
     read = found.join(hit.select("_key", words_of(F.col("text")).alias("words")), "_key").select(
         "_key", "pos", "width", "hash", F.slice("words", F.col("pos") + 1, F.col("width")).alias("window")
     )
@@ -121,15 +124,18 @@ def contamination_report(docs: DataFrame, items: DataFrame, n: int = 10) -> Data
 def without_contaminated(docs: DataFrame, items: DataFrame, n: int = 10, share: float = 0.0) -> DataFrame:
     """``docs`` without the rows of which more than ``share`` of the words are hit."""
     spots, _ = contamination(docs, items, n)
-    counted = spots.groupBy(F.col("_key").alias("_hit_key")).agg(F.count("*").alias("_hit"))
-    bad = (
-        docs.select(doc_key().alias("_hit_key"), F.size(words_of(F.col("text"))).alias("_n"))
+    counted = stored(spots.groupBy(F.col("_key").alias("_hit_key")).agg(F.count("*").alias("_hit")), "counts")
+    bad = stored(
+        marked(docs.select(doc_key().alias("_hit_key"), "text"), F.col("_hit_key"), counted, F.col("_hit_key"))
+        .where("_marked")
+        .select("_hit_key", F.size(words_of(F.col("text"))).alias("_n"))
         .join(counted, "_hit_key")
         .where(F.col("_hit") > share * F.col("_n"))
         .select("_hit_key")
-        .distinct()
+        .distinct(),
+        "contaminated",
     )
-    return docs.join(bad, doc_key() == F.col("_hit_key"), "left_anti")
+    return without_keys(docs, doc_key(), bad)
 
 
 def without_spans(docs: DataFrame, items: DataFrame, n: int = 10) -> DataFrame:

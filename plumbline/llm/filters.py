@@ -24,15 +24,43 @@ def spots(hashes: np.ndarray) -> np.ndarray:
     return (hashes >> np.uint64(64 - FILTER_BITS)).astype(np.int64)
 
 
-def key_filter(keys: DataFrame, key: Column) -> np.ndarray:
-    """One byte of 0 or 1 for each bit; built by Spark as 256 bitmaps of 4 kB at most."""
-    at = spot(key) + 1  # bucket b holds the numbers 32768 (b - 1) + 1 to 32768 b
-    parts = keys.groupBy(F.bitmap_bucket_number(at).alias("bucket")).agg(
-        F.bitmap_construct_agg(F.bitmap_bit_position(at)).alias("bits")
+def _bitmaps(keys: DataFrame, key: Column) -> DataFrame:
+    """256 bitmaps of 4 kB at most: bucket b holds the spots 32768 (b - 1) to 32768 b - 1."""
+    at = spot(key) + 1
+    return keys.groupBy(F.bitmap_bucket_number(at).alias("_bucket")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position(at)).alias("_bits")
     )
+
+
+def key_filter(keys: DataFrame, key: Column) -> np.ndarray:
+    """One byte of 0 or 1 for each spot."""
     marks = np.zeros(1 << FILTER_BITS, np.uint8)
-    for row in parts.collect():
-        bits = np.unpackbits(np.frombuffer(bytes(row["bits"]), np.uint8), bitorder="little")
-        start = (row["bucket"] - 1) * 32768
+    for row in _bitmaps(keys, key).collect():
+        bits = np.unpackbits(np.frombuffer(bytes(row["_bits"]), np.uint8), bitorder="little")
+        start = (row["_bucket"] - 1) * 32768
         marks[start : start + 32768] |= bits[: len(marks) - start]
     return marks
+
+
+def marked(df: DataFrame, key: Column, keys: DataFrame, own: Column, column: str = "_marked") -> DataFrame:
+    """``df`` with a flag that is true where ``key`` may be among ``keys`` (``own`` is their hash)."""
+    at = spot(key) + 1
+    with_spot = df.withColumn("_at", F.bitmap_bit_position(at)).withColumn("_bucket", F.bitmap_bucket_number(at))
+    octet = "cast(conv(hex(substring(_bits, cast(_at div 8 as int) + 1, 1)), 16, 10) as int)"
+    flag = F.expr(f"coalesce(shiftright({octet}, cast(_at % 8 as int)) & 1 = 1, false)")
+    bits = F.broadcast(_bitmaps(keys, own))
+    return with_spot.join(bits, "_bucket", "left").withColumn(column, flag).drop("_at", "_bucket", "_bits")
+
+
+def without_keys(df: DataFrame, key: Column, keys: DataFrame) -> DataFrame:
+    """``df`` without the rows whose ``key``, a long, is in the one column of ``keys``.
+
+    Rows that the filter clears are passed on as they lie; only the others are shuffled.
+    """
+    name = keys.columns[0]
+    own = F.col(name)
+    first = marked(df.withColumn("_key_of", key), F.xxhash64("_key_of"), keys, F.xxhash64(own))
+    clear = first.where("not _marked").drop("_marked", "_key_of")
+    doubtful = first.where("_marked").drop("_marked")
+    exact = keys.select(own.alias("_gone"))
+    return clear.union(doubtful.join(exact, F.col("_key_of") == F.col("_gone"), "left_anti").drop("_key_of"))

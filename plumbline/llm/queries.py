@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from plumbline.llm.jaccard import shingle_links
+from plumbline.llm import lm
 from plumbline.llm.chat import format_chats, read_back
 from plumbline.llm.decontaminate import contamination_report
 from plumbline.llm.linedup import drop_repeated_chunks
@@ -158,3 +159,11 @@ def op7_quality_classifier(spark, sf):
         "score",
         (F.col("score") >= 0.3).cast("int").alias("predicted"),
     )
+
+
+@query()
+def op9_lm_scoring(spark, sf):
+    """Log-probabilities of all whole texts under the unigram base and the model."""
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    held = (~lm.learnt_from()).alias("held_out")
+    return lm.lm_scores(docs, lm.learnt_from()).select("*", held)

@@ -56,12 +56,13 @@ def _powers(base: np.uint64, n: int) -> np.ndarray:
     return np.cumprod(out, dtype=np.uint64)
 
 
-def hashed_words(column: pa.Array):
-    """``(row, hashes, start)`` for runs of rows of a text column.
+def word_runs(column: pa.Array):
+    """``(text, at, to, hashes, start)`` for runs of rows of a text column.
 
-    ``hashes`` are the 64-bit hashes of all words of the run, one after the other, and
-    ``start[i]`` is where those of row ``row + i`` start (with one more entry for the end).
-    Hashing is a prefix sum over bytes, so its cost is that of a few numpy passes.
+    ``text`` are the bytes of the run; ``at``, ``to`` and ``hashes`` tell where its words
+    start and end, and their 64-bit hashes.  ``start[i]`` is the first word of the i-th row of
+    the run (with one more entry for the end).  Hashing is a prefix sum over bytes, so its
+    cost is that of a few numpy passes.
     """
     column = column.cast(pa.large_binary()).fill_null(b"")
     ends = np.frombuffer(column.buffers()[1], np.int64, len(column) + 1, column.offset * 8)
@@ -71,12 +72,13 @@ def hashed_words(column: pa.Array):
         stop = max(int(np.searchsorted(ends, ends[row] + TOGETHER, "right")) - 1, row + 1)
         text = data[ends[row] : ends[stop]]
         if not len(text):
-            yield row, np.zeros(0, np.uint64), np.zeros(stop - row + 1, np.int64)
+            none = np.zeros(0, np.int64)
+            yield text, none, none, np.zeros(0, np.uint64), np.zeros(stop - row + 1, np.int64)
             row = stop
             continue
         first = ends[row:stop] - ends[row]
-        at, _, hashes = located_words(text, first)
-        yield row, hashes, np.searchsorted(at, np.append(first, len(text)))
+        at, to, hashes = located_words(text, first)
+        yield text, at, to, hashes, np.searchsorted(at, np.append(first, len(text)))
         row = stop
 
 
@@ -98,7 +100,7 @@ def shingle_sets(column: pa.Array, k: int):
 
     A text of fewer words is one shingle; one without words has none.
     """
-    for _, words, start in hashed_words(column):
+    for _, _, _, words, start in word_runs(column):
         rolled = np.full(max(len(words) - k + 1, 0), k, np.uint64)
         for i in range(k):
             rolled = rolled * _ODD + words[i : len(words) - k + 1 + i] if len(rolled) else rolled
