@@ -11,6 +11,7 @@ from plumbline.llm.decontaminate import contamination_report
 from plumbline.llm.linedup import drop_repeated_chunks
 from plumbline.llm.mixing import LANGUAGE_WEIGHTS, labelled_domains, mixture
 from plumbline.llm.quality import learn_quality, learnt_from, with_quality
+from plumbline.llm.secretscan import scan_secrets
 from plumbline.llm.toxicity import learn_toxicity, not_held_out, with_toxicity
 from plumbline.llm.vectors import near_vectors
 from plumbline.plans.registry import query
@@ -167,3 +168,9 @@ def op9_lm_scoring(spark, sf):
     docs = table(spark, sf, "documents").select("doc_id", "text")
     held = (~lm.learnt_from()).alias("held_out")
     return lm.lm_scores(docs, lm.learnt_from()).select("*", held)
+
+
+@query()
+def op5_secret_scan(spark, sf):
+    """Every long word of all documents that may be a secret, scored by the forest."""
+    return scan_secrets(table(spark, sf, "documents"), path="source")
