@@ -8,6 +8,7 @@ otherwise.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -104,8 +105,44 @@ def instant_lookback(
     )
 
 
-def _frame(keys: Sequence[str], range_us: int):
-    return Window.partitionBy(*keys, CHUNK).orderBy(_US).rangeBetween(-range_us, 0)
+_BLOCK, _FIRST = "_block", "_first"
+
+
+def _sliding(
+    df: DataFrame, keys: Sequence[str], reach: int, parts: dict[str, tuple], kept: Sequence[str] = ()
+) -> DataFrame:
+    """Aggregates over ``[t - reach, t]`` at each row of a chunk, at a cost linear in the rows.
+
+    Time is cut into blocks of the range's length.  A range that ends in a block is the end
+    of the block before, from the first row of the range on, and the start of its own block:
+    two running aggregates, one from either end.  ``parts`` maps a name to
+    ``(aggregate, column, combination)``.  The first row of the range is kept in ``_first``
+    with the columns ``kept``.  A frame that slides at both ends would be computed anew for
+    every row.
+    """
+    group = [*keys, CHUNK]
+    up = Window.partitionBy(*group, _BLOCK).orderBy(_US).rangeBetween(Window.unboundedPreceding, 0)
+    down = Window.partitionBy(*group, _BLOCK).orderBy(F.desc(_US)).rangeBetween(Window.unboundedPreceding, 0)
+    row = Window.partitionBy(*group).orderBy(_US)
+    so_far = row.rangeBetween(Window.unboundedPreceding, 0)
+    before = row.rangeBetween(Window.unboundedPreceding, -reach - 1)
+    df = df.withColumn(_BLOCK, floor_div(F.col(_US), reach))
+    for name, (how, column, _) in parts.items():
+        df = df.withColumns({f"_up{name}": how(column).over(up), f"_down{name}": how(column).over(down)})
+    seen = F.struct(_BLOCK, *kept, *[f"_down{n}" for n in parts])
+    df = df.withColumn("_seen", seen).withColumn("_next", F.lead("_seen").over(row))
+    # The row after the last one that lies before the range, or else the first row of all.
+    df = df.withColumn(_FIRST, F.coalesce(F.last("_next").over(before), F.first("_seen").over(so_far)))
+    for name, (_, _, both) in parts.items():
+        own, earlier = F.col(f"_up{name}"), F.col(f"{_FIRST}._down{name}")
+        whole = F.when(F.col(f"{_FIRST}.{_BLOCK}") < F.col(_BLOCK), both(earlier, own)).otherwise(own)
+        df = df.withColumn(name, whole)
+    return df.drop("_seen", "_next", _BLOCK, *[f"_{x}{n}" for x in ("up", "down") for n in parts])
+
+
+def _add(a: Column, b: Column) -> Column:
+    """The sum of what is there; null if neither is."""
+    return F.coalesce(a + b, a, b)
 
 
 _OVER_TIME = {"max": F.max, "min": F.min, "sum": F.sum, "avg": F.avg, "count": F.count}
@@ -124,12 +161,14 @@ def over_time(
         raise ConfigError(f"how must be one of {sorted(_OVER_TIME)}, got {how!r}")
     reach = range_s * MICROS
     width = chunk_width(reach, chunk_s and chunk_s * MICROS)
-    return (
-        with_chunks(_slim(samples, keys), _US, width, ahead_us=reach)
-        .withColumn("over", _OVER_TIME[how]("value").over(_frame(keys, reach)))
-        .where(~F.col(GHOST))
-        .select(*keys, _time(F.col(_US)).alias("ts"), "value", "over")
-    )
+    chunked = with_chunks(_slim(samples, keys), _US, width, ahead_us=reach)
+    if how == "avg":
+        parts = {"_sum": (F.sum, "value", _add), "_n": (F.count, "value", _add)}
+        done = _sliding(chunked, keys, reach, parts).withColumn("over", F.try_divide("_sum", "_n"))
+    else:
+        both = {"max": F.greatest, "min": F.least}.get(how, _add)
+        done = _sliding(chunked, keys, reach, {"over": (_OVER_TIME[how], "value", both)})
+    return done.where(~F.col(GHOST)).select(*keys, _time(F.col(_US)).alias("ts"), "value", "over")
 
 
 def grid_window(range_s: int, step_s: int, ts: str = "ts", tail_us: int = 1) -> Column:
@@ -165,11 +204,25 @@ def over_time_grid(
 ) -> DataFrame:
     """``how`` over ``[t - range, t]`` at every grid time with a sample in range.
 
-    A sliding-window aggregate: rows are combined on the map side, so a series that holds
-    a large share of the data shuffles one row per window and task.
+    Samples are first reduced to panes, the longest stretches that both the range and the
+    step are made of; only panes are copied to the windows they are part of.  Both steps
+    combine rows on the map side.  A streaming frame is a plain sliding aggregate.
     """
     if how not in _OVER_TIME:
         raise ConfigError(f"how must be one of {sorted(_OVER_TIME)}, got {how!r}")
+    if not samples.isStreaming:
+        parts = ["sum", "count"] if how == "avg" else [how]
+        again = {"sum": F.sum, "count": F.sum, "max": F.max, "min": F.min}
+        out = _paned(
+            samples,
+            range_s,
+            step_s,
+            keys,
+            [_OVER_TIME[x]("value").alias(x) for x in parts],
+            [again[x](x).alias(x) for x in parts],
+        )
+        value = F.try_divide("sum", "count") if how == "avg" else F.col(how)
+        return out.select(*keys, "t", value.alias("value"))
     return (
         samples.groupBy(*keys, grid_window(range_s, step_s).alias("_w"))
         .agg(_OVER_TIME[how]("value").alias("value"))
@@ -177,6 +230,43 @@ def over_time_grid(
     )
 
 
+def _paned(
+    samples: DataFrame,
+    range_s: int,
+    step_s: int,
+    keys: Sequence[str],
+    first: Sequence[Column],
+    again: Sequence[Column],
+) -> DataFrame:
+    """Window aggregates from panes ``((k - 1) p, k p]``: ``first`` of samples, ``again`` of panes.
+
+    Ranges are closed at both ends, so what lies exactly on the end of a pane is also kept
+    apart: it belongs to the range that starts there.
+    """
+    if range_s < step_s:
+        raise ConfigError("the range must be at least one step")
+    pane, reach, step = math.gcd(range_s, step_s) * MICROS, range_s * MICROS, step_s * MICROS
+    us = F.unix_micros("ts")
+    end = ceil_div(us, pane) * F.lit(pane)
+    panes = (
+        samples.where("ts is not null")
+        .groupBy(*keys, end.alias("_end"), (us == end).alias("_edge"))
+        .agg(*first)
+    )
+    # A pane lies in the ranges that end from its own end on, and start before it or, if it
+    # is an edge, at its end.
+    last = F.col("_end") - F.lit(pane) + F.lit(reach) + F.when(F.col("_edge"), F.lit(pane)).otherwise(F.lit(0))
+    lowest, highest = ceil_div(F.col("_end"), step), floor_div(last, step)
+    return (
+        panes.where(lowest <= highest)
+        .withColumn("_k", F.explode(F.sequence(lowest, highest)))
+        .groupBy(*keys, "_k")
+        .agg(*again)
+        .withColumn("t", _time(F.col("_k") * F.lit(step)))
+        .drop("_k")
+    )
+
+
 def counter_steps(
     samples: DataFrame, range_s: int, *, keys: Sequence[str] = SERIES, chunk_s: int | None = None
 ) -> DataFrame:
@@ -226,17 +316,16 @@ def increase(
 ) -> DataFrame:
     """Counter growth over ``[ts - range, ts]`` at each sample; one sample gives no row."""
     reach = range_s * MICROS
-    f = _frame(keys, reach)
+    parts = {"_n": (F.count, "value", _add), "_sum": (F.sum, "_grown", _add)}
+    steps = counter_steps(samples, range_s, keys=keys, chunk_s=chunk_s)
     return (
-        counter_steps(samples, range_s, keys=keys, chunk_s=chunk_s)
+        _sliding(steps, keys, reach, parts, ["_grown", "value", _US])
         .withColumns(
             {
-                "_n": F.count("value").over(f),
-                "_sum": F.sum("_grown").over(f),
-                "_g0": F.first("_grown").over(f),
-                "_v0": F.first("value").over(f),
-                "_t0": F.first(_US).over(f),
-                "_t1": F.last(_US).over(f),
+                "_g0": F.col(f"{_FIRST}._grown"),
+                "_v0": F.col(f"{_FIRST}.value"),
+                "_t0": F.col(f"{_FIRST}.{_US}"),
+                "_t1": F.col(_US),
             }
         )
         .where(~F.col(GHOST))
@@ -267,8 +356,8 @@ def increase_grid(
 ) -> DataFrame:
     """Counter growth over ``[t - range, t]`` at every grid time.
 
-    Growth between neighbours needs one chunked window; the ranges are then plain
-    sliding aggregates of it.
+    Growth between neighbours needs one chunked window; the ranges are then aggregates of
+    its panes.
     """
     reach = range_s * MICROS
     steps = (
@@ -277,18 +366,25 @@ def increase_grid(
         .select(*keys, _time(F.col(_US)).alias("ts"), _US, "value", "_grown")
     )
     summary = F.min_by(F.struct("value", "_grown"), _US)
+    first = [
+        F.count("value").alias("_n"),
+        F.sum("_grown").alias("_sum"),
+        summary.alias("_first"),
+        F.min(_US).alias("_t0"),
+        F.max(_US).alias("_t1"),
+    ]
+    again = [
+        F.sum("_n").alias("_n"),
+        F.sum("_sum").alias("_sum"),
+        F.min_by("_first", "_t0").alias("_first"),
+        F.min("_t0").alias("_t0"),
+        F.max("_t1").alias("_t1"),
+    ]
     return (
-        steps.groupBy(*keys, grid_window(range_s, step_s).alias("_w"))
-        .agg(
-            F.count("value").alias("_n"),
-            F.sum("_grown").alias("_sum"),
-            summary.alias("_first"),
-            F.min(_US).alias("_t0"),
-            F.max(_US).alias("_t1"),
-        )
+        _paned(steps, range_s, step_s, keys, first, again)
         .select(
             *keys,
-            grid_time().alias("t"),
+            "t",
             "_n",
             "_sum",
             "_t0",
@@ -317,14 +413,13 @@ def changes(
     reach = range_s * MICROS
     width = chunk_width(reach, chunk_s and chunk_s * MICROS)
     w = Window.partitionBy(*keys, CHUNK).orderBy(_US)
-    f = _frame(keys, reach)
     before = F.lag("value").over(w)
     moved = F.when(before.isNull() | (F.col("value") == before), 0).otherwise(1)
+    chunked = with_chunks(_slim(samples, keys), _US, width, ahead_us=reach)
     return (
-        with_chunks(_slim(samples, keys), _US, width, ahead_us=reach)
-        .withColumn("_moved", moved.cast("bigint"))
+        _sliding(chunked.withColumn("_moved", moved.cast("bigint")), keys, reach, {"_all": (F.sum, "_moved", _add)}, ["_moved"])
         # The first sample of the range compares with one outside it.
-        .withColumn("changes", F.sum("_moved").over(f) - F.first("_moved").over(f))
+        .withColumn("changes", F.col("_all") - F.col(f"{_FIRST}._moved"))
         .where(~F.col(GHOST))
         .select(*keys, _time(F.col(_US)).alias("ts"), "changes")
     )
