@@ -7,6 +7,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import TimestampNTZType, TimestampType
 
 from plumbline.errors import DataError
 from plumbline.functions.scalars import row_hash
@@ -126,20 +127,31 @@ def leakage(
     )
 
 
+def _portable(df: DataFrame, column: str) -> Column:
+    """A field's length and text, so that neighbours cannot run into each other."""
+    value, kind = F.col(f"`{column}`"), df.schema[column].dataType
+    if isinstance(kind, TimestampType):
+        value = F.unix_micros(value)
+    elif isinstance(kind, TimestampNTZType):
+        value = F.unix_micros(value.cast("timestamp"))
+    text = value.cast("string")
+    return F.coalesce(F.concat(F.length(text).cast("string"), F.lit(":"), text), F.lit("-"))
+
+
 def dataset_digest(df: DataFrame, *, portable: bool = False) -> DataFrame:
     """One row that two datasets share exactly when they hold the same bag of rows.
 
     Row count plus an order-free sum and xor of row hashes (up to hash collisions).
-    ``portable`` hashes with md5 over the columns' text, which other engines also have;
-    otherwise Spark's faster 64-bit hash is used.
+    ``portable`` hashes with md5 over the columns' text, which other engines also have:
+    each field as its length, a colon and its text, or ``-`` for a null; times are
+    microseconds since the epoch.  Otherwise Spark's faster 64-bit hash is used, over each field
+    and whether it is null, since the hash itself passes nulls over.
     """
     if portable:
-        text = F.concat_ws(
-            "|", *[F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("\\N")) for c in df.columns]
-        )
-        h = F.conv(F.substring(F.md5(text), 1, 15), 16, 10).cast("bigint")
+        h = F.conv(F.substring(F.md5(F.concat(*[_portable(df, c) for c in df.columns])), 1, 15), 16, 10).cast("bigint")
     else:
-        h = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
+        fields = [F.col(f"`{c}`") for c in df.columns]
+        h = F.xxhash64(*[x for c in fields for x in (c.isNull(), c)])
     return df.select(h.alias("h")).agg(
         F.count(F.lit(1)).alias("n_rows"),
         F.coalesce(F.sum(F.col("h").cast("decimal(38,0)")), F.lit(0)).cast("string").alias("hash_sum"),
@@ -197,7 +209,7 @@ def check_summary(checks: DataFrame) -> DataFrame:
 
 def require_all_ok(checks: DataFrame) -> None:
     """Raise with the failed checks named; a table of checks has one row per rule."""
-    bad = checks.where("not ok").limit(100).collect()
+    bad = checks.where("not ok").collect()
     if bad:
         raise DataError("; ".join(f"{r['section']}/{r['name']}: {r['detail']}" for r in bad))
 

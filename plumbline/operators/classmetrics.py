@@ -1,7 +1,8 @@
 """Class balance, accuracy, confusion matrix and per-class report.
 
 Everything is derived from counts of (label, prediction) pairs, which are combined on the
-map side; after that the data is one row per pair of classes.
+map side; after that the data is one row per pair of classes.  A null label or prediction is
+a class of its own that nothing matches: it counts in every denominator and never as a hit.
 """
 
 from __future__ import annotations
@@ -9,9 +10,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# A dense matrix has a row for every pair of classes; beyond this use ``pair_counts``.
-MAX_DENSE_CLASSES = 1_000
-
 
 def class_balance(df: DataFrame, target: str) -> DataFrame:
     """Rows and share of each class."""
@@ -25,7 +23,7 @@ def class_balance(df: DataFrame, target: str) -> DataFrame:
 
 def accuracy(df: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
     """Share of rows predicted right; no rows, no result."""
-    hit = (F.col(label) == F.col(prediction)).cast("double")
+    hit = F.coalesce((F.col(label) == F.col(prediction)).cast("double"), F.lit(0.0))
     return df.agg(F.avg(hit).alias("accuracy")).where("accuracy is not null")
 
 
@@ -37,26 +35,27 @@ def pair_counts(df: DataFrame, label: str = "label", prediction: str = "predicti
 
 
 def confusion_matrix(
-    df: DataFrame, label: str = "label", prediction: str = "prediction"
+    df: DataFrame, label: str = "label", prediction: str = "prediction", *, dense: bool = True
 ) -> DataFrame:
-    """Every cell over the union of true and predicted classes, zeros included.
+    """Cells over the union of true and predicted classes.
 
-    The classes come from the aggregated pairs; their number is checked, not cut.
+    ``dense`` gives every cell, zeros included: as many rows as the square of the classes,
+    each built from one list of the classes, the square root of the result.  Without it
+    only cells with rows are given, for any number of classes.
     """
     pairs = pair_counts(df, label, prediction)
-    classes = pairs.select(F.explode(F.array("label", "prediction")).alias("c")).agg(
-        F.array_sort(F.collect_set("c")).alias("cs")
+    if not dense:
+        return pairs
+    # Lists leave nulls out, so a class is wrapped.
+    axis = (
+        pairs.select(F.explode(F.array(F.struct(F.col("label").alias("c")), F.struct(F.col("prediction").alias("c")))).alias("c"))
+        .distinct()
+        .agg(F.sort_array(F.collect_list("c")).alias("cs"))
     )
-    axis = F.when(
-        F.size("cs") > MAX_DENSE_CLASSES,
-        F.raise_error(F.lit("too many classes for a dense matrix; use pair_counts")).cast(
-            classes.schema["cs"].dataType
-        ),
-    ).otherwise(F.col("cs"))
-    cells = classes.select(axis.alias("cs")).select("cs", F.explode("cs").alias("label"))
-    cells = cells.select("label", F.explode("cs").alias("prediction"))
-    return cells.join(pairs, ["label", "prediction"], "left").select(
-        "label", "prediction", F.coalesce("n", F.lit(0)).alias("n")
+    cells = axis.select("cs", F.explode("cs").alias("l")).select("l", F.explode("cs").alias("p"))
+    found = pairs.select(F.struct(F.col("label").alias("c")).alias("l"), F.struct(F.col("prediction").alias("c")).alias("p"), "n")
+    return cells.join(found, ["l", "p"], "left").select(
+        F.col("l.c").alias("label"), F.col("p.c").alias("prediction"), F.coalesce("n", F.lit(0)).alias("n")
     )
 
 

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from plumbline.session import stored
+
 # Fingerprints of well-known secrets, names that mark a credential, and the
 # beginnings of values that are plainly placeholders.
 FINGERPRINTS = {
@@ -72,39 +74,58 @@ def credential_entries(entries: DataFrame, name: str = "name", value: str = "val
     )
 
 
-def walk_strings(df: DataFrame, key: str, document: str, depth: int = 3) -> DataFrame:
-    """``(key, path, value)`` for every scalar under a JSON document, its value as text.
+def walk_strings(df: DataFrame, key: str, document: str, depth: int | None = None) -> DataFrame:
+    """``(key, path, value, status)`` for every scalar under a JSON document, its value as text.
 
-    Objects and arrays are opened level by level in one pass (array places read ``[0]``); a
-    value that is a scalar already passes the next level unchanged.  A document nested
-    deeper than ``depth`` raises, so nothing is left out unseen.
+    Objects and arrays are opened level by level (array places read ``[0]``) until none is
+    left; each level is stored, so a level is parsed once and the walk has no depth limit.
+    ``depth`` may state how many levels there are: then nothing is stored, and a deeper
+    document raises.  A document that is a scalar itself has an empty path; one that cannot
+    be parsed gives one row of status ``malformed`` with its text, all others are ``ok``.  A
+    null document has no rows.
     """
-    tvf = df.sparkSession.tvf
     container = F.schema_of_variant("_v").rlike("^(OBJECT|ARRAY)<")
-    rows = df.select(
-        F.col(key), F.lit("").alias("path"), F.try_parse_json(F.col(document)).alias("_v")
-    ).where("_v is not null")
-    for n in range(depth):
-        # A text, number or null at the top is no entry of a document.
-        rows = rows.where(container) if n == 0 else rows
-        dot = F.when(F.col("path") == "", "").otherwise(".")
-        step = F.when(F.col("_key").isNull(), F.format_string("[%d]", F.col("_pos"))).otherwise(
-            F.concat(dot, F.col("_key"))
+    text = F.variant_get("_v", "$", "string")
+    parsed = df.where(F.col(document).isNotNull()).select(
+        F.col(key), F.lit("").alias("path"), F.col(document).alias("_text"), F.try_parse_json(F.col(document)).alias("_v")
+    )
+    broken = parsed.where("_v is null").select(key, F.lit(None).cast("string").alias("path"), F.col("_text").alias("value"), F.lit("malformed").alias("status"))
+    rows = parsed.where("_v is not null").select(key, "path", "_v")
+    if depth is not None:
+        for _ in range(depth):
+            rows = _opened(rows, key, container)
+        deeper = F.raise_error(F.lit(f"document nested deeper than {depth} levels")).cast("string")
+        found = rows.select(key, "path", F.when(container, deeper).otherwise(text).alias("value"))
+        return found.withColumn("status", F.lit("ok")).union(broken)
+    # Variants cannot be stored in every format; a level is kept as JSON text.
+    done = None
+    while True:
+        flat = stored(rows.select(key, "path", F.to_json("_v").alias("_json"), container.alias("_open"), text.alias("value")), "level")
+        leaves = flat.where("not _open").select(key, "path", "value")
+        done = leaves if done is None else done.union(leaves)
+        inner = flat.where("_open").select(key, "path", F.parse_json("_json").alias("_v"))
+        if flat.where("_open").isEmpty():
+            return done.withColumn("status", F.lit("ok")).union(broken)
+        rows = _opened(inner, key, container)
+
+
+def _opened(rows: DataFrame, key: str, container: Column) -> DataFrame:
+    """Objects and arrays replaced by what is in them; scalars pass unchanged."""
+    dot = F.when(F.col("path") == "", "").otherwise(".")
+    step = F.when(F.col("_key").isNull(), F.format_string("[%d]", F.col("_pos"))).otherwise(
+        F.concat(dot, F.col("_key"))
+    )
+    return (
+        rows.withColumn("_open", container)
+        .withColumn("_inside", F.when(F.col("_open"), F.col("_v")))
+        .lateralJoin(
+            rows.sparkSession.tvf.variant_explode_outer(F.col("_inside").outer()).toDF("_pos", "_key", "_inner")
         )
-        rows = (
-            rows.withColumn("_open", container)
-            .withColumn("_inside", F.when(F.col("_open"), F.col("_v")))
-            .lateralJoin(
-                tvf.variant_explode_outer(F.col("_inside").outer()).toDF("_pos", "_key", "_inner")
-            )
-            # An empty object or array has nothing in it.
-            .where(~F.col("_open") | F.col("_pos").isNotNull())
-            .select(
-                key,
-                F.when(F.col("_open"), F.concat("path", step)).otherwise(F.col("path")).alias("path"),
-                F.when(F.col("_open"), F.col("_inner")).otherwise(F.col("_v")).alias("_v"),
-            )
+        # An empty object or array has nothing in it.
+        .where(~F.col("_open") | F.col("_pos").isNotNull())
+        .select(
+            key,
+            F.when(F.col("_open"), F.concat("path", step)).otherwise(F.col("path")).alias("path"),
+            F.when(F.col("_open"), F.col("_inner")).otherwise(F.col("_v")).alias("_v"),
         )
-    deeper = F.raise_error(F.lit(f"document nested deeper than {depth} levels")).cast("string")
-    text = F.variant_get("_v", "$", "string")
-    return rows.select(key, "path", F.when(container, deeper).otherwise(text).alias("value"))
+    )

@@ -24,8 +24,15 @@ _HASH, _PREFIX, _CLASS = "_hash", "_prefix", "_class"
 
 
 def hash_order(seed: int, key: Sequence[str]) -> Column:
-    """The layout-free order of rows: md5 over the seed and the key columns."""
-    return F.md5(F.concat_ws("|", F.lit(str(seed)), *[F.col(c).cast("string") for c in key]))
+    """The layout-free order of rows: md5 over the seed and the key columns.
+
+    The parts of a key of several columns come with their lengths, so that different keys
+    never give the same text.
+    """
+    texts = [F.col(c).cast("string") for c in key]
+    if len(texts) > 1:
+        texts = [F.concat(F.length(t).cast("string"), F.lit(":"), t) for t in texts]
+    return F.md5(F.concat_ws("|", F.lit(str(seed)), *texts))
 
 
 def _keys(key: str | Sequence[str]) -> list[str]:
@@ -211,13 +218,18 @@ def stratified_kfold(
     prefix_digits: int = 4,
     out: str = "fold",
 ) -> DataFrame:
-    """``df`` plus a fold number ``0..k-1``; fold sizes per class differ by at most one."""
+    """``df`` plus a fold number ``0..k-1``; fold sizes per class differ by at most one.
+
+    A null target is an error, as it is in a split: no row is left out.
+    """
     names = _keys(key)
     require_columns(df, [*names, target], "k-fold")
     if k < 2:
         raise ConfigError(f"k must be at least 2, got {k}")
+    if not df.where(F.col(target).isNull()).select(target).isEmpty():
+        raise DataError(f"cannot stratify: target {target!r} has nulls")
     return (
-        rank_in_class(df.where(F.col(target).isNotNull()), target, seed, names, prefix_digits)
+        rank_in_class(df, target, seed, names, prefix_digits)
         .withColumn(out, ((F.col("_rank") - 1) % k).cast("int"))
         .drop("_rank")
     )

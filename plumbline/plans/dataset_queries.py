@@ -275,17 +275,29 @@ def batch_predict(spark, sf):
 
 # ---------------------------------------------------------------- audits
 
-_DIGEST = """md5(concat_ws('|', CAST(o_orderkey AS VARCHAR), CAST(o_custkey AS VARCHAR),
-    o_orderstatus, o_orderpriority))"""
+_FIELDS = (
+    "CAST(o_orderkey AS VARCHAR)",
+    "CAST(o_custkey AS VARCHAR)",
+    "o_orderstatus",
+    "CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS VARCHAR)",
+    "CAST(epoch_us(CAST(o_orderdate AS TIMESTAMP)) AS VARCHAR)",
+    "o_orderpriority",
+)
+_DIGEST = "md5(" + " || ".join(f"coalesce(length({f}) || ':' || {f}, '-')" for f in _FIELDS) + ")"
 
 
 @query(f"""WITH h AS (SELECT ('0x' || substr({_DIGEST}, 1, 15))::BIGINT AS h FROM orders)
     SELECT count(*) AS n_rows, CAST(sum(h) AS VARCHAR) AS hash_sum, bit_xor(h) AS hash_xor FROM h""", headline=True)
 def dataset_digest(spark, sf):
-    orders = table(spark, sf, "orders")
-    return assurance.dataset_digest(
-        orders.select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority"), portable=True
+    """Every column of the orders; prices as decimals and dates as times, whose text is the same everywhere."""
+    orders = table(spark, sf, "orders").withColumns(
+        {
+            "o_totalprice": F.col("o_totalprice").cast("decimal(18,2)"),
+            "o_orderdate": F.col("o_orderdate").cast("timestamp"),
+        }
     )
+    columns = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"]
+    return assurance.dataset_digest(orders.select(*columns), portable=True)
 
 
 @query("SELECT true AS same_digest, count(*) AS n_rows FROM lineitem")
@@ -450,9 +462,16 @@ def fingerprint_hits(spark, sf):
     return secrets.fingerprint_spans(_planted(spark, sf), "item", "text")
 
 
-@query("SELECT event_id, 'k' AS path, json_extract_string(props, '$.k') AS value FROM events")
+@query("""SELECT event_id, 'a.b[0].c.d.k' AS path, json_extract_string(props, '$.k') AS value, 'ok' AS status FROM events
+    WHERE event_id % 7 <> 3 UNION ALL SELECT event_id, NULL, '{' || props, 'malformed' FROM events WHERE event_id % 7 = 3""")
 def json_props_walk(spark, sf):
-    return secrets.walk_strings(table(spark, sf, "events"), "event_id", "props", depth=2)
+    """Event properties five levels down in a larger document; some documents are broken."""
+    deep = F.concat(F.lit('{"a":{"b":[{"c":{"d":'), F.col("props"), F.lit('}}],"e":[]}}'))
+    broken = F.concat(F.lit("{"), F.col("props"))
+    events = table(spark, sf, "events").select(
+        "event_id", F.when(F.col("event_id") % 7 == 3, broken).otherwise(deep).alias("document")
+    )
+    return secrets.walk_strings(events, "event_id", "document")
 
 
 @query("""SELECT event_id, 'api_token' AS name, md5('v' || json_extract_string(props, '$.k')) AS value_md5
@@ -625,9 +644,10 @@ _RUNS_SQL = """WITH r AS (SELECT 'run-' || user_id AS run_id, event_type AS name
     DECIMAL(18,2))), 2)::DOUBLE AS value FROM events GROUP BY user_id, event_type)"""
 
 
-@query(_RUNS_SQL + " SELECT run_id, 'shop' AS experiment, name, value FROM r")
+@query(_RUNS_SQL + """ SELECT run_id, 'shop' AS experiment, stage, name, value
+    FROM r, (VALUES ('evaluate'), ('train')) AS s(stage)""")
 def run_ledger(spark, sf):
-    """Metrics of many runs appended twice; the second time adds nothing."""
+    """Metrics of two stages of many runs, each appended twice; the second time adds nothing."""
     ledger = RunLedger(spark, shared_dir(spark, "ledger"))
     rows = (
         table(spark, sf, "events")
@@ -635,9 +655,9 @@ def run_ledger(spark, sf):
         .agg(F.sum(F.col("value").cast("decimal(18,2)")).cast("double").alias("value"))
         .select("run_id", F.lit("shop").alias("experiment"), F.col("event_type").alias("name"), "value")
     )
-    ledger.append("run_metrics", rows)
-    ledger.append("run_metrics", rows)
-    return ledger.read("run_metrics").select("run_id", "experiment", "name", "value")
+    for stage in ("train", "train", "evaluate", "evaluate"):
+        ledger.append("run_metrics", rows.withColumn("stage", F.lit(stage)))
+    return ledger.read("run_metrics").select("run_id", "experiment", "stage", "name", "value")
 
 
 _LOGS_SQL = """WITH e AS (SELECT strftime(ts, '%Y-%m-%d %H:%M:%S') AS at_text,

@@ -50,7 +50,8 @@ def read_dataset(
     ``multi_line`` allows line breaks inside quoted fields; a file is then read by one task.
 
     A missing path, an empty file, a duplicate header and a header that differs from the
-    schema raise ``DataError`` at once.  Rows with too many or too few fields, or with
+    schema raise ``DataError`` at once.  A file whose own header differs from the first
+    file's fails the read of that file (``error`` finds it and raises ``DataError``).  Rows with too many or too few fields, or with
     values that do not parse, are handled by ``malformed``:
 
     ``error``   one pass looks for such a row and raises ``DataError``;
@@ -75,6 +76,8 @@ def read_dataset(
         .option("header", True)
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", CORRUPT)
+        # Every file's own header must name the columns in this order; the first file's is not enough.
+        .option("enforceSchema", False)
         # A pruned read parses only the wanted fields and misses surplus ones.
         .option("columnPruning", False)
         .schema(marked)
@@ -84,7 +87,12 @@ def read_dataset(
         return df
     broken = F.col(CORRUPT).isNotNull()
     if malformed == "error":
-        bad = df.where(broken).limit(1).collect()
+        try:
+            bad = df.where(broken).limit(1).collect()
+        except Exception as e:
+            if "CSV header does not conform to the schema" in str(e):
+                raise DataError(f"{path}: the files do not have the same header {names}") from e
+            raise
         if bad:
             raise DataError(f"malformed row in {path}: {bad[0][CORRUPT]!r}")
         return df.drop(CORRUPT)
@@ -131,11 +139,18 @@ def metrics_row(metrics: DataFrame) -> DataFrame:
     return metrics.select(*[f"`{c}`" for c in sorted(metrics.columns)])
 
 
-def write_metrics_json(metrics: DataFrame, path: str) -> None:
-    """One JSON object with sorted keys.  A metrics table is one row, so one file holds it."""
-    metrics_row(metrics).limit(1).coalesce(1).write.mode("overwrite").option(
-        "ignoreNullFields", False
-    ).json(path)
+def write_metrics_json(metrics: DataFrame, path: str) -> dict:
+    """One JSON object with sorted keys, in one file; also returned.
+
+    A metrics table is one row: more rows, or none, are refused.
+    """
+    row = metrics_row(metrics)
+    found = row.limit(2).collect()
+    if len(found) != 1:
+        raise DataError(f"a metrics table has one row, not {'more' if found else 'none'}: {row.columns}")
+    one = metrics.sparkSession.createDataFrame(found, row.schema).coalesce(1)
+    one.write.mode("overwrite").option("ignoreNullFields", False).json(path)
+    return found[0].asDict()
 
 
 def run_metric_rows(metrics: DataFrame, run_id: Column, stage: str) -> DataFrame:

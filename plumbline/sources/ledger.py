@@ -13,9 +13,9 @@ from plumbline.errors import ConfigError
 
 TABLES = {
     "runs": "run_id string, experiment string, stage string, status string",
-    "run_metrics": "run_id string, experiment string, name string, value double",
-    "run_params": "run_id string, experiment string, name string, value string",
-    "run_artifacts": "run_id string, experiment string, name string, text string",
+    "run_metrics": "run_id string, experiment string, stage string, name string, value double",
+    "run_params": "run_id string, experiment string, stage string, name string, value string",
+    "run_artifacts": "run_id string, experiment string, stage string, name string, text string",
 }
 # Fixed value: tuned parameters are told apart from given ones by this prefix.
 BEST_PREFIX = "best_"
@@ -26,8 +26,9 @@ DEFAULT_EXPERIMENT = "default"
 class RunLedger:
     """Tables under one folder, partitioned by experiment.
 
-    Every append first drops the rows whose run is already stored, so that a repeated
-    attempt changes nothing.
+    A row is named by its experiment, run, stage and, for pairs, name.  Every append first
+    drops the rows already stored under that name, so that a repeated attempt changes
+    nothing and a later stage of a known run is kept.
     """
 
     def __init__(self, spark: SparkSession, root: str):
@@ -48,26 +49,24 @@ class RunLedger:
             return self.spark.createDataFrame([], TABLES[table])
 
     def append(self, table: str, rows: DataFrame) -> None:
-        """Add the rows of runs that the table does not hold yet.
+        """Add the rows that the table does not hold yet, by their full name.
 
-        Known runs are compared as a distinct (experiment, run) list, so a run with many
-        rows is not a hot key on that side.
+        A run with many rows is no hot key: the name of the pair is part of the join key.
         """
         names = [c.split()[0] for c in TABLES[table].split(", ")]
-        known = self.read(table).select("experiment", "run_id").distinct()
+        key = [c for c in names if c in ("experiment", "run_id", "stage", "name")]
+        known = self.read(table).select(*key).distinct()
         (
             rows.select(*names)
-            .join(known, ["experiment", "run_id"], "left_anti")
+            .join(known, key, "left_anti")
             .write.mode("append")
             .partitionBy("experiment")
             .parquet(self._path(table))
         )
 
-    def _pairs(self, run_id: str, experiment: str, pairs: Mapping, kind: str, value: str):
-        rows = [(run_id, experiment, k, v) for k, v in sorted(pairs.items())]
-        return self.spark.createDataFrame(
-            rows, f"run_id string, experiment string, name string, {value} {kind}"
-        )
+    def _pairs(self, table: str, run_id: str, experiment: str, stage: str, pairs: Mapping):
+        rows = [(run_id, experiment, stage, k, v) for k, v in sorted(pairs.items())]
+        return self.spark.createDataFrame(rows, TABLES[table])
 
     def _log(self, run_id, experiment, stage, metrics, params, artifacts, status="FINISHED"):
         run_id = run_id or uuid.uuid4().hex
@@ -75,12 +74,9 @@ class RunLedger:
         numbers = {k: float(v) for k, v in metrics.items()}
         texts = {k: str(v) for k, v in params.items()}
         # The run itself is written last: a run that is listed is complete.
-        if numbers:
-            self.append("run_metrics", self._pairs(run_id, experiment, numbers, "double", "value"))
-        if texts:
-            self.append("run_params", self._pairs(run_id, experiment, texts, "string", "value"))
-        if artifacts:
-            self.append("run_artifacts", self._pairs(run_id, experiment, artifacts, "string", "text"))
+        for table, pairs in (("run_metrics", numbers), ("run_params", texts), ("run_artifacts", artifacts)):
+            if pairs:
+                self.append(table, self._pairs(table, run_id, experiment, stage, pairs))
         run = self.spark.createDataFrame([(run_id, experiment, stage, status)], TABLES["runs"])
         self.append("runs", run)
         return run_id

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import logging
+import re
 from collections.abc import Iterator
+from urllib.parse import unquote
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -34,14 +36,22 @@ def file_manifest(spark: SparkSession, path: str, pattern: str | None = None) ->
     """Manifest of every file under a path; ``pattern`` is a file-name glob.
 
     Each file is read as one row, so a file must stay below 2 GB; see
-    ``large_file_manifest`` for larger ones.  Spark does not plan a read of an empty file,
-    so empty files have no row.
+    ``large_file_manifest`` for larger ones.  Spark does not plan a read of an empty file;
+    those that its listing names and the read does not are added with the digests of nothing.
     """
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", True)
     if pattern:
         reader = reader.option("pathGlobFilter", pattern)
-    files = reader.load(path).select(F.col("_metadata.file_path").alias("path"), "content")
-    return content_manifest(files, "path", "content")
+    found = reader.load(path)
+    files = found.select(F.col("_metadata.file_path").alias("path"), "content")
+    # The listing is on the driver in any case; it holds empty files too.
+    names = [(re.sub("^file:/+", "file:/", p),) for p in found.inputFiles()]
+    listed = spark.createDataFrame(names, "path string")
+    read = found.select(F.regexp_replace(F.col("_metadata.file_path"), "^file:/+", "file:/").alias("path"))
+    empty = listed.join(read, "path", "left_anti")
+    return content_manifest(files, "path", "content").union(
+        content_manifest(empty.withColumn("content", F.lit(b"")), "path", "content")
+    )
 
 
 def large_file_manifest(spark: SparkSession, path: str, pattern: str | None = None) -> DataFrame:
@@ -57,7 +67,7 @@ def large_file_manifest(spark: SparkSession, path: str, pattern: str | None = No
 
     def digest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         import hashlib
-        from urllib.parse import unquote, urlparse
+        from urllib.parse import unquote, urlparse  # noqa: F811
 
         for batch in batches:
             rows = []
@@ -96,16 +106,19 @@ def verify_manifest(actual: DataFrame, expected: DataFrame) -> DataFrame:
 
 
 def require_verified(verified: DataFrame, *, allow_missing: bool = False) -> None:
-    """Raise if a file does not match its pin, naming both digests."""
+    """Raise if a file does not match its pin: how many do not, and both digests of the first ones.
+
+    ``verified`` itself names all of them.
+    """
     wrong = ["mismatch"] if allow_missing else ["mismatch", "missing"]
-    bad = verified.where(F.col("status").isin(*wrong)).limit(20).collect()
-    if bad:
-        raise DataError(
-            "; ".join(
-                f"{r['path']}: {r['status']}, expected {r['expected_sha256']}, got {r['actual_sha256']}"
-                for r in bad
-            )
+    bad = verified.where(F.col("status").isin(*wrong))
+    n = bad.count()
+    if n:
+        shown = "; ".join(
+            f"{r['path']}: {r['status']}, expected {r['expected_sha256']}, got {r['actual_sha256']}"
+            for r in bad.orderBy("path").limit(20).collect()
         )
+        raise DataError(f"{n} file(s) do not match: {shown}" + ("; and more, see the verification table" if n > 20 else ""))
 
 
 def snapshot_diff(old: DataFrame, new: DataFrame) -> DataFrame:
@@ -141,8 +154,7 @@ def land_dataset(
     Rows of files that are ``ok`` or ``unpinned`` go to ``dest``; unpinned ones are warned
     about.  The verification table is stored in ``<dest>_verified``, also for the files that
     were refused, and returned.  ``strict`` raises on a wrong digest instead, after that
-    table is stored and before any row is.  The files are read before they are judged, so a
-    wrong digest never hides a file that cannot be read.
+    table is stored and before any row is.  Refused files are never parsed.
     """
     manifest = file_manifest(spark, source)
     pins = expected if expected is not None else spark.createDataFrame([], "path string, sha256 string")
@@ -155,10 +167,11 @@ def land_dataset(
         log.warning("files without a pinned digest under %s", source)
     if strict:
         require_verified(verified)
-    good = verified.where("status in ('ok', 'unpinned')").select(F.col("path").alias("_path"))
-    reader = spark.read.schema(schema).option("recursiveFileLookup", True)
+    # Names of files only; a reader takes its list of files from the driver.
+    good = [unquote(r["path"]) for r in verified.where("status in ('ok', 'unpinned')").select("path").toLocalIterator()]
+    reader = spark.read.schema(schema)
     if fmt == "csv":
-        reader = reader.option("header", True).option("mode", "FAILFAST")
-    rows = reader.format(fmt).load(source).withColumn("_path", F.col("_metadata.file_path"))
-    rows.join(good, "_path", "left_semi").drop("_path").write.mode("overwrite").parquet(dest)
+        reader = reader.option("header", True).option("enforceSchema", False).option("mode", "FAILFAST")
+    rows = reader.format(fmt).load(good) if good else spark.createDataFrame([], schema)
+    rows.write.mode("overwrite").parquet(dest)
     return verified
