@@ -344,8 +344,8 @@ _TIMELINE = f"""{_INSTANT}, vals AS (
         FROM inst GROUP BY t
       UNION ALL SELECT 'LargePurchase', '{{"user_id":"' || user_id || '"}}', t, max(value) FROM events
         JOIN g ON ts <= t AND ts >= t - INTERVAL 6 HOUR WHERE event_type = 'purchase' GROUP BY user_id, t),
-    held AS (SELECT * FROM vals WHERE t <= TIMESTAMP '{END}' AND ((rule = 'ErrorPeak' AND value > 150)
-      OR (rule = 'ErrorShare' AND value > 95) OR (rule = 'LargePurchase' AND value >= 60))),
+    held AS (SELECT * FROM vals WHERE (rule = 'ErrorPeak' AND value > 150)
+      OR (rule = 'ErrorShare' AND value > 95) OR (rule = 'LargePurchase' AND value >= 60)),
     starts AS (SELECT *, CASE WHEN t - lag(t) OVER w <= INTERVAL 1 HOUR THEN 0 ELSE 1 END AS s FROM held
       WINDOW w AS (PARTITION BY rule, series ORDER BY t)),
     islands AS (SELECT *, sum(s) OVER (PARTITION BY rule, series ORDER BY t) AS island FROM starts),
@@ -359,14 +359,8 @@ _TRANSITIONS = f"""{_TIMELINE}, runs AS (SELECT rule, series, since, min(t) FILT
       UNION ALL SELECT rule, series, since, CASE WHEN fired IS NULL THEN 'inactive' ELSE 'resolved' END, after FROM runs)"""
 
 
-def _end():
-    return F.lit(END).cast("timestamp")
-
-
 def _timeline(spark, sf):
-    return alerting.alert_timeline(
-        _samples(spark, sf), RULES, step_s=HOUR, lookback_s=LOOKBACK, end=_end()
-    )
+    return alerting.alert_timeline(_samples(spark, sf), RULES, step_s=HOUR, lookback_s=LOOKBACK)
 
 
 def _no_zone(df):
@@ -378,9 +372,9 @@ def alert_timeline(spark, sf):
     return _no_zone(_timeline(spark, sf).withColumn("value", F.round("value", 6)))
 
 
-@query(f"WITH {_TRANSITIONS} SELECT rule, series, since, state, at_time FROM moves WHERE at_time <= TIMESTAMP '{END}'")
+@query(f"WITH {_TRANSITIONS} SELECT rule, series, since, state, at_time FROM moves")
 def alert_transitions(spark, sf):
-    moves = alerting.alert_transitions(_timeline(spark, sf), HOUR, _end())
+    moves = alerting.alert_transitions(_timeline(spark, sf), HOUR)
     return _no_zone(moves.withColumnRenamed("at", "at_time"))
 
 

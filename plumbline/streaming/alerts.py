@@ -149,14 +149,16 @@ class AlertState(StatefulProcessor):
             if timer is not None:
                 self.handle.deleteTimer(timer)
             self.handle.registerTimer(self._timer(run))
-        yield self._rows(key, events)
+        if events:
+            yield self._rows(key, events)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         events = []
         if self.run.exists():
             events.append(self._ended(tuple(self.run.get())))
             self.run.clear()
-        yield self._rows(key, events)
+        if events:
+            yield self._rows(key, events)
 
     def close(self) -> None:
         pass

@@ -5,7 +5,6 @@ from __future__ import annotations
 import logging
 from collections.abc import Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -60,52 +59,52 @@ class GaugeTable:
     def __init__(self, spark: SparkSession, root: str | None, stages: Sequence[str] = STAGES):
         self.spark, self.root, self.stages = spark, root and root.rstrip("/"), stages
 
-    def _all(self) -> DataFrame:
-        try:
-            return self.spark.read.schema(GAUGE_SCHEMA + ", version bigint").parquet(self.root)
-        except AnalysisException as e:
-            if e.getCondition() != "PATH_NOT_FOUND":
-                raise
-            return self.spark.createDataFrame([], GAUGE_SCHEMA + ", version bigint")
+    def _versions(self) -> list[int]:
+        """Numbers of the complete versions; two at most, and one that is being written."""
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.root)
+        fs = path.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        if not fs.exists(path):
+            return []
+        found = [f.getPath() for f in fs.listStatus(path) if f.getPath().getName().startswith("version=")]
+        done = [f for f in found if fs.exists(self.spark._jvm.org.apache.hadoop.fs.Path(f, "_SUCCESS"))]
+        return sorted(int(f.getName().split("=")[1]) for f in done)
 
     def read(self, before: int | None = None) -> DataFrame:
         """The newest version, or the newest one below ``before``."""
-        rows = self._all()
-        if before is not None:
-            rows = rows.where(F.col("version") < before)
-        newest = rows.agg(F.max("version").alias("v")).scalar()
-        return rows.where(F.col("version") == newest).drop("version").where("stage is not null")
+        known = [v for v in self._versions() if before is None or v < before]
+        if not known:
+            return self.spark.createDataFrame([], GAUGE_SCHEMA)
+        return self.spark.read.schema(GAUGE_SCHEMA).parquet(f"{self.root}/version={known[-1]}")
 
     def _write(self, rows: DataFrame, version: int) -> None:
+        """Write a version, then remove all but it and the one it was made from."""
         rows.write.mode("overwrite").parquet(f"{self.root}/version={version}")
+        for old in self._versions()[:-2]:
+            path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/version={old}")
+            path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
 
     def upsert(self, pushes: DataFrame, version: int) -> None:
         """Merge pushes into the table.  Unknown stages are refused and logged.
 
-        Without a target nothing happens, and a failure is logged and swallowed: metrics
-        never fail the work they measure.
+        Without a target nothing happens.  A failure is raised: a stream that goes on after
+        one would lose its pushes.
         """
         if not self.root:
             return
-        try:
-            ok, refused = allow_values(pushes, "stage", self.stages)
-            unknown = refused.select("stage").distinct().limit(20).collect()
-            if unknown:
-                log.warning("refused stages: %s", [r["stage"] for r in unknown])
-            merged = newest_gauges(newest_gauges(ok).unionByName(self.read(before=version)))
-            self._write(merged, version)
-        except Exception as e:  # noqa: BLE001
-            log.warning("gauges not written: %s", e)
+        ok, refused = allow_values(pushes, "stage", self.stages)
+        names = refused.select("stage").distinct()
+        unknown = names.limit(20).collect()
+        if unknown:
+            log.warning("%d refused stages, e.g. %s", names.count(), [r["stage"] for r in unknown])
+        merged = newest_gauges(newest_gauges(ok).unionByName(self.read(before=version)))
+        self._write(merged, version)
 
     def reset(self, job: str, version: int) -> None:
         """Clear a job's gauges, so that a stage that does not run is absent, not stale."""
         if not self.root:
             return
         try:
-            kept = self.read(before=version).where(F.col("job") != job)
-            # A row without a stage marks the version when no gauge is left.
-            mark = self.spark.createDataFrame([(job, None, None, None, None)], GAUGE_SCHEMA)
-            self._write(kept.unionByName(mark), version)
+            self._write(self.read(before=version).where(F.col("job") != job), version)
         except Exception as e:  # noqa: BLE001
             log.warning("gauges not reset: %s", e)
 
@@ -117,9 +116,15 @@ class GaugeTable:
 def push_stage_metrics(
     table: GaugeTable, job: str, stage: str, duration_seconds: float, success: bool, version: int
 ) -> None:
-    """Put the two gauges of one stage."""
+    """Put the two gauges of one stage.
+
+    A failure is logged and swallowed: metrics never fail the work they measure.
+    """
     rows = table.spark.createDataFrame(
         [(job, stage, float(duration_seconds), int(success))],
         "job string, stage string, duration_seconds double, success int",
     ).withColumn("ts", F.current_timestamp())
-    table.upsert(rows, version)
+    try:
+        table.upsert(rows, version)
+    except Exception as e:  # noqa: BLE001
+        log.warning("gauges not written: %s", e)

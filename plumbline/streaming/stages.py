@@ -7,6 +7,7 @@ or never ends, is kept apart and is not a failure.
 
 from __future__ import annotations
 
+import json
 import sys
 from collections.abc import Iterator, Sequence
 
@@ -89,51 +90,88 @@ def stage_status(
 
 
 class StageTimer(StatefulProcessor):
-    """Pairs the start and the end of one (run, stage); a timer gives up on a lost end."""
+    """Pairs the start and the end of one (run, stage) once nothing earlier can come.
+
+    Events of a key wait in the state, whatever their order of arrival: the earliest start,
+    and the ends up to the first one that follows it.  When the watermark has passed that
+    end, the row is given.  A timer gives up on a lost end, and clears the memory of a
+    finished stage.
+    """
 
     def __init__(self, timeout_s: int):
-        self.timeout_ms = timeout_s * 1000
+        self.timeout_us = timeout_s * 1_000_000
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.start = handle.getValueState("start", "us bigint, done boolean")
-
-    def _row(self, key, start, seconds, outcome) -> pd.DataFrame:
+        self.seen = handle.getValueState("seen", "start bigint, done boolean, ends string, timer bigint")
+
+    def _load(self):
+        if not self.seen.exists():
+            return None, False, [], None
+        start, done, ends, timer = tuple(self.seen.get())
+        return start, done, [tuple(e) for e in json.loads(ends)], timer
+
+    def _wait(self, start, done, ends, timer) -> None:
+        """Store what is known, with a timer for the moment at which it is decided."""
+        close = None if done else self._close(start, ends)
+        if close is not None:
+            due = close[0]
+        elif start is not None:
+            due = start + self.timeout_us
+        else:
+            due = max(e[0] for e in ends)
+        due = due // 1000 + 1
+        if timer is not None and timer != due:
+            self.handle.deleteTimer(timer)
+        self.seen.update((start, done, json.dumps(ends), due))
+        if timer != due:
+            self.handle.registerTimer(due)
+
+    @staticmethod
+    def _close(start, ends):
+        """The first end at or after the start; an end comes before an interruption."""
+        return None if start is None else min((e for e in ends if e[0] >= start), default=None)
+
+    @staticmethod
+    def _row(key, start, seconds, outcome) -> pd.DataFrame:
         columns = ["run_id", "stage", "started", "duration_seconds", "outcome"]
-        rows = [] if outcome is None else [(*key, pd.Timestamp(start, unit="us"), seconds, outcome)]
-        return pd.DataFrame(rows, columns=columns)
+        return pd.DataFrame([(*key, pd.Timestamp(start, unit="us"), seconds, outcome)], columns=columns)
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        events = []
+        start, done, ends, timer = self._load()
         for batch in rows:
             us = batch["ts"].astype("datetime64[us]").astype("int64")
-            events += zip(us.tolist(), batch["kind"], batch["ok"], strict=True)
-        # At the same time a start comes before an end, and that before an interruption.
-        place = {"start": 0, "end": 1, "interrupt": 2}
-        events.sort(key=lambda e: (e[0], place[e[1]], bool(e[2])))
-        start, done = tuple(self.start.get()) if self.start.exists() else (None, False)
-        known = start is not None
-        outcome = seconds = None
-        for us, kind, ok in events:
-            if kind == "start" and start is None:
-                start = us
-            elif kind != "start" and start is not None and not done:
-                done = True
-                if kind == "interrupt":
-                    outcome = "interrupted"
+            for at, kind, ok in zip(us.tolist(), batch["kind"], batch["ok"], strict=True):
+                if kind == "start":
+                    start = at if start is None else min(start, at)
                 else:
-                    outcome, seconds = "success" if ok else "failure", (us - start) / 1e6
-        if start is not None:
-            self.start.update((start, done))
-            if not known:
-                # Also clears the memory of a finished stage.
-                self.handle.registerTimer(start // 1000 + self.timeout_ms)
-        yield self._row(key, start, seconds, outcome)
+                    ends.append((at, int(kind == "interrupt"), int(bool(ok))))
+        close = self._close(start, ends)
+        ends = [] if done else sorted({e for e in ends if close is None or e <= close})
+        if start is not None or ends:
+            self._wait(start, done, ends, timer)
+        return
+        yield
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        start, done = tuple(self.start.get()) if self.start.exists() else (None, True)
-        self.start.clear()
-        yield self._row(key, start, None, None if done else "interrupted")
+        start, done, ends, _ = self._load()
+        now = timerValues.getCurrentWatermarkInMs()
+        close = None if done else self._close(start, ends)
+        if close is not None:
+            at, interrupted, ok = close
+            if interrupted:
+                yield self._row(key, start, None, "interrupted")
+            else:
+                yield self._row(key, start, (at - start) / 1e6, "success" if ok else "failure")
+            done, ends = True, []
+        elif start is not None and not done:
+            yield self._row(key, start, None, "interrupted")
+            done = True
+        if start is not None and (start + self.timeout_us) // 1000 + 1 > now:
+            self._wait(start, done, ends, None)
+        else:
+            # A start that has not come by now would be late.
+            self.seen.clear()
 
     def close(self) -> None:
         pass
@@ -142,7 +180,8 @@ class StageTimer(StatefulProcessor):
 def stream_stage_runs(events: DataFrame, *, timeout_s: int, delay: str = "1 minute") -> DataFrame:
     """The rows of ``stage_runs`` as they are known; a lost end is given up after a while.
 
-    State is one row per (run, stage) and is dropped when its timer runs out.
+    State is one row per (run, stage) and is dropped when its timer runs out.  An end later
+    than ``timeout_s`` after its start is not waited for.
     """
     use_rocksdb(events.sparkSession)
     return (

@@ -125,3 +125,35 @@ def test_gauge_table(spark, tmp_path):
     push_stage_metrics(GaugeTable(spark, None), "j", "split", 1.0, True, 1)
     (tmp_path / "file").write_text("x")
     push_stage_metrics(GaugeTable(spark, str(tmp_path / "file" / "x")), "j", "split", 1.0, True, 1)
+
+
+def test_an_end_that_comes_before_its_start_is_kept(spark, tmp_path):
+    from plumbline.streaming.stages import stage_runs, stream_stage_runs
+
+    at = lambda minute: datetime(2026, 1, 1, 0, minute)
+    rows = [
+        [("r1", "split", "end", True, at(9)), ("r2", "split", "start", True, at(5))],
+        [("r1", "split", "start", True, at(3)), ("r2", "split", "start", True, at(4)), ("r2", "split", "end", False, at(8))],
+        [("r1", "split", "interrupt", True, at(12)), ("r3", "train", "end", True, at(2))],
+        [("clock", "train", "start", True, datetime(2026, 1, 3))],
+    ]
+    schema = "run_id string, stage string, kind string, ok boolean, ts timestamp"
+    path = str(tmp_path / "in")
+    for part in rows:
+        spark.createDataFrame(part, schema).coalesce(1).write.mode("append").parquet(path)
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(path)
+    got = drain(stream_stage_runs(stream, timeout_s=3600, delay="30 minutes"), str(tmp_path / "out"))
+    want = stage_runs(spark.read.parquet(path)).where("run_id <> 'clock'")
+    key = lambda df: sorted(map(tuple, df.select("run_id", "stage", "started", "duration_seconds", "outcome").collect()))
+    assert key(got) == key(want) and len(key(want)) == 2
+
+
+def test_a_gauge_sink_raises_and_keeps_two_versions(spark, tmp_path):
+    import pytest
+
+    table = GaugeTable(spark, str(tmp_path / "gauges"))
+    for version in range(1, 6):
+        push_stage_metrics(table, "j", "split", float(version), True, version)
+    assert sorted(p.name for p in (tmp_path / "gauges").iterdir()) == ["version=4", "version=5"]
+    with pytest.raises(Exception):  # noqa: B017
+        table.sink()(spark.range(1), 6)
