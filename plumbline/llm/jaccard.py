@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from plumbline.llm.components import components
 from plumbline.llm.filters import key_filter, spot
-from plumbline.llm.text import mixed, shingle_sets
+from plumbline.llm.text import mixed, shingle_sets, small_batches
 from plumbline.session import stored
 
 #: Buckets of hashes whose counts order the tokens; the counts are broadcast (2 MB).
@@ -43,7 +43,7 @@ def shingle_links(docs: DataFrame, k: int = 5, percent: int = 75) -> DataFrame:
     """
     if not 1 <= percent <= 100:
         raise ValueError("percent must lie between 1 and 100")
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    docs = small_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     order = _bucket_counts(docs, k)
     sets = stored(_prefixes(docs, k, percent, order), "prefixes")
     small = sets.drop("prefix")

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from plumbline.llm.filters import key_filter, spots
-from plumbline.llm.text import byte_texts
+from plumbline.llm.text import byte_texts, small_batches
 from plumbline.session import stored
 
 #: A line of so many words is a chunk of its own.
@@ -61,7 +61,7 @@ def drop_repeated_chunks(docs: DataFrame, min_words: int = 50) -> DataFrame:
     place: they lose or keep the same.  A hash shared by different bytes removes nothing.
     """
     added = ("n_chunks", "n_removed", "words_removed")
-    docs = docs.drop(*added)
+    docs = small_batches(docs).drop(*added)
     key = F.xxhash64("doc_id", "text")
     texts = docs.select(F.col("doc_id").cast("string").alias("_id"), key.alias("_key"), F.col("text").alias("_text")).where(
         "_text <> ''"

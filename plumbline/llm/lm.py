@@ -21,7 +21,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.llm.text import mixed, remainder, word_runs
+from plumbline.llm.text import mixed, remainder, small_batches, word_runs
 from plumbline.session import stored
 
 #: Words that are symbols of their own, and symbols of word endings.
@@ -35,7 +35,7 @@ COMMON = 1 << 18
 #: Size of an embedding, noise words of a training step, tokens of a step.
 WIDTH, NOISE, STEP = 24, 48, 1024
 #: Tokens that are scored together.
-TOGETHER = 1 << 20
+TOGETHER = 1 << 19
 
 
 def ending_symbol(text: np.ndarray, at: np.ndarray, to: np.ndarray) -> np.ndarray:
@@ -258,7 +258,7 @@ def lm_scores(docs: DataFrame, train: Column) -> DataFrame:
     Repeated rows and equal texts have equal scores.  With nothing to learn from, no token
     is known and the base is 0.
     """
-    docs = docs.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"), train.alias("train"))
+    docs = small_batches(docs).select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"), train.alias("train"))
     texts = docs.where("train").select("text")
     counts, words = count_words(texts)
     model = learn_model(texts, counts, F.pmod(F.xxhash64("text"), F.lit(2)))

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.llm.text import byte_texts
+from plumbline.llm.text import byte_texts, small_batches
 from plumbline.session import stored
 
 #: Hashed pairs of neighbouring bytes.
@@ -62,7 +62,7 @@ def learn_domains(labelled: DataFrame, bound: int = 4096, steps: int = 300) -> D
     are empty.  Without rows there are no domains.
     """
     rows = (
-        labelled.where("domain is not null")
+        small_batches(labelled).where("domain is not null")
         .select(F.col("text").cast("string").alias("text"), F.col("domain").cast("string").alias("domain"))
         .orderBy(F.xxhash64("text"), "domain")
         .limit(bound)
@@ -78,8 +78,9 @@ def learn_domains(labelled: DataFrame, bound: int = 4096, steps: int = 300) -> D
     names = sorted(set(marks))
     if not names:
         return Domains([], np.zeros((0, PAIRS)), np.zeros(0), np.zeros(0))
-    x = table.column("x").combine_chunks().flatten().to_numpy().reshape(-1, PAIRS).astype(float)
-    y = np.eye(len(names))[[names.index(m) for m in marks]]
+    x = table.column("x").combine_chunks().flatten().to_numpy().reshape(-1, PAIRS)
+    place = {name: i for i, name in enumerate(names)}
+    y = np.eye(len(names))[[place[m] for m in marks]]
     prior = y.mean(axis=0)
     model = Domains(names, np.zeros((len(names), PAIRS)), np.log(prior), prior)
     # Accelerated gradient; features have unit length, so 2 is a safe step for the mean loss.
@@ -98,18 +99,19 @@ def learn_domains(labelled: DataFrame, bound: int = 4096, steps: int = 300) -> D
 
 def with_posteriors(docs: DataFrame, model: Domains, column: str = "mix") -> DataFrame:
     """``docs`` with a struct ``n_tokens, posterior``; an empty text has the sample's shares."""
-    shared = docs.sparkSession.sparkContext.broadcast(vars(model))
+    shared = small_batches(docs).sparkSession.sparkContext.broadcast(vars(model))
 
     @F.arrow_udf("struct<n_tokens: long, posterior: array<double>>")
     def measure(texts: pa.Array) -> pa.Array:
         model = Domains(**shared.value)
-        found = [_features(t) for t in byte_texts(texts)]
-        x = np.array([f for f, _ in found]).reshape(-1, PAIRS)
+        words, shares = [], []
+        texts = byte_texts(texts)
+        for i in range(0, len(texts), 128):
+            found = [_features(t) for t in texts[i : i + 128]]
+            words += [n for _, n in found]
+            shares += list(model.posteriors(np.array([f for f, _ in found]))) if model.names else [[]] * len(found)
         return pa.StructArray.from_arrays(
-            [
-                pa.array([n for _, n in found], pa.int64()),
-                pa.array(list(model.posteriors(x)) if len(model.names) else [[]] * len(x), pa.list_(pa.float64())),
-            ],
+            [pa.array(words, pa.int64()), pa.array(shares, pa.list_(pa.float64()))],
             ["n_tokens", "posterior"],
         )
 

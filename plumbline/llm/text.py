@@ -15,6 +15,17 @@ TOGETHER = 1 << 20
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
+def small_batches(df: DataFrame) -> DataFrame:
+    """``df``, in whose session workers now get at most 1,000 rows and 16 MB at a time.
+
+    Texts are whole, so a batch of the default size may hold very much.
+    """
+    conf = df.sparkSession.conf
+    conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+    conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(16 << 20))
+    return df
+
+
 def remainder(key: Column, n: int) -> Column:
     """crc32 of the key as text, modulo ``n``; a null key has remainder -1."""
     return F.coalesce(F.pmod(F.crc32(key.cast("string")), F.lit(n)), F.lit(-1))

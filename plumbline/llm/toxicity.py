@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from plumbline.llm.labelled import sample_labelled
-from plumbline.llm.text import byte_texts, remainder
+from plumbline.llm.text import byte_texts, remainder, small_batches
 
 #: ASCII marks and blanks between words become blanks, A-Z becomes a-z.
 _PLAIN = bytes((c | 32 if 65 <= c <= 90 else c) if c > 127 or chr(c).isalnum() else 32 for c in range(256))
@@ -104,7 +104,7 @@ def learn_toxicity(
     without any).
     """
     learn = F.lit(True) if learn is None else learn
-    sample = sample_labelled(docs, labels, label, learn, bound)
+    sample = sample_labelled(small_batches(docs), labels, label, learn, bound)
 
     def count(batches):
         for batch in batches:
@@ -216,7 +216,7 @@ def with_toxicity(docs: DataFrame, model: Examples, column: str = "toxicity") ->
     Null, empty and unknown texts get the rate of the examples without a known term.
     Repeated rows and ties score alike; other columns are passed through.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(vars(model))
+    shared = small_batches(docs).sparkSession.sparkContext.broadcast(vars(model))
     kind = "struct<score: double, evidence: array<struct<doc_id: long, cosine: double, label: int>>>"
     ids = np.asarray(model.ids)
     numbered = ids.dtype.kind in "iu"

@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from plumbline.llm.components import components
+from plumbline.llm.text import small_batches
 from plumbline.session import stored
 
 #: Vectors of a tile on either side (2 x 1024 x 64 doubles are 1 MB; their product is 8 MB).
@@ -117,7 +118,7 @@ def near_vectors(vectors: DataFrame, least: float = 0.95) -> DataFrame:
     vector of its own.  A null vec_id is searched like others, but is no component's name:
     its own component is null unless a named vector is reachable.
     """
-    rows = vectors.select(
+    rows = small_batches(vectors).select(
         F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("embedding")
     )
     sound = F.expr(
