@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from plumbline.llm.labelled import sample_labelled
-from plumbline.llm.text import byte_texts, located_words, remainder
+from plumbline.llm.text import byte_texts, located_words, remainder, small_batches
 
 #: Words of a passage at least, and passages of a text at most: longer texts have longer passages.
 PASSAGE_WORDS, PASSAGES = 50, 64
@@ -127,7 +127,7 @@ def learn_quality(
     (0 without any text).
     """
     learn = F.lit(True) if learn is None else learn
-    sample = sample_labelled(docs, labels, label, learn, bound)
+    sample = sample_labelled(small_batches(docs), labels, label, learn, bound)
 
     def work(batches):
         for batch in batches:
@@ -174,14 +174,15 @@ def with_quality(docs: DataFrame, model: Attention | float, column: str = "quali
     """
     if isinstance(model, float):
         return docs.withColumn(column, F.lit(model))
-    shared = docs.sparkSession.sparkContext.broadcast(vars(model))
+    shared = small_batches(docs).sparkSession.sparkContext.broadcast(vars(model))
 
     @F.arrow_udf("double")
     def score(texts: pa.Array) -> pa.Array:
         model = Attention(**shared.value)
         bags = [measure(t) for t in byte_texts(texts)]
         first = np.cumsum([0] + [len(b) for b in bags[:-1]])
-        return pa.array(model.forward(np.concatenate(bags), first)[0] if bags else [], pa.float64())
+        # Rounded, since the last bits of a matrix product depend on the rest of the batch.
+        return pa.array(np.round(model.forward(np.concatenate(bags), first)[0], 12) if bags else [], pa.float64())
 
     return docs.withColumn(column, score(F.col("text").cast("string")))
 

@@ -1,6 +1,6 @@
 """Secret scanning with a random forest that removes false positives, in SQL functions and ML alone.
 
-Candidates are long words that hold a digit.  Each is described by its length, its character
+Candidates are long words that hold a digit or a run of capitals.  Each is described by its length, its character
 transitions (how likely they are in the corpus's own common words), how much of it common words cover, its
 path and its neighbouring words.  A forest learnt from labelled findings scores them.
 """
@@ -56,7 +56,7 @@ def candidates(docs: DataFrame, path: str | None = None) -> DataFrame:
     """
     words = F.split(F.coalesce(F.col("text").cast("string"), F.lit("")), BLANK)
     place = F.lit("") if path is None else F.coalesce(F.col(path).cast("string"), F.lit(""))
-    long = lambda i: (F.length(F.get("words", i)) >= 16) & F.get("words", i).rlike("[0-9]") & F.get("words", i).rlike(_CANDIDATE)
+    long = lambda i: (F.length(F.get("words", i)) >= 16) & F.get("words", i).rlike("[0-9]|[A-Z]{16}") & F.get("words", i).rlike(_CANDIDATE)
     near = lambda i: F.coalesce(F.get("words", i), F.lit(""))
     at = F.filter(F.sequence(F.lit(0), F.size("words") - 1), long)
     found = docs.select("doc_id", place.alias("path"), words.alias("words")).select(
