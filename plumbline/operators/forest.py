@@ -10,12 +10,13 @@ import itertools
 import json
 from collections.abc import Sequence
 from dataclasses import dataclass, field
+from multiprocessing.pool import ThreadPool
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.tuning import CrossValidator
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -81,6 +82,7 @@ class Fitted:
     model: PipelineModel
     target: str
     signature: str
+    output: str
     best_params: dict = field(default_factory=dict)
     scores: list = field(default_factory=list)
 
@@ -90,6 +92,11 @@ def signature(df: DataFrame, features: Sequence[str]) -> str:
     return T.StructType([df.schema[c] for c in features]).json()
 
 
+def output_signature(df: DataFrame, target: str) -> str:
+    """What a prediction looks like: its name and the target's type, as JSON schema text."""
+    return T.StructType([T.StructField(PREDICTION, df.schema[target].dataType)]).json()
+
+
 def check_signature(df: DataFrame, stored: str, source: str) -> list[str]:
     """Names of the features, if ``df`` has them all with the same types."""
     wanted = T.StructType.fromJson(json.loads(stored))
@@ -118,9 +125,28 @@ def pinned(df: DataFrame, key: Sequence[str], partitions: int) -> DataFrame:
     return df.repartition(partitions, *key).sortWithinPartitions(*key)
 
 
-def grid_scores(cv_model, grid: Sequence[dict]) -> list[tuple[int, dict, float]]:
+def fold_scores(ready: DataFrame, forest: Forest, maps: Sequence[dict], folds: int, parallelism: int) -> list[float]:
+    """Mean accuracy of each candidate over the folds; all fits run from one pool.
+
+    A fit is a row of small jobs, so fits of different folds fill each other's gaps.
+    """
+    judge = MulticlassClassificationEvaluator(labelCol=LABEL, predictionCol=PREDICTION, metricName="accuracy")
+    sides = [(ready.where(F.col("fold") != f), ready.where(F.col("fold") == f)) for f in range(folds)]
+
+    def one(task: tuple[int, int]) -> float:
+        fold, place = task
+        train, held = sides[fold]
+        return judge.evaluate(forest.fit(train, maps[place]).transform(held))
+
+    tasks = [(fold, place) for fold in range(folds) for place in range(len(maps))]
+    with ThreadPool(max(1, min(parallelism, len(tasks)))) as pool:
+        found = pool.map(inheritable_thread_target(ready.sparkSession)(one), tasks, chunksize=1)
+    return [sum(found[place :: len(maps)]) / folds for place in range(len(maps))]
+
+
+def grid_scores(means: Sequence[float], grid: Sequence[dict]) -> list[tuple[int, dict, float]]:
     """``(place, params, mean score)`` in grid order."""
-    return [(i, g, float(s)) for i, (g, s) in enumerate(zip(grid, cv_model.avgMetrics, strict=True))]
+    return [(i, g, float(s)) for i, (g, s) in enumerate(zip(grid, means, strict=True))]
 
 
 def best_candidate(scores: Sequence[tuple[int, dict, float]]) -> tuple[int, dict, float]:
@@ -136,7 +162,7 @@ def grid_search(
 ) -> Fitted:
     """Search the grid by mean accuracy over stratified folds, then refit on all rows.
 
-    Candidates run side by side, each as ordinary Spark jobs.  The rows with their folds
+    Candidates and folds run side by side, each as ordinary Spark jobs.  The rows with their folds
     and feature vectors are laid out once and kept for all fits; memory that does not
     suffice spills to disk, and a lost executor's part is computed again.
     """
@@ -179,35 +205,24 @@ def grid_search(
             {forest.minInstancesPerNode: g["min_leaf"], forest.minInfoGain: g["min_gain"]}
             for g in grid
         ]
-        search = CrossValidator(
-            estimator=forest,
-            estimatorParamMaps=maps,
-            evaluator=MulticlassClassificationEvaluator(
-                labelCol=LABEL, predictionCol=PREDICTION, metricName="accuracy"
-            ),
-            numFolds=settings.folds,
-            foldCol="fold",
-            parallelism=settings.parallelism,
-        )
-        found = search.fit(ready)
-        scores = grid_scores(found, grid)
-        # The search keeps the first candidate with the highest mean, as ``best_candidate`` does.
-        _, params, score = best_candidate(scores)
-        chosen = found.bestModel
+        scores = grid_scores(fold_scores(ready, forest, maps, settings.folds, settings.parallelism), grid)
+        place, params, score = best_candidate(scores)
+        chosen = forest.fit(ready, maps[place])
     finally:
         ready.unpersist()
     return Fitted(
-        PipelineModel([assembler, chosen]), target, signature(df, features), {**params, "score": score}, scores
+        PipelineModel([assembler, chosen]), target, signature(df, features), output_signature(df, target), {**params, "score": score}, scores
     )
 
 
 def predict(fitted: Fitted, df: DataFrame, source: str = "dataset") -> DataFrame:
-    """``df`` plus ``prediction``, typed like the target where it has one.
+    """``df`` plus ``prediction``, of the type that the stored output signature states.
 
-    The stored signature is compared first, on column names and types only.
+    The stored signatures are compared first, on column names and types only.
     """
     check_signature(df, fitted.signature, source)
+    kind = T.StructType.fromJson(json.loads(fitted.output))[PREDICTION].dataType
+    if fitted.target in df.columns and df.schema[fitted.target].dataType != kind:
+        raise ModelError(f"{source}: target {fitted.target!r} is not of the type {kind.simpleString()} it was learnt with")
     out = fitted.model.transform(df).select(*df.columns, PREDICTION)
-    if fitted.target in df.columns:
-        out = out.withColumn(PREDICTION, F.col(PREDICTION).cast(df.schema[fitted.target].dataType))
-    return out
+    return out.withColumn(PREDICTION, F.col(PREDICTION).cast(kind))

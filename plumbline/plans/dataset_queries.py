@@ -8,10 +8,18 @@ from plumbline.functions import display, scalars
 from plumbline.operators import assurance, classmetrics, columns, secrets
 from plumbline.operators.forest import ForestSettings, grid_search, predict
 from plumbline.operators.split import random_split, rank_in_class, stratified_kfold, stratified_split
-from plumbline.plans.learning import evaluate_model, holdout_run, train_and_report
+from plumbline.plans.learning import (
+    audit_inputs,
+    evaluate_model,
+    holdout_run,
+    load_fitted,
+    record_evaluation,
+    save_fitted,
+    train_and_report,
+)
 from plumbline.plans.registry import query
 from plumbline.plans.tables import document_features, table
-from plumbline.session import shared_dir
+from plumbline.session import shared_dir, stored
 from plumbline.sources import datasets, manifests
 from plumbline.sources.ledger import RunLedger
 from plumbline.sources.logs import read_log_entries, read_logs
@@ -260,6 +268,63 @@ def model_round_trip(spark, sf):
     )
 
 
+_LABELLED = _split_sql("(SELECT doc_id, quality FROM labels JOIN documents USING (doc_id))", "doc_id", "quality")
+_ONE_FIT = ForestSettings(10, 4, SEED, 4, leaf_sizes=(1,), least_gains=(0.0,))
+
+
+@query(_LABELLED + """SELECT doc_id, quality, true AS known_class, true AS stored_once FROM parts WHERE "partition" = 'test'""")
+def held_out_over_artifacts(spark, sf):
+    """Split to two datasets, train, store and reload the model, score, write metrics and ledger."""
+    root = shared_dir(spark, "run")
+    parts = stratified_split(stored(_features(spark, sf), "features"), "quality", SHARE, SEED, "doc_id")
+    datasets.write_dataset(parts, f"{root}/parts", partition_by=["partition"])
+    read = spark.read.parquet(f"{root}/parts")
+    train, test = (read.where(F.col("partition") == p).drop("partition") for p in ("train", "test"))
+    audit_inputs(train, test, "doc_id")
+    save_fitted(grid_search(train, "quality", "doc_id", _ONE_FIT), spark, f"{root}/model")
+    scored, accuracy = evaluate_model(load_fitted(spark, f"{root}/model"), test)
+    ledger = RunLedger(spark, f"{root}/ledger")
+    for _ in range(2):
+        record_evaluation(accuracy, f"{root}/metrics", ledger, "run-1")
+    runs = ledger.read("run_metrics").agg((F.count(F.lit(1)) == 1).alias("stored_once"))
+    told = F.lit(runs.first()["stored_once"])
+    return scored.select("doc_id", "quality", F.col("prediction").isin(0, 1).alias("known_class"), told.alias("stored_once"))
+
+
+@query("SELECT count(*) AS n_rows, true AS same_scores, true AS same_trees, true AS first_highest FROM labels JOIN documents USING (doc_id)")
+def two_trainings_equal(spark, sf):
+    """The same search twice, the second time over another layout of the rows."""
+    rows = stored(_features(spark, sf), "features")
+    settings = ForestSettings(10, 4, SEED, 4)
+    one, other = (grid_search(r, "quality", "doc_id", settings) for r in (rows, rows.repartition(5, "chars")))
+    trees = [f.model.stages[-1].toDebugString.split("\n", 1)[1] for f in (one, other)]
+    best = max(s for _, _, s in one.scores)
+    first = next(g for _, g, s in one.scores if s == best)
+    return rows.agg(F.count(F.lit(1)).alias("n_rows")).select(
+        "n_rows",
+        F.lit(one.scores == other.scores).alias("same_scores"),
+        F.lit(trees[0] == trees[1]).alias("same_trees"),
+        F.lit({**first, "score": best} == one.best_params).alias("first_highest"),
+    )
+
+
+@query(_LABELLED + """SELECT CAST(quality AS VARCHAR) AS class, count(*) AS support FROM parts WHERE "partition" = 'test' GROUP BY quality
+    UNION ALL SELECT unnest(['accuracy', 'macro avg', 'weighted avg']), count(*) FROM parts WHERE "partition" = 'test'""")
+def holdout_support(spark, sf):
+    """Rows of each class in the report over the held-out part."""
+    _, scored = holdout_run(_features(spark, sf), "quality", "doc_id", test_size=SHARE, settings=_ONE_FIT)
+    return classmetrics.classification_report(scored, "quality", "prediction").select("class", "support")
+
+
+@query(
+    _split_sql("(SELECT doc_id, quality, 0 AS one FROM labels JOIN documents USING (doc_id))", "doc_id", "one")
+    + """SELECT doc_id, quality, true AS known_class FROM parts WHERE "partition" = 'test'"""
+)
+def batch_predict_rows(spark, sf):
+    """The held-out rows that a batch prediction gives back, each with a class that exists."""
+    return batch_predict(spark, sf).select("doc_id", "quality", F.col("prediction").isin(0, 1).alias("known_class"))
+
+
 @query()
 def batch_predict(spark, sf):
     parts = random_split(_features(spark, sf), SHARE, SEED, "doc_id")

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
-from plumbline.errors import DataError
+from plumbline.errors import DataError, ModelError
 from plumbline.operators import classmetrics
 from plumbline.operators.assurance import is_disjoint
 from plumbline.operators.forest import (
@@ -22,7 +23,7 @@ from plumbline.operators.forest import (
 from plumbline.operators.columns import require_columns
 from plumbline.operators.split import TEST, TRAIN, random_split, stratified_split
 from plumbline.session import stored
-from plumbline.sources.datasets import write_metrics_json
+from plumbline.sources.datasets import load_model, save_model, write_metrics_json
 from plumbline.sources.ledger import RunLedger
 
 
@@ -97,6 +98,30 @@ def holdout_run(
     return training, scored
 
 
+def save_fitted(fitted: Fitted, spark: SparkSession, path: str) -> None:
+    """Store a model with its target, signatures, parameters and scores."""
+    save_model(fitted.model, f"{path}/model")
+    about = {
+        "target": fitted.target,
+        "signature": fitted.signature,
+        "output": fitted.output,
+        "best_params": fitted.best_params,
+        "scores": fitted.scores,
+    }
+    spark.createDataFrame([(json.dumps(about),)], "value string").coalesce(1).write.mode("overwrite").text(f"{path}/about")
+
+
+def load_fitted(spark: SparkSession, path: str) -> Fitted:
+    """A stored model, ready for ``predict``: scoring checks the stored signatures."""
+    model = load_model(spark, f"{path}/model")
+    try:
+        about = json.loads(spark.read.text(f"{path}/about", wholetext=True).first()[0])
+        scores = [tuple(s) for s in about["scores"]]
+        return Fitted(model, about["target"], about["signature"], about["output"], about["best_params"], scores)
+    except Exception as e:
+        raise ModelError(f"model is corrupt: {path}: {type(e).__name__}") from e
+
+
 def audit_inputs(train: DataFrame, test: DataFrame, key: str | Sequence[str]) -> None:
     """Raise if training and held-out inputs share a key."""
     if not is_disjoint(train, test, key):

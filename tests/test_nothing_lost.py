@@ -112,3 +112,22 @@ def test_two_trainings_are_equal_whatever_the_layout(spark):
         spark.range(1000).selectExpr("sum(id)").collect()
         texts.append(forest.grid_search(rows, "y", "id", settings).model.stages[-1].toDebugString.split("\n", 1)[1])
     assert texts[0] == texts[1]
+
+
+def test_a_reloaded_model_checks_what_it_is_given(spark, tmp_path):
+    from plumbline.errors import ModelError
+    from plumbline.plans.learning import load_fitted, save_fitted
+
+    df = spark.range(200).selectExpr("id", "sin(id) as x", "cast(sin(id) > 0 as int) as y")
+    settings = forest.ForestSettings(n_trees=3, max_depth=3, seed=1, partitions=2, leaf_sizes=(1,), least_gains=(0.0,))
+    fitted = forest.grid_search(df, "y", "id", settings)
+    save_fitted(fitted, spark, str(tmp_path / "m"))
+    again = load_fitted(spark, str(tmp_path / "m"))
+    assert (again.target, again.signature, again.output, again.best_params) == (fitted.target, fitted.signature, fitted.output, fitted.best_params)
+    one, other = (sorted(map(tuple, forest.predict(f, df).collect())) for f in (fitted, again))
+    assert one == other and forest.predict(again, df.drop("y")).schema["prediction"].dataType.simpleString() == "int"
+    for wrong in (df.drop("x"), df.withColumn("x", df.x.cast("string")), df.withColumn("y", df.y.cast("string"))):
+        with pytest.raises(ModelError):
+            forest.predict(again, wrong)
+    with pytest.raises(ModelError, match="not found"):
+        load_fitted(spark, str(tmp_path / "none"))
