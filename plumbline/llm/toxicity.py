@@ -1,7 +1,8 @@
 """Toxicity by the nearest labelled examples under exact TF-IDF cosine.
 
-The examples are a bounded sample of labelled documents.  Terms are the words whose
-document rates differ most between the labels (chi-square).  Postings are cut into blocks
+The examples are a bounded sample of labelled documents, equal texts once.  Terms are the
+words and beginnings of words whose document rates differ most between the labels
+(chi-square), far beyond chance and next to the best of them.  Postings are cut into blocks
 of examples; each block knows the largest weight of each term, which bounds the cosine of
 all its examples.  Blocks are scored from the best bound down, and the search ends when no
 bound reaches the k-th best cosine: the neighbours are exact.  Their votes, weighted by
@@ -20,14 +21,24 @@ from pyspark.sql import functions as F
 
 from plumbline.llm.labelled import sample_labelled
 from plumbline.llm.text import byte_texts, remainder, small_batches
+from plumbline.session import stored
 
 #: ASCII marks and blanks between words become blanks, A-Z becomes a-z.
 _PLAIN = bytes((c | 32 if 65 <= c <= 90 else c) if c > 127 or chr(c).isalnum() else 32 for c in range(256))
 BLOCK = 64
+#: Chi-square of a term at least: in itself, and as a share of the best term's.
+LEAST_CHI, LEAST_SHARE = 40.0, 0.05
 
 
-def terms_of(text: bytes) -> Counter:
-    return Counter(text.translate(_PLAIN).split())
+def terms_of(text: bytes, known: dict | None = None) -> Counter:
+    """Words and their beginnings (4 and 5 bytes, marked ``*``) of a text, or the ``known`` ones of them."""
+    out: Counter = Counter()
+    for word, n in Counter(text.translate(_PLAIN).split()).items():
+        terms = (word, word[:4] + b"*", word[:5] + b"*") if len(word) > 5 else (word,)
+        for term in terms:
+            if known is None or term in known:
+                out[term] += n
+    return out
 
 
 @dataclass
@@ -104,7 +115,9 @@ def learn_toxicity(
     without any).
     """
     learn = F.lit(True) if learn is None else learn
-    sample = sample_labelled(small_batches(docs), labels, label, learn, bound)
+    rows = sample_labelled(small_batches(docs), labels, label, learn, bound)
+    one = F.min_by(F.struct("doc_id", "label", "text"), "doc_id").alias("x")
+    sample = stored(rows.groupBy(F.xxhash64("text"), F.length("text")).agg(one).select("x.*"), "examples")
 
     def count(batches):
         for batch in batches:
@@ -135,11 +148,12 @@ def learn_toxicity(
     chosen = (
         frequency.where((F.col("df") > 1) & (F.col("df") < all_))
         .withColumn("chi", F.lit(float(all_)) * gap * gap / spread)
-        .where("chi > 10.8")
+        .where(F.col("chi") > LEAST_CHI)
         .orderBy(F.desc("chi"), "term")
         .limit(n_terms)
         .collect()
     )
+    chosen = [r for r in chosen if r["chi"] >= LEAST_SHARE * chosen[0]["chi"] and not _outdone(r, chosen)]
     terms = {bytes(r["term"]): i for i, r in enumerate(chosen)}
     idf = np.array([np.log((1 + all_) / (1 + r["df"])) + 1 for r in chosen])
     model = Examples(terms, idf, [], np.zeros((len(terms), 0)), np.zeros(0, np.int64), np.zeros(0), rate, near)
@@ -193,6 +207,15 @@ def learn_toxicity(
     return model
 
 
+def _outdone(row, rows) -> bool:
+    """A beginning that tells no more than one longer term with it is left to that term."""
+    term = bytes(row["term"])
+    if not term.endswith(b"*"):
+        return False
+    longer = [r["chi"] for r in rows if (t := bytes(r["term"])) != term and t.startswith(term[:-1])]
+    return max(longer, default=0.0) >= row["chi"]
+
+
 def _isotonic(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Non-decreasing means of ``y`` along ``x``, by pooling neighbours that violate the order."""
     levels, at = np.unique(x, return_inverse=True)
@@ -226,8 +249,8 @@ def with_toxicity(docs: DataFrame, model: Examples, column: str = "toxicity") ->
         model, known = Examples(**shared.value), {}
         out = []
         for text in byte_texts(texts):
-            counts = terms_of(text)
-            key = frozenset((t, n) for t, n in counts.items() if t in model.terms)
+            counts = terms_of(text, model.terms)
+            key = frozenset(counts.items())
             if key not in known:
                 value, near, cosine = model.score(counts)
                 known[key] = {
