@@ -20,7 +20,7 @@ from plumbline.streaming.jobs import drain, drain_batches
 from plumbline.streaming.stages import stream_stage_runs
 from plumbline.streaming.windows import tumbling
 
-FILES = 3
+FILES = 2
 EVENT_SCHEMA = (
     "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
 )
