@@ -36,11 +36,6 @@ def byte_texts(column: pa.Array) -> list[bytes]:
     return [t or b"" for t in column.cast(pa.binary()).to_pylist()]
 
 
-def blank_words(text: bytes) -> list[bytes]:
-    """Words between ASCII blanks, A-Z in lower case."""
-    return text.lower().split()
-
-
 def mixed(x: np.ndarray) -> np.ndarray:
     """Spread 64-bit values evenly (a finalising permutation)."""
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
