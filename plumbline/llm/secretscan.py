@@ -1,6 +1,6 @@
 """Secret scanning with a random forest that removes false positives, in SQL functions and ML alone.
 
-Candidates are long words that hold a digit or a run of capitals.  Each is described by its length, its character
+Candidates are long runs of value characters that hold a digit or a run of capitals.  Each is described by its length, its character
 transitions (how likely they are in the corpus's own common words), how much of it common words cover, its
 path and its neighbouring words.  A forest learnt from labelled findings scores them.
 """
@@ -25,8 +25,10 @@ HARMLESS = (
 CREDENTIAL = r"(?i)password|passwd|secret|token|api[_-]?key|credential"
 HARMLESS_PATH = r"(?i)test|example|sample|mock|fixture|doc"
 # End of fixed values.
-_CANDIDATE = r"^[\"'(]*(?:[A-Za-z_-]{1,40}[=:][\"']?)?[A-Za-z0-9+/_.@-]{16,}[\"'.,;)=]*$"
-_VALUE = r"(?:[=:][\"']?|^[\"'(]*)([A-Za-z0-9+/_.@-]{16,}?)[\"'.,;)=]*$"
+# Value characters; what stands between a name and its value, or ends the scheme of a URL.
+_SIGNS = "A-Za-z0-9+/_.@-"
+_RUN = rf"[{_SIGNS}]{{16,}}"
+_JOINS = r"^[^=:,;&?]*[=:][^,;&?]*$"
 #: Words of the dictionary at most; it and the table of its letter pairs are broadcast.
 DICTIONARY = 4096
 #: Labelled findings of each label that the forest learns from at most.
@@ -52,11 +54,14 @@ def dictionary(docs: DataFrame, most: int = DICTIONARY) -> DataFrame:
 def candidates(docs: DataFrame, path: str | None = None) -> DataFrame:
     """``doc_id, pos, path, value, name, before, after, quoted`` for each candidate of each whole text.
 
-    ``pos`` counts the words of the text from 0.  Null and empty texts have none.
+    Candidates are the longest runs of value characters, 16 or more, whatever stands beside them.
+    Dots and @ at the ends of a run are left off; a run with other signs at its ends is a candidate
+    with and without them.  Sign-in data and host of a URL are runs of their own.  ``pos`` counts
+    the words of the text from 0; the candidates of one word share it.  Null and empty texts have none.
     """
     words = F.split(F.coalesce(F.col("text").cast("string"), F.lit("")), BLANK)
     place = F.lit("") if path is None else F.coalesce(F.col(path).cast("string"), F.lit(""))
-    long = lambda i: (F.length(F.get("words", i)) >= 16) & F.get("words", i).rlike("[0-9]|[A-Z]{16}") & F.get("words", i).rlike(_CANDIDATE)
+    long = lambda i: (F.length(F.get("words", i)) >= 16) & F.get("words", i).rlike("[0-9]|[A-Z]{16}") & F.get("words", i).rlike(_RUN)
     near = lambda i: F.coalesce(F.get("words", i), F.lit(""))
     at = F.filter(F.sequence(F.lit(0), F.size("words") - 1), long)
     found = docs.select("doc_id", place.alias("path"), words.alias("words")).select(
@@ -74,13 +79,34 @@ def candidates(docs: DataFrame, path: str | None = None) -> DataFrame:
             )
         ).alias("x"),
     )
+    # Runs and the marks around them, both in order; the marks before run i are the i-th.
+    cut = found.select(
+        "doc_id",
+        "path",
+        "x.*",
+        F.filter(F.split("x.raw", rf"[^{_SIGNS}]+"), lambda r: r != "").alias("runs"),
+        F.split("x.raw", rf"[{_SIGNS}]+").alias("marks"),
+    )
+    run = lambda i: F.coalesce(F.get("runs", i), F.lit(""))
+    mark = lambda i: F.coalesce(F.get("marks", i), F.lit(""))
+    rows = cut.select(
+        "doc_id", "pos", "path", "before", "after", "runs", "marks", F.posexplode("runs").alias("i", "run")
+    ).where(F.length("run") >= 16)
+    i = F.col("i")
+    signed_in = F.col("run").contains("@") & (
+        (F.col("run").startswith("//") & mark(i).startswith(":")) | (run(i - 1).startswith("//") & mark(i).startswith(":"))
+    )
+    pieces = F.when(signed_in, F.split("run", "@(?=[^@]*$)")).otherwise(F.array("run"))
+    ends = F.transform(pieces, lambda p: F.regexp_replace(p, "^[.@]+|[.@]+$", ""))
+    values = F.array_distinct(
+        F.flatten(F.transform(ends, lambda p: F.array(p, F.regexp_replace(p, "^[+/_.@-]+|[+/_.@-]+$", ""))))
+    )
     return (
-        found.select("doc_id", "path", "x.*")
-        .withColumn("value", F.regexp_extract("raw", _VALUE, 1))
-        .where("value <> ''")
-        .withColumn("name", F.regexp_extract("raw", r"^[\"'(]*([A-Za-z_-]{1,40})[=:]", 1))
-        .withColumn("quoted", F.col("raw").rlike("[\"']"))
-        .drop("raw")
+        rows.withColumn("name", F.when((i > 0) & mark(i).rlike(_JOINS), run(i - 1)).otherwise(""))
+        .withColumn("quoted", F.concat(mark(i), mark(i + 1)).rlike("[\"'`]"))
+        .withColumn("value", F.explode(values))
+        .where((F.length("value") >= 16) & F.col("value").rlike("[0-9]|[A-Z]{16}"))
+        .select("doc_id", "pos", "path", "value", "name", "before", "after", "quoted")
     )
 
 

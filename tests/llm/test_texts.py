@@ -282,3 +282,19 @@ def test_secrets_are_told_from_harmless_words(spark, odd_docs, no_docs):
     assert len(out) == 240 and {r.pos for r in out} == {6}
     assert all(r.secret == (r.doc_id % 4 < 2) for r in out)
     assert secretscan.scan_secrets(odd_docs).collect() == [] and secretscan.scan_secrets(no_docs).collect() == []
+
+
+def test_secrets_are_candidates_beside_any_mark(spark):
+    rng = random.Random(18)
+    held = [f"{rng.getrandbits(160):040x}" for _ in range(60)]
+    forms = ['"{}"!!', '"{}"###', '{{"api_key":"{}"}}', "https://user:{}@host.org/x", "https://{}@host.org", "?key={}&x=1", "db2_password={}", "aws.secret={}",
+             "`{}`", "[{}]", "<{}>", "|{}|", "**{}**", "x={};y", "é{}é", "-{}-", "_{}_", "/{}/", "+{}+", "@{}@", ".{}.", "{}…", "\\\"token\\\":\\\"{}\\\"", "redis://:{}@host"]
+    forms += [m + "{}" + m for m in "!#$%&*,;:=?^~"]
+    docs = [(i, f"the word {f.format(held[i])} then") for i, f in enumerate(forms)]
+    docs.append((99, f'{{"a":"{held[58]}","b":"{held[59]}"}}'))
+    found = secretscan.candidates(spark.createDataFrame(docs, "doc_id long, text string")).collect()
+    value = lambda i: {r.value for r in found if r.doc_id == i}
+    assert [f for i, f in enumerate(forms) if held[i] not in value(i)] == []
+    assert value(99) == {held[58], held[59]} and {r.pos for r in found if r.doc_id == 0} == {2}
+    names = {r.doc_id: r.name for r in found}
+    assert [names[i] for i in (2, 5, 6, 7)] == ["api_key", "key", "db2_password", "aws.secret"]
