@@ -69,6 +69,42 @@ def test_repeated_passages_are_removed_wherever_they_stand(spark):
     assert len(holders(short)) > 5 and got[102] == "a\nb"
 
 
+def _without_repeats(docs, least=50):
+    """What stays of each text when lines in aligned stretches of ``least`` words seen before go."""
+    lines = {i: t.split("\n") for i, t in docs}
+    out = {}
+    for i in lines:
+        mine, gone = lines[i], set()
+        for j in (j for j in lines if j < i):
+            for a in range(len(mine)):
+                for b in range(len(lines[j])):
+                    n = 0
+                    while a + n < len(mine) and b + n < len(lines[j]) and mine[a + n] == lines[j][b + n]:
+                        n += 1
+                    if sum(len(x.split()) for x in mine[a : a + n]) >= least:
+                        gone |= set(range(a, a + n))
+        out[i] = "\n".join(x for k, x in enumerate(mine) if k not in gone)
+    return out
+
+
+def test_short_lined_passages_go_whole(spark):
+    rng = random.Random(17)
+    line = lambda n: " ".join(f"w{rng.randint(0, 10**7)}" for _ in range(n))
+    docs = []
+    for sizes in ([8] * 7, [8] * 8, [8] * 10, [10] * 6, [19] * 3, [30, 0, 10, 30], [45, 10, 10], [10, 10, 45], [1] * 50, [8] * 6, [16] * 3):
+        passage = [line(n) for n in sizes]
+        for _ in range(3):
+            before, after = ([line(rng.randint(1, 15)) for _ in range(rng.randint(0, 6))] for _ in range(2))
+            docs.append((len(docs), "\n".join(before + passage + after)))
+    want = _without_repeats(docs)
+    got = {r.doc_id: r for r in drop_repeated_chunks(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    assert {i: r.text for i, r in got.items()} == want
+    assert [got[i].words_removed for i in (1, 4, 7, 10, 13, 16, 28, 31)] == [56, 64, 80, 60, 57, 70, 0, 0]
+    same = "\n".join(["a b c d e f g h i j"] * 20)
+    out = drop_repeated_chunks(spark.createDataFrame([(1, same), (2, line(3) + "\n" + same)], "doc_id long, text string")).collect()
+    assert [r.words_removed for r in sorted(out, key=lambda r: r.doc_id)][1] == 200
+
+
 def test_line_chunks_of_odd_documents_and_empty_tables(odd_docs, no_docs):
     out = drop_repeated_chunks(odd_docs)
     rows = out.collect()
