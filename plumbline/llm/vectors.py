@@ -115,8 +115,8 @@ def near_vectors(vectors: DataFrame, least: float = 0.95) -> DataFrame:
     Two vectors link when their cosine is ``least`` or more.  A vector that is null, empty or
     zero, or holds a null or a non-finite component, links with nothing; so do vectors of
     different length.  Equal vectors are searched once and counted each; a repeated row is a
-    vector of its own.  A null vec_id is searched like others, but is no component's name:
-    its own component is null unless a named vector is reachable.
+    vector of its own.  A row of null vec_id is not searched:
+    it links with nothing, counts in no n_links, has no component and is kept.
     """
     rows = small_batches(vectors).select(
         F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("embedding")
