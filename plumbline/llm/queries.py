@@ -8,11 +8,14 @@ from plumbline.llm.jaccard import shingle_links
 from plumbline.llm import lm
 from plumbline.llm.chat import format_chats, read_back
 from plumbline.llm.decontaminate import contamination_report
+from plumbline.llm.hardnegatives import hard_negatives
+from plumbline.llm.infill import fim_digests
 from plumbline.llm.linedup import drop_repeated_chunks
 from plumbline.llm.mixing import LANGUAGE_WEIGHTS, labelled_domains, mixture
 from plumbline.llm.quality import learn_quality, learnt_from, with_quality
 from plumbline.llm.secretscan import scan_secrets
 from plumbline.llm.toxicity import learn_toxicity, not_held_out, with_toxicity
+from plumbline.llm.urlfilter import filter_urls, learn_urls, parse_rules, seed_urls
 from plumbline.llm.vectors import near_vectors
 from plumbline.plans.registry import query
 from plumbline.plans.tables import table
@@ -174,3 +177,74 @@ def op9_lm_scoring(spark, sf):
 def op5_secret_scan(spark, sf):
     """Every long word of all documents that may be a secret, scored by the forest."""
     return scan_secrets(table(spark, sf, "documents"), path="source")
+
+
+#: The rules of the URL query.
+URL_RULES = ("allow org/", "block example.org/es/", "block example.org/en/1", "allow com/fr/", "block com/de/")
+
+
+@query()
+def op11_url_filter(spark, sf):
+    """The verdict on every page's URL, by the longest rule or else by the regression."""
+    model = learn_urls(seed_urls(spark))
+    judged = filter_urls(table(spark, sf, "pages").select("page_id", "url"), model, parse_rules(URL_RULES))
+    return judged.select("page_id", "url_filter.*")
+
+
+_FIM_SQL = """
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t, sha256('1:' || CAST(doc_id AS VARCHAR)) AS h FROM documents),
+u AS (SELECT doc_id, t, regexp_extract_all(t, '[A-Za-z]+|[^A-Za-z]') AS us,
+             CAST('0x' || h[1:8] AS BIGINT) AS h1, CAST('0x' || h[9:16] AS BIGINT) AS h2,
+             CAST('0x' || h[17:24] AS BIGINT) AS h3, CAST('0x' || h[25:32] AS BIGINT) AS h4 FROM d),
+c AS (SELECT *, len(us) AS n, least(h1 % (len(us) + 1), h2 % (len(us) + 1)) AS a,
+             greatest(h1 % (len(us) + 1), h2 % (len(us) + 1)) AS b,
+             CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 % 100 >= 90 THEN 'plain'
+                  WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM u),
+p AS (SELECT *, coalesce(array_to_string(us[1:a], ''), '') AS pre, coalesce(array_to_string(us[a + 1:b], ''), '') AS mid,
+             coalesce(array_to_string(us[b + 1:], ''), '') AS suf FROM c)
+SELECT doc_id, CAST(n AS BIGINT) AS n, form,
+       CASE WHEN form <> 'plain' THEN length(pre) END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN length(mid) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || pre || '<S>' || suf || '<M>' || mid
+              ELSE '<S>' || suf || '<P>' || pre || '<M>' || mid END) AS output_sha256,
+       sha256(t) AS restored_sha256
+FROM p
+"""
+
+
+@query(_FIM_SQL)
+def op12_fill_in_middle(spark, sf):
+    """Every whole text in fill-in-the-middle form, and restored from it."""
+    return fim_digests(table(spark, sf, "documents"))
+
+
+_NEGATIVE_SQL = """
+WITH r AS MATERIALIZED (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
+  FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS MATERIALIZED (
+  SELECT a.vec_id AS anchor_id, a.label = b.label AS same, b.vec_id AS vec_id,
+         CAST(list_inner_product(a.v, b.v) AS BIGINT) AS score
+  FROM r a JOIN r b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id AND len(a.v) = len(b.v)),
+p AS (SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE same
+      QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5),
+n AS (SELECT anchor_id, positive_id, positive_score, vec_id AS negative_id, score AS negative_score,
+             row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id) AS rank
+      FROM p JOIN s USING (anchor_id)
+      WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score)
+SELECT anchor_id, positive_id, CAST(rank AS INTEGER) AS rank, negative_id, positive_score, negative_score
+FROM n WHERE rank <= 10
+"""
+
+
+@query(_NEGATIVE_SQL)
+def op13_hard_negatives(spark, sf):
+    """Hard negatives of every hundredth embedding for each of its positives."""
+    finite = F.expr("forall(embedding, x -> x is not null and not isnan(x) and abs(x) < double('infinity'))")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = table(spark, sf, "embeddings").where(finite).select(
+        "vec_id", moved.alias("label"), F.expr("transform(embedding, x -> floor(256 * double(x)))").alias("vector")
+    )
+    return hard_negatives(rows, F.col("vec_id") % 100 == 0)
