@@ -1,77 +1,46 @@
 """Random forests: grid search over stratified folds, scoring, signatures.
 
-Trees are grown by Spark ML.  A forest depends on the order of its rows as well as on its
-seed, so the rows are laid out by key before every fit.
+Trees are grown by ``trees``: all candidates and folds of a search in the same jobs.
 """
 
 from __future__ import annotations
 
 import itertools
 import json
+import math
 from collections.abc import Sequence
 from dataclasses import dataclass, field
-from multiprocessing.pool import ThreadPool
 
-from pyspark.ml import PipelineModel
-from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
-from pyspark.ml.evaluation import MulticlassClassificationEvaluator
-from pyspark.ml.feature import VectorAssembler
-from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from plumbline.errors import ConfigError, DataError, ModelError
+from plumbline.errors import DataError, ModelError
 from plumbline.operators.columns import features_target
 from plumbline.operators.split import stratified_kfold
+from plumbline.operators.trees import Fit, GrownForest, binned, fold_hits, grow_forests
 
 # Folds of the search, share of the internal validation, and the tuned grid.
-# A node of at least 5 rows before a split has no counterpart in Spark ML; a small least
-# gain takes its place as the second, stricter choice.
 FOLDS = 3
 VALIDATION_SHARE = 0.20
 LEAF_SIZES = (1, 2)
-LEAST_GAINS = (0.0, 0.001)
+SPLIT_SIZES = (2, 5)
 # End of fixed values.
-# The depth Spark ML allows at most stands for "no limit".
-DEEPEST = 30
-LABEL, PREDICTION, _VECTOR = "_label", "prediction", "_features"
-
-
-class ForestModel(RandomForestClassificationModel):
-    """A forest whose trees are wrapped for Python only when they are asked for.
-
-    The stock class wraps every tree while it lists its parameters, which takes longer
-    than growing a small forest and is repeated for every fit of a search.
-    """
-
-    @property
-    def trees(self):
-        return super().trees
-
-
-class Forest(RandomForestClassifier):
-    """The stock estimator, giving a ``ForestModel``."""
-
-    def _create_model(self, java_model):
-        return ForestModel(java_model)
+PREDICTION = "prediction"
 
 
 @dataclass(frozen=True)
 class ForestSettings:
-    """Settings of a forest; ``max_depth=None`` grows as deep as Spark allows.
+    """Settings of a forest; ``max_depth=None`` grows until leaves are pure or too small.
 
-    Trees depend on how the rows are divided, so ``partitions`` is part of the settings;
-    ``None`` takes the session's number of shuffle partitions.
+    ``leaf_sizes`` and ``split_sizes`` (rows of a node before it may be split) are the grid.
     """
 
     n_trees: int = 100
     max_depth: int | None = 5
     seed: int = 42
-    partitions: int | None = None
-    parallelism: int = 8
     leaf_sizes: Sequence[int] = LEAF_SIZES
-    least_gains: Sequence[float] = LEAST_GAINS
+    split_sizes: Sequence[int] = SPLIT_SIZES
     folds: int = FOLDS
 
 
@@ -79,7 +48,7 @@ class ForestSettings:
 class Fitted:
     """A model with what is needed to use and to explain it."""
 
-    model: PipelineModel
+    model: GrownForest
     target: str
     signature: str
     output: str
@@ -116,34 +85,6 @@ def _numeric(df: DataFrame, features: Sequence[str]) -> None:
         raise DataError(f"features must be numbers: {bad}")
 
 
-def pinned(df: DataFrame, key: Sequence[str], partitions: int) -> DataFrame:
-    """Rows laid out by key: the same layout whatever the input's was.
-
-    Hashing places a key alike in every run.  Range bounds would come from a sample of the
-    rows, and Spark seeds the draws of a forest by partition.
-    """
-    return df.repartition(partitions, *key).sortWithinPartitions(*key)
-
-
-def fold_scores(ready: DataFrame, forest: Forest, maps: Sequence[dict], folds: int, parallelism: int) -> list[float]:
-    """Mean accuracy of each candidate over the folds; all fits run from one pool.
-
-    A fit is a row of small jobs, so fits of different folds fill each other's gaps.
-    """
-    judge = MulticlassClassificationEvaluator(labelCol=LABEL, predictionCol=PREDICTION, metricName="accuracy")
-    sides = [(ready.where(F.col("fold") != f), ready.where(F.col("fold") == f)) for f in range(folds)]
-
-    def one(task: tuple[int, int]) -> float:
-        fold, place = task
-        train, held = sides[fold]
-        return judge.evaluate(forest.fit(train, maps[place]).transform(held))
-
-    tasks = [(fold, place) for fold in range(folds) for place in range(len(maps))]
-    with ThreadPool(max(1, min(parallelism, len(tasks)))) as pool:
-        found = pool.map(inheritable_thread_target(ready.sparkSession)(one), tasks, chunksize=1)
-    return [sum(found[place :: len(maps)]) / folds for place in range(len(maps))]
-
-
 def grid_scores(means: Sequence[float], grid: Sequence[dict]) -> list[tuple[int, dict, float]]:
     """``(place, params, mean score)`` in grid order."""
     return [(i, g, float(s)) for i, (g, s) in enumerate(zip(grid, means, strict=True))]
@@ -162,57 +103,29 @@ def grid_search(
 ) -> Fitted:
     """Search the grid by mean accuracy over stratified folds, then refit on all rows.
 
-    Candidates and folds run side by side, each as ordinary Spark jobs.  The rows with their folds
-    and feature vectors are laid out once and kept for all fits; memory that does not
-    suffice spills to disk, and a lost executor's part is computed again.
+    Rows are binned and stored once; the forests of all candidates and folds grow in the same
+    jobs and are scored in one pass.
     """
     settings = settings or ForestSettings()
     names = [key] if isinstance(key, str) else list(key)
     features = [c for c in features_target(df, target)[0] if c not in names]
     _numeric(df, features)
-    if settings.n_trees < 1:
-        raise ConfigError(f"n_trees must be positive, got {settings.n_trees}")
-    depth = DEEPEST if settings.max_depth is None else settings.max_depth
-    if not 0 < depth <= DEEPEST:
-        raise ConfigError(f"max_depth must be 1..{DEEPEST} or None, got {depth}")
-
-    parts = settings.partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     folded = stratified_kfold(df, target, settings.folds, settings.seed, names)
-    assembler = VectorAssembler(inputCols=features, outputCol=_VECTOR, handleInvalid="error")
-    ready = pinned(
-        assembler.transform(folded).select(
-            *names, _VECTOR, F.col(target).cast("double").alias(LABEL), "fold"
-        ),
-        names,
-        parts,
-    ).persist()
-    try:
-        forest = Forest(
-            labelCol=LABEL,
-            featuresCol=_VECTOR,
-            predictionCol=PREDICTION,
-            numTrees=settings.n_trees,
-            maxDepth=depth,
-            featureSubsetStrategy="sqrt",
-            seed=settings.seed,
-            cacheNodeIds=depth > 10,
-        )
-        grid = [
-            {"min_leaf": leaf, "min_gain": gain}
-            for leaf, gain in itertools.product(settings.leaf_sizes, settings.least_gains)
-        ]
-        maps = [
-            {forest.minInstancesPerNode: g["min_leaf"], forest.minInfoGain: g["min_gain"]}
-            for g in grid
-        ]
-        scores = grid_scores(fold_scores(ready, forest, maps, settings.folds, settings.parallelism), grid)
-        place, params, score = best_candidate(scores)
-        chosen = forest.fit(ready, maps[place])
-    finally:
-        ready.unpersist()
-    return Fitted(
-        PipelineModel([assembler, chosen]), target, signature(df, features), output_signature(df, target), {**params, "score": score}, scores
-    )
+    data = binned(folded, features, target, names, fold="fold")
+    grid = [{"min_leaf": leaf, "min_split": split} for leaf, split in itertools.product(settings.leaf_sizes, settings.split_sizes)]
+
+    def fit(candidate: dict, fold: int | None) -> Fit:
+        per_node = max(1, math.isqrt(len(features)))
+        return Fit(settings.n_trees, settings.max_depth, candidate["min_split"], candidate["min_leaf"], per_node, settings.seed, fold)
+
+    fits = [fit(g, f) for g in grid for f in range(settings.folds)]
+    hits = fold_hits(data, fits, grow_forests(data, fits))
+    means = [sum(hits[i : i + settings.folds]) / settings.folds for i in range(0, len(hits), settings.folds)]
+    scores = grid_scores(means, grid)
+    _, params, score = best_candidate(scores)
+    chosen = grow_forests(data, [fit(params, None)])[0]
+    model = GrownForest(features, data.edges, data.classes, chosen, PREDICTION)
+    return Fitted(model, target, signature(df, features), output_signature(df, target), {**params, "score": score}, scores)
 
 
 def predict(fitted: Fitted, df: DataFrame, source: str = "dataset") -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from plumbline.functions import display, scalars
 from plumbline.operators import assurance, classmetrics, columns, secrets
 from plumbline.operators.forest import ForestSettings, grid_search, predict
+from plumbline.operators.trees import Fit, fit_forest
 from plumbline.operators.split import random_split, rank_in_class, stratified_kfold, stratified_split
 from plumbline.plans.learning import (
     audit_inputs,
@@ -221,7 +222,7 @@ def classification_report(spark, sf):
 
 # ---------------------------------------------------------------- forests
 
-_SMALL = ForestSettings(n_trees=20, max_depth=5, seed=SEED, partitions=4)
+_SMALL = ForestSettings(n_trees=20, max_depth=5, seed=SEED)
 
 
 def _features(spark, sf):
@@ -230,7 +231,7 @@ def _features(spark, sf):
 
 @query()
 def rf_holdout_eval(spark, sf):
-    settings = ForestSettings(n_trees=100, max_depth=5, seed=SEED, partitions=4)
+    settings = ForestSettings(n_trees=100, max_depth=5, seed=SEED)
     _, scored = holdout_run(
         _features(spark, sf), "quality", "doc_id", test_size=SHARE, settings=settings
     )
@@ -240,8 +241,8 @@ def rf_holdout_eval(spark, sf):
 @query()
 def grid_search_scores(spark, sf):
     found = grid_search(_features(spark, sf), "quality", "doc_id", _SMALL)
-    rows = [(i, g["min_leaf"], g["min_gain"], s) for i, g, s in found.scores]
-    return spark.createDataFrame(rows, "place int, min_leaf int, min_gain double, mean_accuracy double")
+    rows = [(i, g["min_leaf"], g["min_split"], s) for i, g, s in found.scores]
+    return spark.createDataFrame(rows, "place int, min_leaf int, min_split int, mean_accuracy double")
 
 
 @query()
@@ -255,7 +256,7 @@ def model_round_trip(spark, sf):
     """A stored and reloaded model predicts every row as the fitted one does."""
     data = _features(spark, sf)
     fitted = grid_search(
-        data, "quality", "doc_id", ForestSettings(5, 3, SEED, 4, leaf_sizes=(1,), least_gains=(0.0,))
+        data, "quality", "doc_id", ForestSettings(5, 3, SEED, leaf_sizes=(1,), split_sizes=(2,))
     )
     path = shared_dir(spark, "model")
     datasets.save_model(fitted.model, path)
@@ -269,7 +270,7 @@ def model_round_trip(spark, sf):
 
 
 _LABELLED = _split_sql("(SELECT doc_id, quality FROM labels JOIN documents USING (doc_id))", "doc_id", "quality")
-_ONE_FIT = ForestSettings(10, 4, SEED, 4, leaf_sizes=(1,), least_gains=(0.0,))
+_ONE_FIT = ForestSettings(10, 4, SEED, leaf_sizes=(1,), split_sizes=(2,))
 
 
 @query(_LABELLED + """SELECT doc_id, quality, true AS known_class, true AS stored_once FROM parts WHERE "partition" = 'test'""")
@@ -295,9 +296,9 @@ def held_out_over_artifacts(spark, sf):
 def two_trainings_equal(spark, sf):
     """The same search twice, the second time over another layout of the rows."""
     rows = stored(_features(spark, sf), "features")
-    settings = ForestSettings(10, 4, SEED, 4)
+    settings = ForestSettings(10, 4, SEED)
     one, other = (grid_search(r, "quality", "doc_id", settings) for r in (rows, rows.repartition(5, "chars")))
-    trees = [f.model.stages[-1].toDebugString.split("\n", 1)[1] for f in (one, other)]
+    trees = [f.model.describe() for f in (one, other)]
     best = max(s for _, _, s in one.scores)
     first = next(g for _, g, s in one.scores if s == best)
     return rows.agg(F.count(F.lit(1)).alias("n_rows")).select(
@@ -308,6 +309,52 @@ def two_trainings_equal(spark, sf):
     )
 
 
+_TREE_FEATURES = ("l_quantity", "l_discount", "l_tax", "l_linenumber")
+
+
+def _node_sql(name: str, source: str) -> str:
+    """The best split of the rows of ``source``: highest gain, then first feature, then smallest value."""
+    values = " UNION ALL ".join(
+        f"SELECT {i} AS f, CAST({c} AS DOUBLE) AS v, l_returnflag AS y FROM {source}" for i, c in enumerate(_TREE_FEATURES)
+    )
+    return f"""
+    {name}_c AS (SELECT f, v, count(*) FILTER (y = 'A') AS a, count(*) FILTER (y = 'N') AS n, count(*) FILTER (y = 'R') AS r
+      FROM ({values}) GROUP BY f, v),
+    {name}_s AS (SELECT f, v, sum(a) OVER u AS a, sum(n) OVER u AS n, sum(r) OVER u AS r, sum(a) OVER w AS ta,
+      sum(n) OVER w AS tn, sum(r) OVER w AS tr FROM {name}_c
+      WINDOW w AS (PARTITION BY f), u AS (PARTITION BY f ORDER BY v)),
+    {name}_g AS (SELECT f, v, ta + tn + tr AS rows_in, round(((a * a + n * n + r * r) / CAST(a + n + r AS DOUBLE)
+        + ((ta - a) * (ta - a) + (tn - n) * (tn - n) + (tr - r) * (tr - r)) / CAST(ta + tn + tr - a - n - r AS DOUBLE))
+        / (ta + tn + tr), 12) AS gain FROM {name}_s WHERE a + n + r < ta + tn + tr),
+    {name} AS MATERIALIZED (SELECT f, v, CAST(rows_in AS DOUBLE) AS weight FROM {name}_g ORDER BY gain DESC, f, v LIMIT 1)"""
+
+
+def _side_sql(source: str, node: str, sign: str) -> str:
+    picked = " ".join(f"WHEN {i} THEN {c}" for i, c in enumerate(_TREE_FEATURES))
+    return f"(SELECT s.* FROM {source} s, {node} b WHERE CASE b.f {picked} END {sign} b.v)"
+
+
+_LOW, _HIGH = _side_sql("lineitem", "top", "<="), _side_sql("lineitem", "top", ">")
+_NAMED = "CASE f " + " ".join(f"WHEN {i} THEN '{c}'" for i, c in enumerate(_TREE_FEATURES)) + " END"
+_EDGES = " UNION ALL ".join(f"SELECT DISTINCT {i} AS f, CAST({c} AS DOUBLE) AS v FROM lineitem" for i, c in enumerate(_TREE_FEATURES))
+
+
+@query(f"""WITH {_node_sql("top", "lineitem")}, {_node_sql("low", _LOW)}, {_node_sql("high", _HIGH)},
+    edges AS (SELECT f, v, v / 2 + lead(v) OVER (PARTITION BY f ORDER BY v) / 2 AS threshold FROM ({_EDGES})),
+    nodes AS (SELECT '' AS path, * FROM top UNION ALL SELECT 'L', * FROM low UNION ALL SELECT 'R', * FROM high)
+    SELECT path, {_NAMED} AS feature, round(threshold, 9) AS threshold, weight FROM nodes JOIN edges USING (f, v)
+    UNION ALL SELECT 'LL', NULL, NULL, CAST(count(*) AS DOUBLE) FROM {_side_sql(_LOW, "low", "<=")}
+    UNION ALL SELECT 'LR', NULL, NULL, CAST(count(*) AS DOUBLE) FROM {_side_sql(_LOW, "low", ">")}
+    UNION ALL SELECT 'RL', NULL, NULL, CAST(count(*) AS DOUBLE) FROM {_side_sql(_HIGH, "high", "<=")}
+    UNION ALL SELECT 'RR', NULL, NULL, CAST(count(*) AS DOUBLE) FROM {_side_sql(_HIGH, "high", ">")}""")
+def tree_first_levels(spark, sf):
+    """Two levels of one tree over all line items, with what each node asks."""
+    fit = Fit(1, 2, 2, 1, len(_TREE_FEATURES), SEED, bootstrap=False)
+    forest = fit_forest(table(spark, sf, "lineitem"), _TREE_FEATURES, "l_returnflag", ["l_orderkey", "l_linenumber"], fit)
+    nodes = forest.node_table(spark)
+    return nodes.select("path", "feature", F.round("threshold", 9).alias("threshold"), "weight")
+
+
 @query(_LABELLED + """SELECT CAST(quality AS VARCHAR) AS class, count(*) AS support FROM parts WHERE "partition" = 'test' GROUP BY quality
     UNION ALL SELECT unnest(['accuracy', 'macro avg', 'weighted avg']), count(*) FROM parts WHERE "partition" = 'test'""")
 def holdout_support(spark, sf):
@@ -332,7 +379,7 @@ def batch_predict(spark, sf):
         parts.where("partition = 'train'").drop("partition"),
         "quality",
         "doc_id",
-        ForestSettings(20, None, SEED, 4, leaf_sizes=(2,), least_gains=(0.0,)),
+        ForestSettings(20, None, SEED, leaf_sizes=(2,), split_sizes=(2,)),
     )
     scored, _ = evaluate_model(fitted, parts.where("partition = 'test'").drop("partition"))
     return scored.select("doc_id", "quality", "prediction")

@@ -100,7 +100,7 @@ def holdout_run(
 
 def save_fitted(fitted: Fitted, spark: SparkSession, path: str) -> None:
     """Store a model with its target, signatures, parameters and scores."""
-    save_model(fitted.model, f"{path}/model")
+    save_model(fitted.model, f"{path}/model", spark)
     about = {
         "target": fitted.target,
         "signature": fitted.signature,

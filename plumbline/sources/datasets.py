@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 
 from plumbline.errors import ConfigError, DataError, ModelError
 from plumbline.operators.columns import require_columns
+from plumbline.operators.trees import GrownForest
 
 CORRUPT = "_corrupt_record"
 
@@ -162,21 +163,25 @@ def run_metric_rows(metrics: DataFrame, run_id: Column, stage: str) -> DataFrame
     return metrics.select(run_id.alias("run_id"), F.lit(stage).alias("stage"), F.inline(pairs))
 
 
-def save_model(model: PipelineModel, path: str) -> None:
+def save_model(model: GrownForest | PipelineModel, path: str, spark: SparkSession | None = None) -> None:
     """Write a fitted model as a directory, replacing what is there."""
     try:
-        model.write().overwrite().save(path)
+        if isinstance(model, GrownForest):
+            model.save(spark or SparkSession.active(), path)
+        else:
+            model.write().overwrite().save(path)
     except Exception as e:
         raise ModelError(f"model cannot be written to {path}: {type(e).__name__}") from e
 
 
-def load_model(spark: SparkSession, path: str) -> PipelineModel:
+def load_model(spark: SparkSession, path: str) -> GrownForest | PipelineModel:
     """Read a model; one that is missing and one that is broken give different messages."""
     fs_path = spark._jvm.org.apache.hadoop.fs.Path(path)
     fs = fs_path.getFileSystem(spark._jsc.hadoopConfiguration())
     if not fs.exists(fs_path):
         raise ModelError(f"model not found: {path}")
+    grown = fs.exists(spark._jvm.org.apache.hadoop.fs.Path(path, "forest"))
     try:
-        return PipelineModel.load(path)
+        return GrownForest.load(spark, path) if grown else PipelineModel.load(path)
     except Exception as e:
         raise ModelError(f"model is corrupt: {path}: {type(e).__name__}") from e

@@ -106,11 +106,11 @@ def test_documents_are_walked_to_any_depth_and_broken_ones_are_shown(spark):
 
 def test_two_trainings_are_equal_whatever_the_layout(spark):
     df = spark.range(600).selectExpr("id", "sin(id) as x", "id % 17 as z", "cast(sin(id) + id % 17 > 8 as int) as y")
-    settings = forest.ForestSettings(n_trees=5, max_depth=4, seed=3, partitions=3, leaf_sizes=(1,), least_gains=(0.0,))
+    settings = forest.ForestSettings(n_trees=5, max_depth=4, seed=3, leaf_sizes=(1,), split_sizes=(2,))
     texts = []
     for rows in (df, df.repartition(7, "z").sortWithinPartitions("x")):
         spark.range(1000).selectExpr("sum(id)").collect()
-        texts.append(forest.grid_search(rows, "y", "id", settings).model.stages[-1].toDebugString.split("\n", 1)[1])
+        texts.append(forest.grid_search(rows, "y", "id", settings).model.describe())
     assert texts[0] == texts[1]
 
 
@@ -119,7 +119,7 @@ def test_a_reloaded_model_checks_what_it_is_given(spark, tmp_path):
     from plumbline.plans.learning import load_fitted, save_fitted
 
     df = spark.range(200).selectExpr("id", "sin(id) as x", "cast(sin(id) > 0 as int) as y")
-    settings = forest.ForestSettings(n_trees=3, max_depth=3, seed=1, partitions=2, leaf_sizes=(1,), least_gains=(0.0,))
+    settings = forest.ForestSettings(n_trees=3, max_depth=3, seed=1, leaf_sizes=(1,), split_sizes=(2,))
     fitted = forest.grid_search(df, "y", "id", settings)
     save_fitted(fitted, spark, str(tmp_path / "m"))
     again = load_fitted(spark, str(tmp_path / "m"))

@@ -177,9 +177,9 @@ def test_secrets(spark):
 def test_training_run(spark, tmp_path):
     rows = [(i, float(i), float(i % 5), int(i >= 30)) for i in range(60)]
     df = spark.createDataFrame(rows, "id bigint, glucose double, pressure double, outcome int")
-    settings = forest.ForestSettings(n_trees=3, max_depth=None, seed=1, partitions=2, leaf_sizes=(1,), least_gains=(0.0, 0.9))
+    settings = forest.ForestSettings(n_trees=3, max_depth=None, seed=1, leaf_sizes=(1,), split_sizes=(2, 40))
     training, scored = learning.holdout_run(df, "outcome", "id", settings=settings)
-    assert training.fitted.best_params["min_gain"] == 0.0 and scored.count() == 12
+    assert training.fitted.best_params["min_split"] == 2 and scored.count() == 12
     assert training.validation.count() == 10
     ledger = RunLedger(spark, str(tmp_path / "l"))
     learning.record_training(training, settings, ledger, "t1")
