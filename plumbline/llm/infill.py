@@ -32,6 +32,8 @@ _LETTER[65:91] = _LETTER[97:123] = True
 #: The order in which a form writes the parts (0 prefix, 1 middle, 2 suffix).
 _ORDERS = {"psm": (0, 2, 1), "spm": (2, 0, 1)}
 _PART_MARK = {0: PREFIX_MARK, 1: MIDDLE_MARK, 2: SUFFIX_MARK}
+#: Bytes of text that a partition sorts, at most on average.
+SORTED = 32 << 20
 #: Places of a part in the restored order: a part never has so many pieces.
 _PART = 1 << 40
 
@@ -149,11 +151,15 @@ def assembled(docs: DataFrame, partitions: int | None = None) -> RDD:
     """``((document, row, position), piece)`` in output order, a document in one partition.
 
     Position 0 holds ``(doc_id, n, form, prefix_chars, middle_chars)``; the pieces that follow make the output.
+    There are as many partitions as the session shuffles to, and more where texts would not fit their sort.
     """
     kept = docs.select(
         "doc_id", F.col("text").cast("string").cast("binary").alias("text"), F.monotonically_increasing_id()
     )
-    parts = partitions or int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = partitions
+    if not parts:
+        size = kept.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+        parts = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-size // SORTED))
     return kept.rdd.mapPartitions(_emitted).repartitionAndSortWithinPartitions(parts, _deal)
 
 
