@@ -30,7 +30,7 @@ CHUNK = 1024
 #: The largest sum that floats hold exactly.
 EXACT = float(1 << 53)
 #: Shares of an anchor's own product from which positives are sought, before all rows are.
-POSITIVE_LADDER = (0.75, 0.5, 0.25)
+POSITIVE_LADDER = (0.5,)
 #: Bounds of a long, and of what scores are compared as.
 _LOW, _HIGH, _MOST = -(1 << 63), (1 << 63) - 1, 10**38 - 1
 
@@ -187,13 +187,11 @@ def _search(rows: DataFrame, anchors: list, windows: Windows) -> DataFrame:
                     flush(size)
         for size in searchers:
             flush(size)
-        for w in range(len(windows.anchor)):
-            if len(found.ids[w]):
-                n = len(found.ids[w])
-                scores = [Decimal(min(max(int(s), -_MOST), _MOST)) for s in found.scores[w]]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(n, w)), pa.array(found.ids[w]), pa.array(scores, pa.decimal128(38, 0))], ["window", "vec_id", "score"]
-                )
+        counts = np.array([len(i) for i in found.ids])
+        if counts.sum():
+            scores = [Decimal(min(max(int(s), -_MOST), _MOST)) for part in found.scores for s in part]
+            columns = [pa.array(np.repeat(np.arange(len(counts)), counts)), pa.array(np.concatenate(found.ids)), pa.array(scores, pa.decimal128(38, 0))]
+            yield pa.RecordBatch.from_arrays(columns, ["window", "vec_id", "score"])
 
     best = Window.partitionBy("window").orderBy(F.desc("score"), "vec_id")
     found = rows.select("vec_id", "label", "vector").mapInArrow(work, "window long, vec_id long, score decimal(38,0)")
