@@ -27,6 +27,8 @@ from plumbline.session import stored
 
 #: Buckets of hashes whose counts order the tokens; the counts are broadcast (2 MB).
 BUCKET_BITS = 18
+#: Rarest shared tokens of a set that tell in which list a pair has met before.
+FIRST_TOKENS = 8
 #: Words of 64 bits in the parity sketch of a set.
 SKETCH = 8
 _KEYS = [f"k{i}" for i in range(SKETCH)]
@@ -60,7 +62,7 @@ def shingle_links(docs: DataFrame, k: int = 5, percent: int = 75) -> DataFrame:
     )
 
     # Prefix tokens that at least two groups share.
-    rows = sets.where("doc_id is not null").select(F.explode("prefix").alias("token"), "grp", F.col("n_shingles").alias("n"))
+    rows = sets.where("doc_id is not null").select(F.posexplode("prefix").alias("pos", "token"), "grp", F.col("n_shingles").alias("n"))
     shared = (
         rows.groupBy("token")
         .agg(F.min("grp").alias("low"), F.max("grp").alias("high"))
@@ -113,13 +115,19 @@ def shingle_links(docs: DataFrame, k: int = 5, percent: int = 75) -> DataFrame:
         "members",
     )
     crowd = groups.where("size > 1").select("grp")
+    # Two sets that share one of the other's first tokens before this list's meet in that list.
+    first_tokens = lists.groupBy("grp").agg(F.slice(F.sort_array(F.collect_list(F.struct("pos", "token"))), 1, FIRST_TOKENS).alias("firsts"))
+    earlier = F.expr("transform(filter(firsts, x -> x.pos < pos), x -> x.token)").alias("earlier")
+    none = F.array().cast("array<long>").alias("earlier")
     at = stored(
-        lists.select("token", "grp")
+        lists.select("token", "grp", "pos")
+        .join(first_tokens, "grp")
+        .select("token", "grp", earlier)
         .join(member, "grp")
-        .select(F.struct(F.lit(0).alias("of"), F.col("token").alias("id")).alias("list"), "rep", "component", "n", *_KEYS)
+        .select(F.struct(F.lit(0).alias("of"), F.col("token").alias("id")).alias("list"), "rep", "component", "n", "earlier", *_KEYS)
         .union(
             member.join(crowd, "grp").select(
-                F.struct(F.lit(1).alias("of"), F.col("grp").alias("id")).alias("list"), "rep", "component", "n", *_KEYS
+                F.struct(F.lit(1).alias("of"), F.col("grp").alias("id")).alias("list"), "rep", "component", "n", none, *_KEYS
             )
         )
         .join(
@@ -129,13 +137,16 @@ def shingle_links(docs: DataFrame, k: int = 5, percent: int = 75) -> DataFrame:
         "open",
     )
     minor = at.where("component <> main").select(
-        "list", F.col("rep").alias("a"), F.col("component").alias("a_in"), F.col("n").alias("a_n"),
+        "list", F.col("rep").alias("a"), F.col("component").alias("a_in"), F.col("n").alias("a_n"), F.col("earlier").alias("a_earlier"),
         *[F.col(c).alias(f"a_{c}") for c in _KEYS],
     )
     rest = (
         minor.join(
             at,
-            (minor["list"] == at["list"]) & F.expr("a_in <> component") & _may_link("a_n", "n", "a_", "", percent),
+            (minor["list"] == at["list"])
+            & F.expr("a_in <> component")
+            & _may_link("a_n", "n", "a_", "", percent)
+            & ~F.arrays_overlap("a_earlier", "earlier"),
         )
         .select(F.least("a", "rep").alias("a"), F.greatest("a", "rep").alias("b"))
         .distinct()
