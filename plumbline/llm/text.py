@@ -16,13 +16,13 @@ _ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
 def small_batches(df: DataFrame) -> DataFrame:
-    """``df``, in whose session workers now get at most 1,000 rows and 16 MB at a time.
+    """``df``, in whose session workers now get at most 500 rows and 4 MB at a time.
 
     Texts are whole, so a batch of the default size may hold very much.
     """
     conf = df.sparkSession.conf
-    conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
-    conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(16 << 20))
+    conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "500")
+    conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(4 << 20))
     return df
 
 

@@ -26,6 +26,8 @@ from plumbline.session import stored
 #: ASCII marks and blanks between words become blanks, A-Z becomes a-z.
 _PLAIN = bytes((c | 32 if 65 <= c <= 90 else c) if c > 127 or chr(c).isalnum() else 32 for c in range(256))
 BLOCK = 64
+#: Texts whose terms are counted before they are passed on.
+COUNTED = 32
 #: Chi-square of a term at least: in itself, and as a share of the best term's.
 LEAST_CHI, LEAST_SHARE = 40.0, 0.05
 
@@ -117,30 +119,29 @@ def learn_toxicity(
     learn = F.lit(True) if learn is None else learn
     rows = sample_labelled(small_batches(docs), labels, label, learn, bound)
     one = F.min_by(F.struct("doc_id", "label", "text"), "doc_id").alias("x")
-    sample = stored(rows.groupBy(F.xxhash64("text"), F.length("text")).agg(one).select("x.*"), "examples")
+    texts = rows.groupBy(F.xxhash64("text", F.length("text")).alias("key")).agg(one)
+    sample = stored(texts.select("key", "x.*"), "examples")
 
     def count(batches):
         for batch in batches:
-            found = [terms_of(t) for t in byte_texts(batch.column(2))]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column(0),
-                    batch.column(1),
-                    pa.array([list(c) for c in found], pa.list_(pa.binary())),
-                    pa.array([list(c.values()) for c in found], pa.list_(pa.int64())),
-                ],
-                ["doc_id", "label", "terms", "counts"],
-            )
-
-    kind = dict(docs.dtypes)["doc_id"]
-    counted = sample.select("doc_id", "label", "text").mapInArrow(
-        count, f"doc_id {kind}, label int, terms array<binary>, counts array<long>"
-    )
+            for start in range(0, batch.num_rows, COUNTED):
+                part = batch.slice(start, COUNTED)
+                found = [terms_of(t) for t in byte_texts(part.column(2))]
+                sizes = [len(c) for c in found]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        part.column(0).take(pa.array(np.repeat(np.arange(len(found)), sizes))),
+                        part.column(1).take(pa.array(np.repeat(np.arange(len(found)), sizes))),
+                        pa.array([t for c in found for t in c], pa.binary()),
+                        pa.array([n for c in found for n in c.values()], pa.int64()),
+                    ],
+                    ["key", "label", "term", "n"],
+                )
+
+    rows = stored(sample.select("key", "label", "text").mapInArrow(count, "key long, label int, term binary, n long"), "terms")
     totals = {r["label"]: r["n"] for r in sample.groupBy("label").agg(F.count("*").alias("n")).collect()}
     all_, pos = sum(totals.values()), totals.get(1, 0)
     rate = pos / all_ if all_ else 0.0
-    rows = counted.select("doc_id", "label", F.explode(F.arrays_zip("terms", "counts")).alias("x"))
-    rows = rows.select("doc_id", "label", F.col("x.terms").alias("term"), F.col("x.counts").alias("n"))
     frequency = rows.groupBy("term").agg(F.count("*").alias("df"), F.sum("label").alias("hits"))
     # Chi-square of the 2 x 2 table of term and label, with its sides from the sample.
     gap = F.col("hits") * all_ - F.col("df") * pos
@@ -159,27 +160,13 @@ def learn_toxicity(
     model = Examples(terms, idf, [], np.zeros((len(terms), 0)), np.zeros(0, np.int64), np.zeros(0), rate, near)
     if not terms or not 0 < pos < all_:
         return model
-    wanted = docs.sparkSession.sparkContext.broadcast(set(terms))
-
-    def keep(batches):
-        for batch in batches:
-            kept = [
-                [(t, n) for t, n in zip(ts, ns, strict=True) if t in wanted.value]
-                for ts, ns in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)
-            ]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column(0),
-                    batch.column(1),
-                    pa.array([[t for t, _ in x] for x in kept], pa.list_(pa.binary())),
-                    pa.array([[n for _, n in x] for x in kept], pa.list_(pa.int64())),
-                ],
-                ["doc_id", "label", "terms", "counts"],
-            )
-
-    found = counted.mapInArrow(keep, counted.schema).toArrow()
-    ids, marks = found.column(0).to_pylist(), np.array(found.column(1).to_pylist())
-    counts = [dict(zip(t, n, strict=True)) for t, n in zip(found.column(2).to_pylist(), found.column(3).to_pylist(), strict=True)]
+    # The chosen terms are few and so are the examples; everything else stays in Spark.
+    wanted = docs.sparkSession.createDataFrame([(t,) for t in terms], "term binary")
+    kept = rows.join(F.broadcast(wanted), "term").groupBy("key").agg(F.collect_list(F.struct("term", "n")).alias("terms"))
+    found = sample.select("key", "doc_id", "label").join(kept, "key", "left").collect()
+    found.sort(key=lambda r: (r["doc_id"], r["key"]))
+    ids, marks = [r["doc_id"] for r in found], np.array([r["label"] for r in found])
+    counts = [{bytes(x["term"]): x["n"] for x in r["terms"] or ()} for r in found]
     weighed = [model.weigh(Counter(c)) for c in counts]
     # Similar examples side by side (by heaviest term), so that blocks have tight bounds.
     order = sorted(
