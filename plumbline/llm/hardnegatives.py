@@ -250,7 +250,10 @@ def hard_negatives(
         ).where(whole),
         "vectors",
     )
-    chosen = kept.where("is_anchor").agg(F.count("*").alias("n"), F.max(F.size("vector")).alias("dims")).first()
+    of_anchor = F.when(F.col("is_anchor"), F.size("vector"))
+    chosen = kept.agg(F.count("*").alias("rows"), F.count(of_anchor).alias("n"), F.max(of_anchor).alias("dims")).first()
+    # A task that has less than a block of rows costs more to set up than to run.
+    kept = kept.coalesce(max(spark.sparkContext.defaultParallelism, math.ceil(chosen["rows"] / BLOCK)))
     path = shared_dir(spark, "negatives")
     kind = "anchor_id long, positive_id long, rank int, negative_id long, positive_score long, negative_score long"
     spark.createDataFrame([], kind).write.parquet(path)
