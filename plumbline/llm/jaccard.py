@@ -100,7 +100,10 @@ def shingle_links(docs: DataFrame, k: int = 5, percent: int = 75) -> DataFrame:
             .select("a", "b")
         )
     )
-    shared_prefix = lists.groupBy("grp").agg(F.collect_list("token").alias("tokens"))
+    shared_prefix = lists.groupBy("grp").agg(
+        F.collect_list("token").alias("tokens"),
+        F.slice(F.sort_array(F.collect_list(F.struct("pos", "token"))), 1, FIRST_TOKENS).alias("firsts"),
+    )
     seen = stored(
         classes.select("rep", "grp", F.col("n_shingles").alias("n"), *_KEYS).join(shared_prefix, "grp", "left"), "seen"
     )
@@ -109,30 +112,28 @@ def shingle_links(docs: DataFrame, k: int = 5, percent: int = 75) -> DataFrame:
 
     # Step 2: what lies outside a list's main component against the rest of the list.
     member = stored(
-        classes.select("rep", "grp", F.col("n_shingles").alias("n"), *_KEYS)
+        seen.select("rep", "grp", "n", "firsts", *_KEYS)
         .join(known.select(F.col("node").alias("rep"), "component"), "rep", "left")
         .withColumn("component", F.coalesce("component", "rep")),
         "members",
     )
     crowd = groups.where("size > 1").select("grp")
     # Two sets that share one of the other's first tokens before this list's meet in that list.
-    first_tokens = lists.groupBy("grp").agg(F.slice(F.sort_array(F.collect_list(F.struct("pos", "token"))), 1, FIRST_TOKENS).alias("firsts"))
     earlier = F.expr("transform(filter(firsts, x -> x.pos < pos), x -> x.token)").alias("earlier")
     none = F.array().cast("array<long>").alias("earlier")
+    # Lists of one component are left out while their rows are still narrow.
+    parted = stored(_open_lists(lists, member, crowd), "parted")
+    of = lambda kind, name: parted.where(F.col("list.of") == kind).select(F.col("list.id").alias(name), "main")
+    columns = ["rep", "component", "n", "main", *_KEYS]
     at = stored(
         lists.select("token", "grp", "pos")
-        .join(first_tokens, "grp")
-        .select("token", "grp", earlier)
+        .join(of(0, "token"), "token")
         .join(member, "grp")
-        .select(F.struct(F.lit(0).alias("of"), F.col("token").alias("id")).alias("list"), "rep", "component", "n", "earlier", *_KEYS)
+        .select(F.struct(F.lit(0).alias("of"), F.col("token").alias("id")).alias("list"), earlier, *columns)
         .union(
-            member.join(crowd, "grp").select(
-                F.struct(F.lit(1).alias("of"), F.col("grp").alias("id")).alias("list"), "rep", "component", "n", none, *_KEYS
+            member.join(of(1, "grp"), "grp").select(
+                F.struct(F.lit(1).alias("of"), F.col("grp").alias("id")).alias("list"), none, *columns
             )
-        )
-        .join(
-            _open_lists(lists, member, crowd),
-            "list",
         ),
         "open",
     )
