@@ -9,10 +9,13 @@ chunk are carried over through a table with one row per chunk.  Both are exact.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from plumbline.errors import ConfigError
+
 MICROS = 1_000_000
 CHUNK = "_chunk"
 GHOST = "_ghost"
@@ -47,6 +50,27 @@ def with_chunks(
     return df.withColumn(CHUNK, F.explode(spread)).withColumn(GHOST, F.col(CHUNK) != home)
 
 
+@dataclass(frozen=True)
+class ChunkedSamples:
+    """Samples ``keys, _us, value`` that are cut into chunks and lie distributed by (keys, chunk).
+
+    Ghosts reach ``reach_us`` in both directions, so any operator of that reach can work on
+    the rows where they are.
+    """
+
+    rows: DataFrame
+    keys: tuple[str, ...]
+    reach_us: int
+    width_us: int
+
+    def within(self, keys: Sequence[str], reach_us: int) -> DataFrame:
+        if tuple(keys) != self.keys:
+            raise ConfigError(f"samples are stored by {list(self.keys)}, not by {list(keys)}")
+        if reach_us > self.reach_us:
+            raise ConfigError(f"samples are stored for ranges up to {self.reach_us} microseconds, not {reach_us}")
+        return self.rows
+
+
 def carry_last(
     df: DataFrame, keys: Sequence[str], chunk: str, order: str, value: Column, out: str
 ) -> DataFrame:

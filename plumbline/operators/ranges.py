@@ -20,6 +20,7 @@ from plumbline.operators.chunks import (
     CHUNK,
     GHOST,
     MICROS,
+    ChunkedSamples,
     ceil_div,
     chunk_width,
     floor_div,
@@ -39,6 +40,19 @@ def _slim(samples: DataFrame, keys: Sequence[str]) -> DataFrame:
     return samples.select(*keys, F.unix_micros("ts").alias(_US), "value")
 
 
+def _chunked(
+    samples: DataFrame | ChunkedSamples, keys: Sequence[str], reach: int, chunk_s: int | None, *, ahead: int = 0, back: int = 0
+) -> DataFrame:
+    """Rows of a series and chunk side by side: as they are stored, or by one exchange.
+
+    The exchange is stated, because windows over finer groups would not serve coarser ones.
+    """
+    if isinstance(samples, ChunkedSamples):
+        return samples.within(keys, reach)
+    width = chunk_width(reach, chunk_s and chunk_s * MICROS)
+    return with_chunks(_slim(samples, keys), _US, width, ahead_us=ahead, back_us=back).repartition(*keys, CHUNK)
+
+
 def _time(us: Column) -> Column:
     return F.timestamp_micros(us)
 
@@ -61,7 +75,7 @@ def latest_group(df: DataFrame, group: Sequence[str], member: str, ts: str) -> D
 
 
 def instant_lookback(
-    samples: DataFrame,
+    samples: DataFrame | ChunkedSamples,
     step_s: int,
     lookback_s: int,
     *,
@@ -80,7 +94,6 @@ def instant_lookback(
     ``closed=False`` leaves out a sample exactly ``lookback`` old.
     """
     step, reach = step_s * MICROS, lookback_s * MICROS
-    width = chunk_width(reach, chunk_s and chunk_s * MICROS)
     w = Window.partitionBy(*keys, CHUNK).orderBy(_US, "value")
     lasts = F.least(
         F.col(_US) + F.lit(reach if closed else reach - 1),
@@ -89,7 +102,7 @@ def instant_lookback(
     )
     firsts = F.col(_US) if start is None else F.greatest(F.col(_US), F.unix_micros(start))
     return (
-        with_chunks(_slim(samples, keys), _US, width, back_us=reach)
+        _chunked(samples, keys, reach, chunk_s, back=reach)
         .withColumn("_next", F.lead(_US).over(w))
         .where(~F.col(GHOST))
         .withColumn("_k0", ceil_div(firsts, step))
@@ -118,7 +131,8 @@ def _sliding(
     two running aggregates, one from either end.  ``parts`` maps a name to
     ``(aggregate, column, combination)``.  The first row of the range is kept in ``_first``
     with the columns ``kept``.  A frame that slides at both ends would be computed anew for
-    every row.
+    every row.  Three sorts serve any number of parts: all aggregates of a direction are
+    computed together.
     """
     group = [*keys, CHUNK]
     up = Window.partitionBy(*group, _BLOCK).orderBy(_US).rangeBetween(Window.unboundedPreceding, 0)
@@ -126,9 +140,9 @@ def _sliding(
     row = Window.partitionBy(*group).orderBy(_US)
     so_far = row.rangeBetween(Window.unboundedPreceding, 0)
     before = row.rangeBetween(Window.unboundedPreceding, -reach - 1)
-    df = df.withColumn(_BLOCK, floor_div(F.col(_US), reach))
-    for name, (how, column, _) in parts.items():
-        df = df.withColumns({f"_up{name}": how(column).over(up), f"_down{name}": how(column).over(down)})
+    df = df if _BLOCK in df.columns else df.withColumn(_BLOCK, floor_div(F.col(_US), reach))
+    df = df.withColumns({f"_up{name}": how(column).over(up) for name, (how, column, _) in parts.items()})
+    df = df.withColumns({f"_down{name}": how(column).over(down) for name, (how, column, _) in parts.items()})
     seen = F.struct(_BLOCK, *kept, *[f"_down{n}" for n in parts])
     df = df.withColumn("_seen", seen).withColumn("_next", F.lead("_seen").over(row))
     # The row after the last one that lies before the range, or else the first row of all.
@@ -149,7 +163,7 @@ _OVER_TIME = {"max": F.max, "min": F.min, "sum": F.sum, "avg": F.avg, "count": F
 
 
 def over_time(
-    samples: DataFrame,
+    samples: DataFrame | ChunkedSamples,
     range_s: int,
     how: str = "max",
     *,
@@ -160,8 +174,7 @@ def over_time(
     if how not in _OVER_TIME:
         raise ConfigError(f"how must be one of {sorted(_OVER_TIME)}, got {how!r}")
     reach = range_s * MICROS
-    width = chunk_width(reach, chunk_s and chunk_s * MICROS)
-    chunked = with_chunks(_slim(samples, keys), _US, width, ahead_us=reach)
+    chunked = _chunked(samples, keys, reach, chunk_s, ahead=reach)
     if how == "avg":
         parts = {"_sum": (F.sum, "value", _add), "_n": (F.count, "value", _add)}
         done = _sliding(chunked, keys, reach, parts).withColumn("over", F.try_divide("_sum", "_n"))
@@ -267,8 +280,13 @@ def _paned(
     )
 
 
+def _before(keys: Sequence[str]) -> Column:
+    """The value of the sample before; ordered as the running aggregates are, so it costs no sort of its own."""
+    return F.lag("value").over(Window.partitionBy(*keys, CHUNK).orderBy(_BLOCK, _US))
+
+
 def counter_steps(
-    samples: DataFrame, range_s: int, *, keys: Sequence[str] = SERIES, chunk_s: int | None = None
+    samples: DataFrame | ChunkedSamples, range_s: int, *, keys: Sequence[str] = SERIES, chunk_s: int | None = None
 ) -> DataFrame:
     """Growth since the previous sample of the series; a drop counts as a restart at 0.
 
@@ -276,11 +294,10 @@ def counter_steps(
     of that length can hold both, so its growth is never summed.
     """
     reach = range_s * MICROS
-    width = chunk_width(reach, chunk_s and chunk_s * MICROS)
-    w = Window.partitionBy(*keys, CHUNK).orderBy(_US)
-    before = F.lag("value").over(w)
+    before = _before(keys)
     grown = F.when(F.col("value") < before, F.col("value")).otherwise(F.col("value") - before)
-    return with_chunks(_slim(samples, keys), _US, width, ahead_us=reach).withColumn("_grown", grown)
+    chunked = _chunked(samples, keys, reach, chunk_s, ahead=reach)
+    return chunked.withColumn(_BLOCK, floor_div(F.col(_US), reach)).withColumn("_grown", grown)
 
 
 def _growth(range_us: int, extrapolate: bool, end_us: Column) -> Column:
@@ -307,7 +324,7 @@ def _growth(range_us: int, extrapolate: bool, end_us: Column) -> Column:
 
 
 def increase(
-    samples: DataFrame,
+    samples: DataFrame | ChunkedSamples,
     range_s: int,
     *,
     keys: Sequence[str] = SERIES,
@@ -338,7 +355,7 @@ def increase(
     )
 
 
-def rate(samples: DataFrame, range_s: int, **options) -> DataFrame:
+def rate(samples: DataFrame | ChunkedSamples, range_s: int, **options) -> DataFrame:
     """Growth per second over the range."""
     return increase(samples, range_s, **options).withColumn(
         "value", F.col("value") / F.lit(float(range_s))
@@ -346,7 +363,7 @@ def rate(samples: DataFrame, range_s: int, **options) -> DataFrame:
 
 
 def increase_grid(
-    samples: DataFrame,
+    samples: DataFrame | ChunkedSamples,
     range_s: int,
     step_s: int,
     *,
@@ -407,15 +424,13 @@ def rate_grid(samples: DataFrame, range_s: int, step_s: int, **options) -> DataF
 
 
 def changes(
-    samples: DataFrame, range_s: int, *, keys: Sequence[str] = SERIES, chunk_s: int | None = None
+    samples: DataFrame | ChunkedSamples, range_s: int, *, keys: Sequence[str] = SERIES, chunk_s: int | None = None
 ) -> DataFrame:
     """How often the value changed within ``[ts - range, ts]``, at each sample."""
     reach = range_s * MICROS
-    width = chunk_width(reach, chunk_s and chunk_s * MICROS)
-    w = Window.partitionBy(*keys, CHUNK).orderBy(_US)
-    before = F.lag("value").over(w)
+    before = _before(keys)
     moved = F.when(before.isNull() | (F.col("value") == before), 0).otherwise(1)
-    chunked = with_chunks(_slim(samples, keys), _US, width, ahead_us=reach)
+    chunked = _chunked(samples, keys, reach, chunk_s, ahead=reach).withColumn(_BLOCK, floor_div(F.col(_US), reach))
     return (
         _sliding(chunked.withColumn("_moved", moved.cast("bigint")), keys, reach, {"_all": (F.sum, "_moved", _add)}, ["_moved"])
         # The first sample of the range compares with one outside it.

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from multiprocessing.pool import ThreadPool
+
+from pyspark import inheritable_thread_target
 from pyspark.sql import functions as F
 
 from plumbline.functions import display, scalars
-from plumbline.operators import assurance, classmetrics, columns, secrets
+from plumbline.operators import assurance, classmetrics, columns, hashtree, lineage, secrets
 from plumbline.operators.forest import ForestSettings, grid_search, predict
 from plumbline.operators.trees import Fit, fit_forest
 from plumbline.operators.split import random_split, rank_in_class, stratified_kfold, stratified_split
@@ -517,6 +520,36 @@ def dangling_artifacts(spark, sf):
     return assurance.dangling_artifacts(_lineage(spark, sf))
 
 
+# Chains of 50 stages over the events; every tenth chain is a cycle.
+_CHAIN = 50
+_CHAINS_SQL = f"""e AS (SELECT event_id AS source, CASE WHEN event_id % {_CHAIN} = {_CHAIN - 1} THEN event_id - {_CHAIN - 1}
+      ELSE event_id + 1 END AS target FROM events WHERE event_id % {_CHAIN} < {_CHAIN - 1} OR event_id // {_CHAIN} % 10 = 0)"""
+
+
+@query(f"WITH RECURSIVE {_CHAINS_SQL}, r AS (SELECT * FROM e UNION SELECT r.source, e.target FROM r JOIN e ON r.target = e.source) SELECT * FROM r")
+def lineage_reach(spark, sf):
+    """Everything that each artifact feeds over any number of stages."""
+    at, last = F.col("event_id") % _CHAIN, _CHAIN - 1
+    ends = F.when(at == last, F.col("event_id") - last).otherwise(F.col("event_id") + 1)
+    kept = table(spark, sf, "events").where((at < last) | (F.floor(F.col("event_id") / _CHAIN) % 10 == 0))
+    return lineage.closure(kept.select(F.col("event_id").alias("source"), ends.alias("target")))
+
+
+_EDITED_SQL = """SELECT o_orderkey, CASE WHEN o_orderkey % 1000 = 1 THEN 'removed' ELSE 'changed' END AS change
+    FROM orders WHERE o_orderkey % 1000 IN (1, 2) UNION ALL SELECT -o_orderkey, 'added' FROM orders WHERE o_orderkey % 1000 = 3"""
+
+
+@query(_EDITED_SQL)
+def digest_tree_diff(spark, sf):
+    """The orders that were edited, found by comparing two hash trees from the top."""
+    orders = table(spark, sf, "orders")
+    place = F.col("o_orderkey") % 1000
+    edited = orders.where(place != 1).withColumn("o_totalprice", F.col("o_totalprice") + F.when(place == 2, 1).otherwise(0))
+    added = orders.where(place == 3).withColumn("o_orderkey", -F.col("o_orderkey"))
+    trees = [hashtree.store_tree(t, "o_orderkey", shared_dir(spark, "tree")) for t in (orders, edited.unionByName(added))]
+    return hashtree.tree_diff(*trees)
+
+
 _NAMES = "password|passwd|secret|token|api[_-]?key|credential"
 _LITERAL = f'(?i)[A-Za-z0-9_-]*(?:{_NAMES})[A-Za-z0-9_-]*[ \\t]*=[ \\t]*"[^"]+"'
 _LITERAL_2 = f'(?i)([A-Za-z0-9_-]*(?:{_NAMES})[A-Za-z0-9_-]*)[ \\t]*=[ \\t]*"([^"]+)"'
@@ -732,6 +765,21 @@ def large_file_manifest(spark, sf):
     return manifests.large_file_manifest(spark, sf, "*.parquet")
 
 
+@query("""SELECT page_id, octet_length(encode(coalesce(html, ''))) AS length, md5(coalesce(html, '')) AS md5, sha256(coalesce(html, '')) AS sha256 FROM pages
+    UNION ALL SELECT -1 - page_id, 0, md5(''), sha256('') FROM pages WHERE page_id % 50 = 0""")
+def page_file_digests(spark, sf):
+    """Every page as a file of its own, and some empty ones, digested where they lie."""
+    pages = table(spark, sf, "pages").select("page_id", "html")
+    empty = pages.where(F.col("page_id") % 50 == 0).select((-1 - F.col("page_id")).alias("page_id"), F.lit(None).cast("string").alias("html"))
+    folder = F.pmod("page_id", F.lit(16)).cast("string")
+    named = pages.union(empty).withColumn("file", F.concat_ws("/", folder, F.concat(F.col("page_id").cast("string"), F.lit(".html"))))
+    root = shared_dir(spark, "pages")
+    manifests.write_files(named, root, "file", "html")
+    found = manifests.large_file_manifest(spark, root, "*.html")
+    number = F.regexp_extract("path", r"/(-?[0-9]+)\.html$", 1).cast("bigint")
+    return found.select(number.alias("page_id"), "length", "md5", "sha256")
+
+
 @query("SELECT o_orderkey, o_orderstatus FROM orders WHERE o_orderstatus <> 'P'")
 def landed_rows(spark, sf):
     """Orders exported one folder per status; the files of one status have a wrong pin."""
@@ -772,6 +820,24 @@ def run_ledger(spark, sf):
     return ledger.read("run_metrics").select("run_id", "experiment", "stage", "name", "value")
 
 
+@query(_RUNS_SQL + """ SELECT run_id, 'shop' AS experiment, 'train' AS stage, name, value FROM r""")
+def concurrent_appends(spark, sf):
+    """Eight writers append overlapping runs at the same time; every run is stored once."""
+    ledger = RunLedger(spark, shared_dir(spark, "ledger"))
+    runs = stored(
+        table(spark, sf, "events")
+        .groupBy(F.concat(F.lit("run-"), F.col("user_id").cast("string")).alias("run_id"), F.col("event_type").alias("name"))
+        .agg(F.sum(F.col("value").cast("decimal(18,2)")).cast("double").alias("value"))
+        .select("run_id", F.lit("shop").alias("experiment"), F.lit("train").alias("stage"), "name", "value"),
+        "runs",
+    )
+    part = F.pmod(F.xxhash64("run_id"), F.lit(8))
+    writes = [runs.where(part.isin(i, (i + 1) % 8)) for i in range(8)]
+    with ThreadPool(8) as pool:
+        pool.map(inheritable_thread_target(spark)(lambda rows: ledger.append("run_metrics", rows)), writes, chunksize=1)
+    return ledger.read("run_metrics")
+
+
 _LOGS_SQL = """WITH e AS (SELECT strftime(ts, '%Y-%m-%d %H:%M:%S') AS at_text,
     CASE WHEN event_type = 'error' THEN 'ERROR' ELSE 'INFO' END AS level, event_type AS stage,
     'event ' || event_id AS message, event_type = 'error' AS bad FROM events)"""

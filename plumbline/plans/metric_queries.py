@@ -7,6 +7,7 @@ The samples are the events: the type is the metric, the user its label.  There a
 from __future__ import annotations
 
 import json
+import uuid
 from dataclasses import replace
 
 from pyspark.sql import Window
@@ -21,7 +22,8 @@ from plumbline.plans.registry import query
 from plumbline.plans.rulepack import standing_rules
 from plumbline.plans.tables import event_samples, table
 from plumbline.session import shared_dir
-from plumbline.sources.samples import read_samples, write_samples
+from plumbline.sources.exposition import read_sample_text, write_sample_text
+from plumbline.sources.samples import read_samples, store_chunked, write_samples
 from plumbline.streaming.gauges import gauge_samples, newest_gauges
 from plumbline.streaming.stages import stage_runs, stage_status
 
@@ -89,6 +91,35 @@ def stored_sample_scan(spark, sf):
     )
 
 
+# The note holds every character that the text form escapes.
+_TEXT_SQL = """SELECT event_type AS metric, CAST(user_id AS VARCHAR) AS user_id, event_type || chr(92) || chr(34) || chr(10) || 'n' AS note,
+      date_trunc('milliseconds', ts) AS ts, value, CAST(NULL AS VARCHAR) AS bad FROM events
+    UNION ALL SELECT NULL, NULL, NULL, NULL, NULL, event_type || '{user_id="' || user_id || '" 1' FROM events WHERE event_id % 20 = 0"""
+
+
+def sample_text(spark, sf, path):
+    """The events as lines of text, among them some that are cut off."""
+    note = F.concat("event_type", F.lit('\\"\nn'))
+    labels = F.create_map(F.lit("user_id"), F.col("user_id").cast("string"), F.lit("note"), note)
+    events = table(spark, sf, "events")
+    write_sample_text(events.select(F.col("event_type").alias("metric"), labels.alias("labels"), F.col("ts").cast("timestamp").alias("ts"), "value"), path)
+    cut = F.concat("event_type", F.lit('{user_id="'), F.col("user_id").cast("string"), F.lit('" 1'))
+    events.where("event_id % 20 = 0").select(cut.alias("value")).write.mode("append").text(path)
+
+
+def text_columns(parsed):
+    label = lambda name: F.col("labels")[name].alias(name)
+    return _no_zone(parsed.select("metric", label("user_id"), label("note"), "ts", "value", "bad"))
+
+
+@query(_TEXT_SQL)
+def sample_text_round_trip(spark, sf):
+    """The events written as lines of text and parsed again; broken lines are kept apart."""
+    path = shared_dir(spark, "text")
+    sample_text(spark, sf, path)
+    return text_columns(read_sample_text(spark, path))
+
+
 @query("""SELECT event_id, '{"exported_job":"' || event_type || '","instance":"' || user_id || '","job":"events","node_zone":"z",'
     || '"user_id":"' || user_id || '","zone":"z"}' AS replaced, '{"instance":"' || user_id || '","job":"' || event_type ||
     '","node_zone":"z","user_id":"' || user_id || '","zone":"z"}' AS honored FROM events""")
@@ -265,6 +296,35 @@ def max_over_time(spark, sf):
     return _user(ranges.over_time(_series(spark, sf), LOOKBACK, "max"), "metric", "ts", "value", "over")
 
 
+def _stored_series(spark, sf):
+    """The series as a bucketed table, cut into chunks for ranges of three days."""
+    name = f"samples_{uuid.uuid4().hex}"
+    return store_chunked(_samples(spark, sf), name, shared_dir(spark, "chunked"), reach_s=72 * HOUR)
+
+
+@query("""SELECT event_type AS metric, CAST(user_id AS VARCHAR) AS user_id, ts, value, max(value) OVER (PARTITION BY
+    event_type, user_id ORDER BY ts RANGE BETWEEN INTERVAL 6 HOUR PRECEDING AND CURRENT ROW) AS over FROM events""")
+def stored_max_over_time(spark, sf):
+    """The largest value of a range, from stored chunks where they lie."""
+    return _user(ranges.over_time(_stored_series(spark, sf), LOOKBACK, "max"), "metric", "ts", "value", "over")
+
+
+@query("""WITH m AS (SELECT event_type AS metric, user_id, ts, value, CASE WHEN value <> lag(value) OVER w THEN 1 ELSE 0 END AS moved,
+      CASE WHEN value < lag(value) OVER w THEN value ELSE value - lag(value) OVER w END AS grown
+      FROM events WINDOW w AS (PARTITION BY event_type, user_id ORDER BY ts)),
+    f AS (SELECT metric, CAST(user_id AS VARCHAR) AS user_id, ts, count(*) OVER r AS n, sum(grown) OVER r - coalesce(first_value(grown) OVER r, 0) AS raw,
+      CAST(sum(moved) OVER r - first_value(moved) OVER r AS BIGINT) AS changes FROM m
+      WINDOW r AS (PARTITION BY metric, user_id ORDER BY ts RANGE BETWEEN INTERVAL 3 DAY PRECEDING AND CURRENT ROW))
+    SELECT metric, user_id, ts, round(raw, 6) AS grown, changes FROM f WHERE n >= 2""")
+def stored_growth_and_changes(spark, sf):
+    """Growth with resets and number of changes over three days, both from one stored table."""
+    chunks = _stored_series(spark, sf)
+    grown = ranges.increase(chunks, 72 * HOUR, extrapolate=False).withColumnRenamed("value", "grown")
+    moved = ranges.changes(chunks, 72 * HOUR)
+    both = grown.join(moved, ["metric", "series", "ts"]).withColumn("grown", F.round("grown", 6))
+    return _user(both, "metric", "ts", "grown", "changes")
+
+
 @query(f"""WITH {_GRID} SELECT event_type AS metric, CAST(user_id AS VARCHAR) AS user_id, t, max(value) AS value
     FROM events JOIN g ON ts <= t AND ts >= t - INTERVAL 6 HOUR GROUP BY ALL""")
 def max_over_time_grid(spark, sf):

@@ -5,11 +5,11 @@ from __future__ import annotations
 import uuid
 from collections.abc import Mapping
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from plumbline.errors import ConfigError
+from plumbline.sources.commits import CommitLog
 
 TABLES = {
     "runs": "run_id string, experiment string, stage string, status string",
@@ -28,41 +28,29 @@ class RunLedger:
 
     A row is named by its experiment, run, stage and, for pairs, name.  Every append first
     drops the rows already stored under that name, so that a repeated attempt changes
-    nothing and a later stage of a known run is kept.
+    nothing and a later stage of a known run is kept.  Appends are commits, so writers that run
+    at the same time neither lose nor repeat rows, and readers see whole appends.
     """
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root.rstrip("/")
 
-    def _path(self, table: str) -> str:
+    def _commits(self, table: str) -> CommitLog:
         if table not in TABLES:
             raise ConfigError(f"no ledger table {table!r}; known: {sorted(TABLES)}")
-        return f"{self.root}/{table}"
+        return CommitLog(self.spark, f"{self.root}/{table}", TABLES[table], ["experiment"])
 
     def read(self, table: str) -> DataFrame:
-        path = self._path(table)
-        try:
-            return self.spark.read.schema(TABLES[table]).parquet(path)
-        except AnalysisException as e:
-            if e.getCondition() != "PATH_NOT_FOUND":
-                raise
-            return self.spark.createDataFrame([], TABLES[table])
+        return self._commits(table).read()
 
     def append(self, table: str, rows: DataFrame) -> None:
         """Add the rows that the table does not hold yet, by their full name.
 
         A run with many rows is no hot key: the name of the pair is part of the join key.
         """
-        names = [c.split()[0] for c in TABLES[table].split(", ")]
+        names = [c.split()[0] for c in TABLES[table].split(", ")] if table in TABLES else []
         key = [c for c in names if c in ("experiment", "run_id", "stage", "name")]
-        known = self.read(table).select(*key).distinct()
-        (
-            rows.select(*names)
-            .join(known, key, "left_anti")
-            .write.mode("append")
-            .partitionBy("experiment")
-            .parquet(self._path(table))
-        )
+        self._commits(table).append_new(rows.select(*names), key)
 
     def _pairs(self, table: str, run_id: str, experiment: str, stage: str, pairs: Mapping):
         rows = [(run_id, experiment, stage, k, v) for k, v in sorted(pairs.items())]

@@ -4,15 +4,22 @@ from __future__ import annotations
 
 import logging
 import re
+import sys
 from collections.abc import Iterator
-from urllib.parse import unquote
+from functools import reduce
+from urllib.parse import quote, unquote, urlparse
 
-import pandas as pd
+import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from plumbline.errors import DataError
 from plumbline.functions.scalars import digest_equal
+from plumbline.session import stored
+
+# Executors need not have this package installed: its task code travels with the plan.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 log = logging.getLogger(__name__)
 
@@ -54,34 +61,108 @@ def file_manifest(spark: SparkSession, path: str, pattern: str | None = None) ->
     )
 
 
+def _store_of(uri: str):
+    """The file system of a path or URI, and the path in it (local disks, HDFS, S3, GCS)."""
+    from pyarrow import fs
+
+    scheme = urlparse(uri).scheme
+    if scheme in ("", "file"):
+        return fs.LocalFileSystem(), unquote(urlparse(uri).path) if scheme else uri
+    return fs.FileSystem.from_uri(uri)
+
+
+def _uri_of(uri: str, path: str) -> str:
+    """The URI of a path in the same store as ``uri``."""
+    parts = urlparse(uri)
+    if parts.scheme in ("", "file"):
+        return "file://" + quote(path)
+    # The stores give paths with the bucket first, but for HDFS, whose host is no part of them.
+    return f"{parts.scheme}://{parts.netloc}{path}" if path.startswith("/") else f"{parts.scheme}://{path}"
+
+
+def list_files(spark: SparkSession, path: str, pattern: str | None = None) -> DataFrame:
+    """``(path, length)`` of every file under a path, listed by tasks, a level of folders at a time.
+
+    Names that begin with ``_`` or a dot are passed over, as Spark's readers do; ``pattern`` is
+    a glob for file names.  The driver sees no listing.
+    """
+
+    def children(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from fnmatch import fnmatchcase
+
+        from pyarrow import fs
+
+        for batch in batches:
+            for folder in batch.column(0).to_pylist():
+                store, at = _store_of(folder)
+                one = store.get_file_info(at)
+                if one.type == fs.FileType.NotFound:
+                    raise FileNotFoundError(folder)
+                found = [one] if one.type == fs.FileType.File else store.get_file_info(fs.FileSelector(at))
+                rows = [
+                    (_uri_of(folder, f.path), f.size, f.type == fs.FileType.Directory)
+                    for f in found
+                    if not f.base_name.startswith(("_", "."))
+                    and (pattern is None or f.type == fs.FileType.Directory or fnmatchcase(f.base_name, pattern))
+                ]
+                names = ["path", "length", "folder"]
+                kinds = [pa.string(), pa.int64(), pa.bool_()]
+                yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)], names)
+
+    frontier, files = spark.createDataFrame([(path,)], "path string"), []
+    while not files or not frontier.isEmpty():
+        listed = stored(frontier.repartition("path").mapInArrow(children, "path string, length long, folder boolean"), "listing")
+        files.append(listed.where("not folder").select("path", "length"))
+        frontier = listed.where("folder").select("path")
+    return reduce(DataFrame.union, files)
+
+
 def large_file_manifest(spark: SparkSession, path: str, pattern: str | None = None) -> DataFrame:
-    """The same manifest for files of any size on storage every executor has mounted.
+    """The same manifest for files of any size and number, on local disks or object stores.
 
-    Only names and lengths are listed by Spark (the content column is pruned); each file is
-    then hashed in chunks by one task, so its size never has to fit in memory.
+    Files are listed and hashed by tasks; each is read in blocks by one task, so its size
+    never has to fit in memory.  Empty files have the digests of nothing.
     """
-    reader = spark.read.format("binaryFile").option("recursiveFileLookup", True)
-    if pattern:
-        reader = reader.option("pathGlobFilter", pattern)
-    listed = reader.load(path).select(F.col("_metadata.file_path").alias("path"), "length")
 
-    def digest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import hashlib
-        from urllib.parse import unquote, urlparse  # noqa: F811
 
         for batch in batches:
-            rows = []
-            for name, length in zip(batch["path"], batch["length"], strict=True):
-                md5, sha = hashlib.md5(usedforsecurity=False), hashlib.sha256()
-                with open(unquote(urlparse(name).path), "rb") as f:
+            for name in batch.column(0).to_pylist():
+                store, at = _store_of(name)
+                md5, sha, length = hashlib.md5(usedforsecurity=False), hashlib.sha256(), 0
+                with store.open_input_stream(at) as f:
                     while block := f.read(HASH_CHUNK_BYTES):
                         md5.update(block)
                         sha.update(block)
-                rows.append((name, length, md5.hexdigest(), sha.hexdigest()))
-            yield pd.DataFrame(rows, columns=["path", "length", "md5", "sha256"])
+                        length += len(block)
+                columns = [[name], [length], [md5.hexdigest()], [sha.hexdigest()]]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["path", "length", "md5", "sha256"])
+
+    spread = list_files(spark, path, pattern).select("path").repartition("path")
+    return spread.mapInArrow(digest, "path string, length bigint, md5 string, sha256 string")
+
+
+def write_files(df: DataFrame, root: str, name: str, content: str) -> DataFrame:
+    """Write each row's content to a file of its own under ``root``; ``(path, length)`` of all.
+
+    A task that runs twice writes the same file again.  A null content is an empty file.
+    """
+
+    def put(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for file, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                uri = f"{root.rstrip('/')}/{file}"
+                store, at = _store_of(uri)
+                store.create_dir(at.rsplit("/", 1)[0], recursive=True)
+                with store.open_output_stream(at) as f:
+                    f.write(data or b"")
+                out.append((_uri_of(uri, at), len(data or b"")))
+            yield pa.RecordBatch.from_arrays([pa.array([o[0] for o in out], pa.string()), pa.array([o[1] for o in out], pa.int64())], ["path", "length"])
 
-    spread = listed.repartition("path")
-    return spread.mapInPandas(digest, "path string, length bigint, md5 string, sha256 string")
+    rows = df.select(F.col(name).cast("string"), F.col(content).cast("binary"))
+    return stored(rows.mapInArrow(put, "path string, length long"), "written")
 
 
 def verify_manifest(actual: DataFrame, expected: DataFrame) -> DataFrame:
