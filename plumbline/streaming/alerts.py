@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.types import StructType
 
+from plumbline.errors import ConfigError
 from plumbline.operators.alerting import (
     AlertRule,
     condition_holds,
@@ -181,3 +182,29 @@ def stream_alert_transitions(
         outputMode="append",
         timeMode="EventTime",
     )
+
+
+def live_alerts(spark: SparkSession, progress: str) -> DataFrame:
+    """``(rule, series, since, last, state)``: the alerts that a stream holds as pending or firing.
+
+    Reads the state that ``stream_alert_transitions`` has stored under its checkpoint folder
+    ``progress``, as of its last batch, without stopping or starting the stream.  ``last`` is
+    the newest evaluation time at which the condition held.
+    """
+    operators = spark.read.format("state-metadata").load(progress)
+    mine = operators.where(F.col("operatorName").startswith("transformWithState")).select("operatorId").distinct().collect()
+    if len(mine) != 1:
+        raise ConfigError(f"{progress} is not the checkpoint of one alert stream")
+    runs = (
+        spark.read.format("statestore")
+        .option("operatorId", mine[0]["operatorId"])
+        .option("stateVarName", "run")
+        .load(progress)
+    )
+    return runs.select(
+        "key.rule",
+        "key.series",
+        F.timestamp_micros("value.since").alias("since"),
+        F.timestamp_micros("value.last").alias("last"),
+        F.when(F.col("value.fired"), "firing").otherwise("pending").alias("state"),
+    )

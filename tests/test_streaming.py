@@ -2,12 +2,14 @@
 
 from datetime import datetime
 
+import pytest
 from pyspark.sql import functions as F
 
+from plumbline.errors import ConfigError
 from plumbline.operators import alerting
 from plumbline.plans.rulepack import standing_rules
 from plumbline.sources.samples import SAMPLE_SCHEMA, stream_samples
-from plumbline.streaming.alerts import stream_alert_transitions
+from plumbline.streaming.alerts import live_alerts, stream_alert_transitions
 from plumbline.streaming.gauges import GaugeTable, push_stage_metrics
 from plumbline.streaming.jobs import drain
 from plumbline.streaming.stages import stage_runs, stage_status, stream_stage_runs
@@ -52,6 +54,32 @@ def test_alerts_over_micro_batches(spark, make_samples, tmp_path):
     assert ("PostgresDown", "resolved") in states and ("KubePodCrashLooping", "firing") in states
 
 
+def test_live_alerts_are_those_of_the_last_evaluation(spark, make_samples, tmp_path):
+    pod = {"namespace": "prod", "pod": "p", "reason": "CrashLoopBackOff"}
+    samples = make_samples(
+        [
+            ("pg_up", {}, [1] * 6 + [0] * 4 + [1] * 5 + [0] * 17),
+            ("kube_pod_container_status_waiting_reason", pod, [1] * 32),
+            ("clock", {}, [0] * 32),
+        ]
+    )
+    path = str(tmp_path / "in")
+    write_in_parts(samples, path, spark, ["2026-01-01 00:12:00", "2026-01-01 00:25:00"])
+    moves = stream_alert_transitions(stream_samples(spark, path, maxFilesPerTrigger=1), RULES, step_s=60, delay="1 minute")
+    drain(moves, str(tmp_path / "out"))
+    live = live_alerts(spark, str(tmp_path / "out" / "progress"))
+    at = live.agg(F.max("last")).first()[0]
+    timeline = alerting.alert_timeline(samples, RULES, step_s=60).where(F.col("t") == at)
+    rows = lambda df: sorted(map(tuple, df.select("rule", "series", "since", "state").collect()))
+    assert (at - T0).total_seconds() >= 28 * 60
+    assert rows(live) == rows(timeline) and {r[3] for r in rows(live)}
+    peaks = samples.select("metric", F.col("ts"), "value").schema
+    stream = spark.readStream.schema(peaks).parquet(path)
+    drain(tumbling(stream, 60, ["metric"]), str(tmp_path / "other"))
+    with pytest.raises(ConfigError):
+        live_alerts(spark, str(tmp_path / "other" / "progress"))
+
+
 def test_late_samples_are_dropped(spark, tmp_path):
     path = str(tmp_path / "in")
     rows = [
