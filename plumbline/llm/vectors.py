@@ -114,8 +114,8 @@ def near_vectors(vectors: DataFrame, least: float = 0.95) -> DataFrame:
 
     Two vectors link when their cosine is ``least`` or more.  A vector that is null, empty or
     zero, or holds a null or a non-finite component, links with nothing; so do vectors of
-    different length.  Equal vectors are searched once and counted each; a repeated row is a
-    vector of its own.  A row of null vec_id is not searched:
+    different length.  Equal vectors are searched once and counted each; a repeated row, or
+    another vector under the same vec_id, is a vector of its own.  A row of null vec_id is not searched:
     it links with nothing, counts in no n_links, has no component and is kept.
     """
     rows = small_batches(vectors).select(
@@ -125,10 +125,12 @@ def near_vectors(vectors: DataFrame, least: float = 0.95) -> DataFrame:
         "coalesce(size(embedding) > 0 and exists(embedding, x -> x <> 0)"
         " and forall(embedding, x -> x is not null and not isnan(x) and abs(x) < double('Infinity')), false)"
     )
+    # ``rep`` names a class inside this search only: different vectors may share their vec_id.
     classes = stored(
         rows.where(sound & F.col("vec_id").isNotNull())
         .groupBy("embedding")
-        .agg(F.min("vec_id").alias("rep"), F.count("*").alias("weight")),
+        .agg(F.min("vec_id").alias("least"), F.count("*").alias("weight"))
+        .withColumn("rep", F.monotonically_increasing_id()),
         "vectors",
     )
     found = None
@@ -140,13 +142,15 @@ def near_vectors(vectors: DataFrame, least: float = 0.95) -> DataFrame:
     found = stored(found, "links")
     counts = found.where("other is null").groupBy("rep").agg(F.sum("n").alias("n"))
     linked = components(found.where("other is not null").select(F.col("rep").alias("a"), F.col("other").alias("b")))
+    linked = linked.withColumnRenamed("node", "rep")
+    lowest = linked.join(classes, "rep").groupBy("component").agg(F.min("least").alias("lowest"))
     known = stored(
         classes.join(counts, "rep", "left")
-        .join(linked.withColumnRenamed("node", "rep"), "rep", "left")
+        .join(linked.join(lowest, "component").select("rep", "lowest"), "rep", "left")
         .select(
             "embedding",
             (F.coalesce("n", F.lit(0)) + F.col("weight") - 1).cast("long").alias("n_links"),
-            F.coalesce("component", "rep").alias("component_id"),
+            F.coalesce("lowest", "least").alias("component_id"),
         ),
         "classes",
     )
@@ -166,7 +170,7 @@ def _search(classes: DataFrame, least: float) -> DataFrame:
     """Per tile: link counts (``other`` null) and edges of a forest of the links (``n`` null)."""
     spark = classes.sparkSession
     total = classes.count()
-    sample = classes.orderBy(F.xxhash64("embedding"), "rep").limit(SAMPLE).select("embedding").toArrow()
+    sample = classes.orderBy(F.xxhash64("embedding"), "least").limit(SAMPLE).select("embedding").toArrow()
     x = np.array(sample.column(0).to_pylist())
     grid = learn_grid(_unit(x), total, least)
     shared = spark.sparkContext.broadcast(vars(grid))

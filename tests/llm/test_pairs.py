@@ -114,6 +114,12 @@ def test_odd_vectors_link_with_nothing(spark):
     assert near_vectors(spark.createDataFrame([], "vec_id long, embedding array<float>")).collect() == []
 
 
+def test_different_vectors_under_one_id_are_counted_apart(spark):
+    rows = [(1, [1.0, 0.0]), (1, [0.0, 1.0]), (2, [1.0, 0.01]), (3, [0.0, 1.0]), (4, [0.5, -0.5])]
+    got = near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()
+    assert sorted((r.vec_id, r.n_links, r.component_id) for r in got) == [(1, 1, 1), (1, 1, 1), (2, 1, 1), (3, 1, 1), (4, 0, 4)]
+
+
 def test_percent_is_checked(no_docs):
     with pytest.raises(ValueError):
         shingle_links(no_docs, percent=0)
