@@ -16,8 +16,12 @@ from pyspark.sql import functions as F
 from plumbline.llm.labelled import sample_labelled
 from plumbline.llm.text import byte_texts, located_words, remainder, small_batches
 
-#: Words of a passage at least, and passages of a text at most: longer texts have longer passages.
-PASSAGE_WORDS, PASSAGES = 50, 64
+#: Words of a passage (the last has half of them to half of them more).
+PASSAGE_WORDS = 50
+#: Passages of a text that are learnt from at most, spread evenly over it; scores come from all.
+LEARNT = 64
+#: Passages that are encoded together.
+TOGETHER = 4096
 #: Byte classes: small letters, capitals, digits, blanks, line ends, stops, exclamations, bars, other marks, beyond ASCII.
 _CLASSES = 10
 _CLASS = np.full(256, 8)
@@ -34,9 +38,8 @@ def measure(text: bytes) -> np.ndarray:
     n = len(at)
     if not n:
         return np.zeros((1, MEASURES))
-    size = max(PASSAGE_WORDS, -(-n // PASSAGES))
-    first = np.arange(0, n, size)
-    if len(first) > 1 and n - first[-1] < size // 2:
+    first = np.arange(0, n, PASSAGE_WORDS)
+    if len(first) > 1 and n - first[-1] < PASSAGE_WORDS // 2:
         first = first[:-1]
     words = np.diff(np.append(first, n))
     where = np.repeat(np.arange(len(first)), words)
@@ -71,6 +74,11 @@ def measure(text: bytes) -> np.ndarray:
     return np.concatenate([shares, np.stack(own, axis=1)], axis=1)
 
 
+def spread(x: np.ndarray, most: int) -> np.ndarray:
+    """At most so many rows, evenly over all, the first and the last among them."""
+    return x if len(x) <= most else x[np.linspace(0, len(x) - 1, most).round().astype(int)]
+
+
 @dataclass
 class Attention:
     """Scaling, encoder, gated attention and output of the network."""
@@ -79,13 +87,51 @@ class Attention:
     scale: np.ndarray
     p: dict[str, np.ndarray]
 
-    def forward(self, x: np.ndarray, first: np.ndarray):
-        """Scores of the texts whose passages start at ``first``, and what training needs."""
+    def encoded(self, x: np.ndarray):
+        """Scaled measures, encodings, the two sides of the gate, and the attention of passages."""
         p = self.p
         x = np.clip((x - self.centre) / self.scale, -8, 8)
         h = np.tanh(x @ p["enc"] + p["enc_b"])
         v, u = np.tanh(h @ p["v"]), 1 / (1 + np.exp(-(h @ p["u"])))
-        e = (v * u) @ p["w"]
+        return x, h, v, u, (v * u) @ p["w"]
+
+    def pooled(self, x: np.ndarray, together: int = TOGETHER) -> float:
+        """The score of one text, some passages at a time: running maximum, sum and weighted sum."""
+        top, total, z = -np.inf, 0.0, 0.0
+        for i in range(0, len(x), together):
+            _, h, _, _, e = self.encoded(x[i : i + together])
+            higher = max(top, e.max())
+            weight, before = np.exp(e - higher), np.exp(top - higher)
+            total, z, top = total * before + weight.sum(), z * before + weight @ h, higher
+        return float(1 / (1 + np.exp(-(z / total @ self.p["out"] + self.p["out_b"]))))
+
+    def scores(self, texts: list[bytes]) -> list[float]:
+        """The scores of texts; a few short ones are encoded together, a long one alone."""
+        out, held, size = [], [], 0
+
+        def flush():
+            if held:
+                first = np.cumsum([0] + [len(b) for b in held[:-1]])
+                out.extend(self.forward(np.concatenate(held), first)[0].tolist())
+                held.clear()
+
+        for text in texts:
+            x = measure(text)
+            if size + len(x) > TOGETHER:
+                flush()
+                size = 0
+            if len(x) > TOGETHER:
+                out.append(self.pooled(x))
+            else:
+                held.append(x)
+                size += len(x)
+        flush()
+        return out
+
+    def forward(self, x: np.ndarray, first: np.ndarray):
+        """Scores of the texts whose passages start at ``first``, and what training needs."""
+        p = self.p
+        x, h, v, u, e = self.encoded(x)
         text = np.repeat(np.arange(len(first)), np.diff(np.append(first, len(x))))
         e = np.exp(e - np.maximum.reduceat(e, first)[text])
         a = e / np.add.reduceat(e, first)[text]
@@ -122,8 +168,8 @@ def learn_quality(
 ) -> Attention | float:
     """The network learnt from at most ``bound`` labelled texts (see ``sample_labelled``).
 
-    The texts are measured in Spark; the driver gets ``PASSAGES`` rows of measures per text
-    at most.  Without both labels there is nothing to learn: the rate of label 1 is returned
+    The texts are measured in Spark; the driver gets ``LEARNT`` rows of measures per text at
+    most, spread evenly over its passages.  Without both labels there is nothing to learn: the rate of label 1 is returned
     (0 without any text).
     """
     learn = F.lit(True) if learn is None else learn
@@ -131,7 +177,7 @@ def learn_quality(
 
     def work(batches):
         for batch in batches:
-            found = [measure(t).astype(np.float32) for t in byte_texts(batch.column(1))]
+            found = [spread(measure(t), LEARNT).astype(np.float32) for t in byte_texts(batch.column(1))]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array([f.ravel() for f in found], pa.list_(pa.float32()))], ["label", "x"]
             )
@@ -169,7 +215,8 @@ def learn_quality(
 def with_quality(docs: DataFrame, model: Attention | float, column: str = "quality") -> DataFrame:
     """``docs`` with the score of each whole text, 0 to 1.
 
-    A null or empty text, or one of blanks, is scored as one empty passage.  Equal texts have
+    A null or empty text, or one of blanks, is scored as one empty passage; a text of any
+    length is scored by all its passages, which are equally long in all texts.  Equal texts have
     equal scores; other columns are passed through.
     """
     if isinstance(model, float):
@@ -179,10 +226,8 @@ def with_quality(docs: DataFrame, model: Attention | float, column: str = "quali
     @F.arrow_udf("double")
     def score(texts: pa.Array) -> pa.Array:
         model = Attention(**shared.value)
-        bags = [measure(t) for t in byte_texts(texts)]
-        first = np.cumsum([0] + [len(b) for b in bags[:-1]])
         # Rounded, since the last bits of a matrix product depend on the rest of the batch.
-        return pa.array(np.round(model.forward(np.concatenate(bags), first)[0], 12) if bags else [], pa.float64())
+        return pa.array(np.round(model.scores(byte_texts(texts)), 12), pa.float64())
 
     return docs.withColumn(column, score(F.col("text").cast("string")))
 
