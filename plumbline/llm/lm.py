@@ -6,9 +6,11 @@ their own; every other word belongs to the symbol of its last two bytes and is d
 it in proportion to its count plus one, with one place left for all words never seen.  So
 the probabilities of all words after any context sum to 1.
 
-Counts are Spark aggregates over all training texts.  Training runs in the tasks, each over
-its own texts from the same start; the parameters are averaged, weighted by tokens, and sent
-out again for the other half of the texts.
+Counts are Spark aggregates over all training texts.  A hash of a document deals it to one
+of the rounds and to a shard of it; a shard has about as many tokens in a corpus of any size.
+Shards are learnt in the tasks, each in the order of the hashes from the same start; the
+parameters are averaged, weighted by tokens, and are the start of the next round.  So the
+model depends on the texts alone, neither on files nor on partitions.
 """
 
 from __future__ import annotations
@@ -34,8 +36,14 @@ START = SYMBOLS
 COMMON = 1 << 18
 #: Size of an embedding, noise words of a training step, tokens of a step.
 WIDTH, NOISE, STEP = 24, 48, 1024
-#: Tokens that are scored together.
-TOGETHER = 1 << 19
+#: Tokens that are scored together, and that are shuffled together in training.
+TOGETHER, SHUFFLED = 1 << 19, 1 << 17
+#: Tokens of a shard, about, and rounds of training.
+SHARD, ROUNDS = 1 << 20, 2
+#: Averages are sums of integers, equal in any order: so many parts of a unit.
+PARTS = float(1 << 30)
+#: Levels of word counts in a doubling.
+LEVELS = 64
 
 
 def ending_symbol(text: np.ndarray, at: np.ndarray, to: np.ndarray) -> np.ndarray:
@@ -109,9 +117,11 @@ def count_words(texts: DataFrame) -> tuple[Counts, DataFrame]:
         .agg(F.first("symbol").alias("symbol"), F.sum("n").alias("n")),
         "words",
     )
-    common = words.orderBy(F.desc("n"), "hash").limit(COMMON).toArrow()
-    hashes, n = common.column("hash").to_numpy().view(np.uint64), common.column("n").to_numpy()
-    kinds = common.column("symbol").to_numpy()
+    level = F.floor(F.log2("n") * LEVELS)
+    common = words.where(level >= _cut(words, level)).toArrow()
+    hashes, n = common.column("hash").to_numpy(), common.column("n").to_numpy()
+    falling = np.lexsort((hashes, -n))
+    hashes, n, kinds = hashes[falling].view(np.uint64), n[falling], common.column("symbol").to_numpy()[falling]
     symbol_n, symbol_v = np.zeros(SYMBOLS, np.int64), np.zeros(SYMBOLS, np.int64)
     for row in words.groupBy("symbol").agg(F.sum("n").alias("n"), F.count("*").alias("v")).collect():
         symbol_n[row["symbol"]], symbol_v[row["symbol"]] = row["n"], row["v"]
@@ -128,6 +138,17 @@ def count_words(texts: DataFrame) -> tuple[Counts, DataFrame]:
     )
 
 
+def _cut(words: DataFrame, level: Column) -> int:
+    """The lowest level of counts from which on no more than ``COMMON`` words are; a row per level is read."""
+    total, cut = 0, 1 << 30
+    for row in words.groupBy(level.alias("level")).count().orderBy(F.desc("level")).collect():
+        total += row["count"]
+        if total > COMMON:
+            break
+        cut = row["level"]
+    return cut
+
+
 @dataclass
 class LogBilinear:
     """Context embeddings, a matrix per position, output embeddings and biases."""
@@ -189,8 +210,11 @@ def _summed(at: np.ndarray, rows: np.ndarray, n: int) -> np.ndarray:
     return out
 
 
-def learn_model(texts: DataFrame, counts: Counts, half: Column, seed: int = 5) -> LogBilinear:
-    """The model learnt from all of ``texts(text)``; ``half`` (0 or 1) tells the rounds apart."""
+def learn_model(texts: DataFrame, counts: Counts, shard: int = SHARD, seed: int = 5) -> LogBilinear:
+    """The model learnt from all of ``texts(doc_id, text)``, in shards of about ``shard`` tokens.
+
+    Copies under different doc_ids are dealt to different shards.
+    """
     rng = np.random.default_rng(seed)
     share = (counts.symbol_n + 1) / (counts.symbol_n.sum() + SYMBOLS)
     small = lambda *shape: rng.normal(0, 0.1, shape).astype(np.float32)
@@ -202,28 +226,33 @@ def learn_model(texts: DataFrame, counts: Counts, half: Column, seed: int = 5) -
     )
     context = texts.sparkSession.sparkContext
     facts = context.broadcast(vars(counts))
-    for turn in (0, 1):
+    shards = max(1, -(-counts.tokens // (ROUNDS * shard)))
+    keyed = texts.select(F.xxhash64("doc_id", "text").alias("key"), "text")
+    dealt = keyed.select(F.pmod("key", F.lit(ROUNDS)).alias("turn"), F.pmod(F.xxhash64("key"), F.lit(shards)).alias("shard"), "key", "text")
+    for turn in range(ROUNDS):
         start = context.broadcast(vars(model))
 
-        def work(batches):
+        def work(batches, turn=turn, start=start):
             counts = Counts(**facts.value)
-            model = LogBilinear(*[x.copy() for x in start.value.values()])
-            squares = [np.full(x.shape, 1e-3) for x in vars(model).values()]
-            rng, seen = np.random.default_rng(seed), 0
+            total = np.zeros(sum(x.size for x in start.value.values()) + 1, np.int64)
+            now, learner = None, None
             for batch in batches:
-                for symbols, _, first in symbol_lists(batch.column(0), counts):
-                    one, two, target = _contexts(symbols, first)[:3]
-                    order = rng.permutation(len(target))
-                    for i in range(0, len(order), STEP):
-                        some = order[i : i + STEP]
-                        model.train(one[some], two[some], target[some], share, rng, squares)
-                    seen += len(target)
-            flat = model.flat().astype(float) * seen
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.arange(len(flat) + 1)), pa.array(np.append(flat, float(seen)))], ["at", "value"]
-            )
-
-        sums = texts.where(half == turn).select("text").mapInArrow(work, "at long, value double")
+                places, row = batch.column(0).to_numpy(), 0
+                for symbols, _, first in symbol_lists(batch.column(1), counts):
+                    for place, at, to in zip(places[row:].tolist(), first[:-1].tolist(), first[1:].tolist(), strict=False):
+                        if place != now:
+                            if learner:
+                                total += learner.closed(shard)
+                            now, learner = place, Shard(start.value, share, [seed, turn, place])
+                        learner.take(symbols[at:to])
+                    row += len(first) - 1
+            if learner:
+                total += learner.closed(shard)
+                yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(total))), pa.array(total)], ["at", "value"])
+
+        # Whole shards, in an order of their own; a partition may hold several.
+        whole = dealt.where(F.col("turn") == turn).repartition(min(shards, 4096), "shard").sortWithinPartitions("shard", "key", "text")
+        sums = whole.select("shard", "text").mapInArrow(work, "at long, value long")
         table = sums.groupBy("at").agg(F.sum("value").alias("value")).toArrow()
         total = np.zeros(model.flat().size + 1)
         total[table.column("at").to_numpy()] = table.column("value").to_numpy()
@@ -232,6 +261,40 @@ def learn_model(texts: DataFrame, counts: Counts, half: Column, seed: int = 5) -
     return model
 
 
+class Shard:
+    """A model in training: texts are gathered, and learnt from in an order drawn anew for each lot."""
+
+    def __init__(self, start: dict[str, np.ndarray], share: np.ndarray, seed: list[int]):
+        self.model = LogBilinear(*[x.copy() for x in start.values()])
+        self.squares = [np.full(x.shape, 1e-3) for x in start.values()]
+        self.share, self.rng = share, np.random.default_rng(seed)
+        self.held: list[np.ndarray] = []
+        self.waiting = self.seen = 0
+
+    def take(self, symbols: np.ndarray) -> None:
+        self.held.append(symbols)
+        self.waiting += len(symbols) + 1
+        if self.waiting >= SHUFFLED:
+            self.learn()
+
+    def learn(self) -> None:
+        first = np.cumsum([0] + [len(x) for x in self.held])
+        one, two, target = _contexts(np.concatenate(self.held), first)[:3]
+        order = self.rng.permutation(len(target))
+        for i in range(0, len(order), STEP):
+            some = order[i : i + STEP]
+            self.model.train(one[some], two[some], target[some], self.share, self.rng, self.squares)
+        self.seen += len(target)
+        self.held, self.waiting = [], 0
+
+    def closed(self, shard: int) -> np.ndarray:
+        """Parameters times tokens, and the tokens, in parts of a shard's tokens."""
+        if self.held:
+            self.learn()
+        weight = self.seen / shard * PARTS
+        return np.rint(np.append(self.model.flat().astype(float), 1.0) * weight).astype(np.int64)
+
+
 def _contexts(symbols: np.ndarray, first: np.ndarray):
     """Contexts and targets of a run of texts with their ends; ``place`` is the text of each."""
     n = len(first) - 1
@@ -249,19 +312,20 @@ def _contexts(symbols: np.ndarray, first: np.ndarray):
     return one, two, target, place, inner
 
 
-def lm_scores(docs: DataFrame, train: Column) -> DataFrame:
+def lm_scores(docs: DataFrame, train: Column, shard: int = SHARD) -> DataFrame:
     """``doc_id, n_tokens, n_known, train_tokens, base_score, score`` for each row of ``docs(doc_id, text)``.
 
-    Rows where ``train`` holds are learnt from.  Tokens are the words between ASCII blanks
+    Rows where ``train`` holds are learnt from, whatever their doc_id, null or not, in shards
+    of about ``shard`` tokens.  Scores do not depend on the layout of the rows.  Tokens are the words between ASCII blanks
     (A-Z as a-z) and one end; a null or empty text is an end only.  ``base_score`` is the
     add-one unigram log10-probability over the training counts, ``score`` the model's.
     Repeated rows and equal texts have equal scores.  With nothing to learn from, no token
     is known and the base is 0.
     """
     docs = small_batches(docs).select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"), train.alias("train"))
-    texts = docs.where("train").select("text")
-    counts, words = count_words(texts)
-    model = learn_model(texts, counts, F.pmod(F.xxhash64("text"), F.lit(2)))
+    texts = docs.where("train").select("doc_id", "text")
+    counts, words = count_words(texts.select("text"))
+    model = learn_model(texts, counts, shard)
     context = docs.sparkSession.sparkContext
     facts, learnt = context.broadcast(vars(counts)), context.broadcast(vars(model))
 
