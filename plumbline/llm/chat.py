@@ -15,6 +15,7 @@ from dataclasses import dataclass, field
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 SEGMENT = "struct<text: string, loss: boolean>"
 
@@ -109,7 +110,7 @@ def format_chats(rows: DataFrame, template: Template = Template()) -> DataFrame:
 
     schema = pa.schema(
         [
-            ("conv_id", _arrow(kind)),
+            ("conv_id", _arrow(rows)),
             ("at", pa.int64()),
             ("segments", pa.list_(pa.struct([("text", pa.string()), ("loss", pa.bool_())]))),
             ("in_order", pa.bool_()),
@@ -125,8 +126,9 @@ def format_chats(rows: DataFrame, template: Template = Template()) -> DataFrame:
     )
 
 
-def _arrow(kind: str) -> pa.DataType:
-    return {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}[kind]
+def _arrow(rows: DataFrame) -> pa.DataType:
+    """The type of ``conv_id``, as Arrow has it."""
+    return to_arrow_type(rows.schema["conv_id"].dataType)
 
 
 def read_turns(text: str, template: Template = Template()) -> list[tuple[str, str]]:
@@ -160,22 +162,23 @@ def read_back(formatted: DataFrame, template: Template = Template()) -> DataFram
     """Digests of each conversation, from the segments of ``format_chats`` alone.
 
     ``turns_sha256`` is over role, line end, text, line end of each turn; ``loss_sha256`` over
-    the unescaped text under the loss mask; lengths are in code points.  One row per
-    conversation; rows must come as ``format_chats`` gives them.
+    the unescaped text under the loss mask; lengths are in code points.  ``in_order`` is true
+    if all roles follow as the template allows, ``ends_well`` if the conversation may also end
+    as it does.  One row per conversation; rows must come as ``format_chats`` gives them.
     """
     kind = dict(formatted.dtypes)["conv_id"]
-    names = ["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars", "in_order"]
+    names = ["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars", "in_order", "ends_well"]
 
     def work(batches):
         now, state = None, None
         for batch in batches:
             out = []
-            columns = [batch.column(i).to_pylist() for i in range(3)]
-            for conv, segments, good in zip(*columns, strict=True):
+            columns = [batch.column(i).to_pylist() for i in range(4)]
+            for conv, segments, good, ends in zip(*columns, strict=True):
                 if state is None or conv != now:
                     if state is not None:
                         out.append(_closed(now, state))
-                    now, state = conv, [0, hashlib.sha256(), 0, hashlib.sha256(), 0, True]
+                    now, state = conv, [0, hashlib.sha256(), 0, hashlib.sha256(), 0, True, False]
                 whole = "".join(s["text"] for s in segments)
                 for role, text in read_turns(whole, template):
                     state[0] += 1
@@ -187,25 +190,26 @@ def read_back(formatted: DataFrame, template: Template = Template()) -> DataFram
                         state[3].update(shown.encode())
                 state[4] += len(whole)
                 state[5] = state[5] and good
+                state[6] = bool(ends)
             yield pa.RecordBatch.from_pylist(out, schema)
         if state is not None:
             yield pa.RecordBatch.from_pylist([_closed(now, state)], schema)
 
     def _closed(conv, state):
-        n, turns, chars, loss, size, good = state
-        return dict(zip(names, [conv, n, turns.hexdigest(), chars, loss.hexdigest(), size, good], strict=True))
+        n, turns, chars, loss, size, good, ends = state
+        return dict(zip(names, [conv, n, turns.hexdigest(), chars, loss.hexdigest(), size, good, ends], strict=True))
 
     schema = pa.schema(
         list(
             zip(
                 names,
-                [_arrow(kind), pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64(), pa.bool_()],
+                [_arrow(formatted), pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64(), pa.bool_(), pa.bool_()],
                 strict=True,
             )
         )
     )
-    return formatted.select("conv_id", "segments", "in_order").mapInArrow(
+    return formatted.select("conv_id", "segments", "in_order", "ends_well").mapInArrow(
         work,
         f"conv_id {kind}, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string,"
-        " formatted_chars long, in_order boolean",
+        " formatted_chars long, in_order boolean, ends_well boolean",
     )
