@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from plumbline.llm.filters import marked, without_keys
+from plumbline.llm.text import fresh
 from plumbline.session import stored
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -145,18 +146,20 @@ def without_spans(docs: DataFrame, items: DataFrame, n: int = 10) -> DataFrame:
     gone = spots.groupBy(F.col("_key").alias("_hit_key")).agg(
         F.map_from_entries(F.collect_list(F.struct("pos", F.lit(True)))).alias("_gone")
     )
+    mine, lost = fresh(docs, "_hit_key", "_gone")
     text = F.col("text").cast("string")
     # Each piece is one word with the gap before it; the last gap follows.
     pieces = F.regexp_extract_all(text, F.lit(f"{_GAP}*{_WORD}+"), F.lit(0))
     kept = F.transform(
         pieces,
         lambda piece, i: F.when(
-            F.map_contains_key("_gone", i), F.regexp_replace(piece, F.lit(f"{_WORD}+$"), F.lit(""))
+            F.map_contains_key(lost, i), F.regexp_replace(piece, F.lit(f"{_WORD}+$"), F.lit(""))
         ).otherwise(piece),
     )
     tail = F.regexp_extract(text, f"({_GAP}*)\\z", 1)
     return (
-        docs.join(gone, doc_key() == F.col("_hit_key"), "left")
-        .withColumn("text", F.when(F.col("_gone").isNull(), text).otherwise(F.concat(F.array_join(kept, ""), tail)))
-        .drop("_hit_key", "_gone")
+        docs.select("*", doc_key().alias(mine))
+        .join(gone.toDF(mine, lost), mine, "left")
+        .withColumn("text", F.when(F.col(lost).isNull(), text).otherwise(F.concat(F.array_join(kept, ""), tail)))
+        .select(*[F.col(f"`{c}`") for c in docs.columns])
     )

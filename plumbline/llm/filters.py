@@ -10,6 +10,8 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from plumbline.llm.text import fresh
+
 #: Bits of a filter (1 MB).
 FILTER_BITS = 23
 
@@ -45,22 +47,24 @@ def key_filter(keys: DataFrame, key: Column) -> np.ndarray:
 def marked(df: DataFrame, key: Column, keys: DataFrame, own: Column, column: str = "_marked") -> DataFrame:
     """``df`` with a flag that is true where ``key`` may be among ``keys`` (``own`` is their hash)."""
     at = spot(key) + 1
-    with_spot = df.withColumn("_at", F.bitmap_bit_position(at)).withColumn("_bucket", F.bitmap_bucket_number(at))
-    octet = "cast(conv(hex(substring(_bits, cast(_at div 8 as int) + 1, 1)), 16, 10) as int)"
-    flag = F.expr(f"coalesce(shiftright({octet}, cast(_at % 8 as int)) & 1 = 1, false)")
-    bits = F.broadcast(_bitmaps(keys, own))
-    return with_spot.join(bits, "_bucket", "left").withColumn(column, flag).drop("_at", "_bucket", "_bits")
+    place, bucket, bits = fresh(df, "_at", "_bucket", "_bits")
+    with_spot = df.select("*", F.bitmap_bit_position(at).alias(place), F.bitmap_bucket_number(at).alias(bucket))
+    octet = f"cast(conv(hex(substring({bits}, cast({place} div 8 as int) + 1, 1)), 16, 10) as int)"
+    flag = F.expr(f"coalesce(shiftright({octet}, cast({place} % 8 as int)) & 1 = 1, false)")
+    maps = F.broadcast(_bitmaps(keys, own).toDF(bucket, bits))
+    return with_spot.join(maps, bucket, "left").withColumn(column, flag).drop(place, bucket, bits)
 
 
 def without_keys(df: DataFrame, key: Column, keys: DataFrame) -> DataFrame:
     """``df`` without the rows whose ``key``, a long, is in the one column of ``keys``.
 
     Rows that the filter clears are passed on as they lie; only the others are shuffled.
+    All columns of ``df`` keep their names, order and values, whatever they are called.
     """
-    name = keys.columns[0]
-    own = F.col(name)
-    first = marked(df.withColumn("_key_of", key), F.xxhash64("_key_of"), keys, F.xxhash64(own))
-    clear = first.where("not _marked").drop("_marked", "_key_of")
-    doubtful = first.where("_marked").drop("_marked")
-    exact = keys.select(own.alias("_gone"))
-    return clear.union(doubtful.join(exact, F.col("_key_of") == F.col("_gone"), "left_anti").drop("_key_of"))
+    own = F.col(keys.columns[0])
+    mine, gone, flag = fresh(df, "_key_of", "_gone", "_marked")
+    first = marked(df.select("*", key.alias(mine)), F.xxhash64(mine), keys, F.xxhash64(own), flag)
+    columns = [F.col(f"`{c}`") for c in df.columns]
+    clear = first.where(~F.col(flag)).select(*columns)
+    doubtful = first.where(flag).join(keys.select(own.alias(gone)), F.col(mine) == F.col(gone), "left_anti")
+    return clear.union(doubtful.select(*columns))

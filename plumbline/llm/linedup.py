@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from plumbline.llm.filters import key_filter, spots
-from plumbline.llm.text import byte_texts, mixed, small_batches
+from plumbline.llm.text import byte_texts, fresh, mixed, small_batches
 from plumbline.session import stored
 
 #: A line of so many words is a chunk of its own.
@@ -90,6 +90,8 @@ def drop_repeated_chunks(docs: DataFrame, min_words: int = 50) -> DataFrame:
     keep their order and bytes.  Null and empty texts stay as they are and have no chunks.  A
     null doc_id comes before all others.  Rows that repeat a doc_id with the same text are one
     place: they lose or keep the same.  A hash shared by different bytes removes nothing.
+    A text of any length is read whole, by one task.  Other columns pass through unchanged,
+    whatever they are called.
     """
     added = ("n_chunks", "n_removed", "words_removed")
     docs = small_batches(docs).drop(*added)
@@ -117,16 +119,17 @@ def drop_repeated_chunks(docs: DataFrame, min_words: int = 50) -> DataFrame:
         .agg(F.collect_set("span").alias("_later"))
         .select("_key", F.col("_later.at").alias("_at"), F.col("_later.end").alias("_end"))
     )
+    own_key, at, end, taken = fresh(docs, "_key", "_at", "_end", "_cut")
 
     @F.pandas_udf("text string, n_chunks long, n_removed long, words_removed long")
     def cut(texts: pd.Series, at: pd.Series, end: pd.Series) -> pd.DataFrame:
         out = [_cut(t, a, b, min_words) for t, a, b in zip(texts, at, end, strict=True)]
         return pd.DataFrame(out, columns=["text", *added])
 
-    joined = docs.withColumn("_key", key).join(later, "_key", "left").withColumn("_cut", cut("text", "_at", "_end"))
-    return joined.select(
-        *[F.col("_cut.text").alias("text") if c == "text" else F.col(f"`{c}`") for c in docs.columns],
-        *[F.col(f"_cut.{c}").alias(c) for c in added],
+    joined = docs.select("*", key.alias(own_key)).join(later.toDF(own_key, at, end), own_key, "left")
+    return joined.withColumn(taken, cut("text", at, end)).select(
+        *[F.col(f"{taken}.text").alias("text") if c == "text" else F.col(f"`{c}`") for c in docs.columns],
+        *[F.col(f"{taken}.{c}").alias(c) for c in added],
     )
 
 

@@ -26,6 +26,17 @@ def small_batches(df: DataFrame) -> DataFrame:
     return df
 
 
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """``names``, each with as many underscores before it as it takes to be no column of ``df``."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name = "_" + name
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def remainder(key: Column, n: int) -> Column:
     """crc32 of the key as text, modulo ``n``; a null key has remainder -1."""
     return F.coalesce(F.pmod(F.crc32(key.cast("string")), F.lit(n)), F.lit(-1))

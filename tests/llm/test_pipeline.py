@@ -88,6 +88,29 @@ def test_each_stage_equals_a_plain_computation(spark, corpus):
     assert rows(mixed) == rows(clean) and mixed.where(F.col("rate") < 0).isEmpty()
 
 
+@pytest.mark.parametrize("name", [n for n, _ in corpus_pipeline.STAGES])
+def test_columns_of_any_name_keep_their_values(spark, corpus, name):
+    sf, docs, _ = corpus
+    names = ["_key", "_at", "_end", "_cut", "_later", "_bits", "_bucket", "_marked", "_key_of", "_gone", "_toxicity", "_mix", "_id", "key", "row", "hash", "Score"]
+    table = spark.read.parquet(f"{sf}/documents.parquet")
+    extra = [F.concat(F.lit(n), F.col("doc_id").cast("string")).alias(n) for n in names]
+    wide = table.select("*", *extra, F.lit("old").alias("rate"), F.lit("old").alias("n_tokens"))
+    # Null and repeated ids, and a tie.
+    odd = wide.where("doc_id = 410").withColumn("doc_id", F.lit(None).cast("long")).withColumn("text", F.lit("quite another text"))
+    wide = wide.union(wide.where("doc_id in (5, 420)")).union(odd)
+    stage = dict(corpus_pipeline.STAGES)[name]
+    out = stage(spark, wide, sf)
+    added = {"n_tokens", "rate"} if name == "mixing" else set()
+    assert sorted(out.columns) == sorted(wide.columns) if added else out.columns == wide.columns
+    got = out.collect()
+    plain = {(r.doc_id, r.text) for r in stage(spark, table, sf).collect()}
+    assert plain <= {(r.doc_id, r.text) for r in got} and any(r.doc_id is None for r in got)
+    for r in got:
+        tail = "410" if r.doc_id is None else str(r.doc_id)
+        assert all(r[n] == n + tail for n in names)
+        assert added or (r.rate, r.n_tokens) == ("old", "old")
+
+
 def test_run_over_empty_documents(spark, corpus, tmp_path):
     sf, _, _ = corpus
     spark.read.parquet(f"{sf}/documents.parquet").limit(0).write.parquet(f"{tmp_path}/documents.parquet")

@@ -192,6 +192,28 @@ def test_attention_gradients():
             model.p[name][i] = was
 
 
+def test_long_texts_are_scored_by_equally_long_passages():
+    rng = np.random.default_rng(12)
+    word = lambda: "".join(rng.choice(list("abcdeXY!1"), rng.integers(1, 8)))
+    words = [word() for _ in range(9000)]
+    x = quality.measure(" ".join(words).encode())
+    assert len(x) == 180 and np.allclose(x[:, quality._CLASSES], np.log1p(50))
+    assert len(quality.spread(x, 64)) == 64 and (quality.spread(x, 64)[[0, -1]] == x[[0, -1]]).all()
+    # A plain count for one passage: shares of byte classes, and the mean length of its words.
+    piece = " ".join(words[50:100]) + " "
+    kinds = quality._CLASS[np.frombuffer(piece.encode(), np.uint8)]
+    assert np.allclose(x[1, : quality._CLASSES], np.bincount(kinds, minlength=quality._CLASSES) / len(piece))
+    assert np.isclose(x[1, quality._CLASSES + 1], np.mean([len(w) for w in words[50:100]]))
+    assert np.isclose(x[1, quality._CLASSES + 8], 1 - len(set(words[50:100])) / 50)
+    p = {k: rng.normal(size=s) for k, s in {"enc": (quality.MEASURES, 4), "enc_b": 4, "v": (4, 4), "u": (4, 4), "w": 4, "out": 4}.items()}
+    model = quality.Attention(x.mean(axis=0), x.std(axis=0) + 1, {**p, "out_b": 0.1})
+    whole = model.forward(x, np.array([0]))[0][0]
+    assert np.isclose(model.pooled(x, together=7), whole) and np.isclose(model.pooled(x), whole)
+    texts = [b"", b"one two", " ".join(words).encode(), b"a b c " * 40]
+    bags = [quality.measure(t) for t in texts]
+    assert np.allclose(model.scores(texts), [model.forward(b, np.array([0]))[0][0] for b in bags])
+
+
 def test_classifiers_without_labels_and_on_odd_documents(odd_docs, no_docs, no_labels):
     model = toxicity.learn_toxicity(odd_docs, no_labels)
     out = toxicity.with_toxicity(odd_docs, model)
@@ -261,7 +283,10 @@ def test_chats_come_back_whole(spark):
     assert ok == {1: True, 2: False, 3: False, None: True}
     ends = {r.conv_id: r.ends_well for r in formatted if r.ends_well is not None}
     assert ends == {1: True, 2: False, 3: False, None: False}
+    assert {r.conv_id: r.ends_well for r in read_back(format_chats(df)).collect()} == ends
     assert format_chats(df.limit(0)).collect() == []
+    text_ids = df.select(F.col("conv_id").cast("decimal(9,2)").alias("conv_id"), "turn", "role", "text")
+    assert read_back(format_chats(text_ids)).count() == 4
 
 
 # ---------------------------------------------------------------- language model
@@ -288,6 +313,38 @@ def test_scores_are_normalised_and_the_base_is_exact(spark):
         assert out[i].score < 0
 
 
+def test_scores_do_not_depend_on_the_layout_and_beat_the_base(spark):
+    rng = random.Random(9)
+    follows = {f"w{i}": [f"w{(i * k + k) % 40}" for k in (3, 5, 7)] for i in range(40)}
+
+    def text(n):
+        words = [f"w{rng.randrange(40)}"]
+        while len(words) < n:
+            words.append(rng.choice(follows[words[-1]]))
+        return " ".join(words)
+
+    docs = [(i, text(rng.randint(20, 200))) for i in range(600)] + [(i, "the same copy") for i in range(900, 960)]
+    docs += [(None, "no id"), (None, "no id"), (970, None), (970, None)]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    layouts = [df.coalesce(1), df.repartition(8), df.orderBy(F.desc("text")).repartition(23, "text")]
+    runs = [sorted((r.doc_id or -1, r.n_tokens, r.base_score, r.score) for r in lm.lm_scores(d, lm.learnt_from(), shard=4096).collect()) for d in layouts]
+    for run in runs[1:]:
+        assert [r[:2] for r in run] == [r[:2] for r in runs[0]]
+        assert np.allclose([r[2:] for r in run], [r[2:] for r in runs[0]], rtol=1e-6)
+    held = {r.doc_id for r in df.where(~lm.learnt_from()).collect()} - {None}
+    mine = [r for r in runs[0] if r[0] in held and r[0] < 600]
+    tokens = sum(r[1] for r in mine)
+    assert sum(r[3] for r in mine) / tokens > sum(r[2] for r in mine) / tokens + 0.05
+
+
+def test_common_words_are_cut_by_whole_levels(spark, monkeypatch):
+    monkeypatch.setattr(lm, "COMMON", 5)
+    texts = spark.createDataFrame([("a a a a b b b c c d d e f g h",)], "text string")
+    counts, words = lm.count_words(texts)
+    assert sorted(counts.common_n.tolist(), reverse=True) == [4, 3, 2, 2] and words.count() == 8
+    assert counts.tokens == 16 and counts.types == 9
+
+
 def test_symbols_after_a_context_sum_to_one():
     rng = np.random.default_rng(1)
     model = lm.LogBilinear(rng.normal(size=(lm.SYMBOLS + 1, 8)), rng.normal(size=(2, 8, 8)), rng.normal(size=(lm.SYMBOLS, 8)), rng.normal(size=lm.SYMBOLS))
