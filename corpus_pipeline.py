@@ -3,6 +3,8 @@
 Each stage takes and returns the columns of ``documents``; the last adds ``n_tokens`` and the
 ``rate`` at which a document is to be used.  Nulls, empty texts, ties, repeated rows and
 empty tables are handled as the operators say; rows that repeat a doc_id stay or go together.
+Further columns of any name pass through all stages, but for ``n_tokens`` and ``rate``, which
+the last replaces.
 """
 
 from __future__ import annotations
@@ -15,6 +17,7 @@ from plumbline.llm.filters import without_keys
 from plumbline.llm.jaccard import shingle_links
 from plumbline.llm.linedup import drop_repeated_chunks
 from plumbline.llm.mixing import LANGUAGE_WEIGHTS, fit_steps, labelled_domains, learn_domains, with_posteriors, with_rates
+from plumbline.llm.text import fresh
 from plumbline.llm.toxicity import learn_toxicity, not_held_out, with_toxicity
 from plumbline.session import configure, stored
 
@@ -26,8 +29,8 @@ def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     """Documents whose calibrated toxicity lies below the limit."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     model = learn_toxicity(docs, labels, learn=not_held_out())
-    scored = with_toxicity(docs, model, "_toxicity")
-    return scored.where(F.col("_toxicity.score") < TOXIC).drop("_toxicity")
+    (found,) = fresh(docs, "_toxicity")
+    return with_toxicity(docs, model, found).where(F.col(f"{found}.score") < TOXIC).drop(found)
 
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -56,14 +59,19 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def mix_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, with the rates that bring the languages to their target weights."""
+    """All documents, with the rates that bring the languages to their target weights.
+
+    Columns ``n_tokens`` and ``rate`` of ``docs`` are replaced.
+    """
+    docs = docs.drop("n_tokens", "rate")
+    (found,) = fresh(docs, "_mix")
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     model = learn_domains(labelled_domains(docs, labels))
-    measured = with_posteriors(docs, model, "_mix")
-    small = stored(measured.select("_mix.n_tokens", "_mix.posterior"), "mix")
+    measured = with_posteriors(docs, model, found)
+    small = stored(measured.select(f"{found}.n_tokens", f"{found}.posterior"), "mix")
     steps = fit_steps(small, model, LANGUAGE_WEIGHTS) if model.names else []
-    rated = with_rates(measured, steps, posterior="_mix.posterior")
-    return rated.select(*[F.col(f"`{c}`") for c in docs.columns], F.col("_mix.n_tokens").alias("n_tokens"), "rate")
+    rated = with_rates(measured, steps, posterior=f"{found}.posterior")
+    return rated.select(*[F.col(f"`{c}`") for c in docs.columns], F.col(f"{found}.n_tokens").alias("n_tokens"), "rate")
 
 
 STAGES = [
