@@ -6,8 +6,10 @@ are one class; classes with the same prefix and size are one group.  Groups that
 prefix token are candidates.  Links are sought in two steps, neither of which writes all pairs of a
 group: first every group is compared with the most central group of each of its lists;
 then, in lists that still hold several components, what lies outside the list's main
-component is compared with the rest.  Size and an exact bound on the symmetric difference
-(parity sketches never differ in more bits than the sets do in elements) discard pairs before whole sets are compared.
+component is compared with the rest.  Exact bounds discard pairs before whole sets are compared: sizes, the
+places of the first shared token (what lies before it in either set is in one set only), and the symmetric
+difference (parity sketches never differ in more bits than the sets do in elements).  In crowded lists rows
+meet by bins of size, so most pairs that these bounds rule out are never looked at.
 """
 
 from __future__ import annotations
@@ -29,6 +31,8 @@ from plumbline.session import stored
 BUCKET_BITS = 18
 #: Rarest shared tokens of a set that tell in which list a pair has met before.
 FIRST_TOKENS = 8
+#: Rows of a list beyond which its rows meet by bins of size.
+CROWDED = 64
 #: Words of 64 bits in the parity sketch of a set.
 SKETCH = 8
 _KEYS = [f"k{i}" for i in range(SKETCH)]
@@ -123,35 +127,21 @@ def shingle_links(docs: DataFrame, k: int = 5, percent: int = 75) -> DataFrame:
     none = F.array().cast("array<long>").alias("earlier")
     # Lists of one component are left out while their rows are still narrow.
     parted = stored(_open_lists(lists, member, crowd), "parted")
-    of = lambda kind, name: parted.where(F.col("list.of") == kind).select(F.col("list.id").alias(name), "main")
-    columns = ["rep", "component", "n", "main", *_KEYS]
+    of = lambda kind, name: parted.where(F.col("list.of") == kind).select(F.col("list.id").alias(name), "main", "crowded")
+    columns = ["rep", "component", "n", "main", "crowded", *_KEYS]
     at = stored(
         lists.select("token", "grp", "pos")
         .join(of(0, "token"), "token")
         .join(member, "grp")
-        .select(F.struct(F.lit(0).alias("of"), F.col("token").alias("id")).alias("list"), earlier, *columns)
+        .select(F.struct(F.lit(0).alias("of"), F.col("token").alias("id")).alias("list"), earlier, "pos", *columns)
         .union(
             member.join(of(1, "grp"), "grp").select(
-                F.struct(F.lit(1).alias("of"), F.col("grp").alias("id")).alias("list"), none, *columns
+                F.struct(F.lit(1).alias("of"), F.col("grp").alias("id")).alias("list"), none, F.lit(0).alias("pos"), *columns
             )
         ),
         "open",
     )
-    minor = at.where("component <> main").select(
-        "list", F.col("rep").alias("a"), F.col("component").alias("a_in"), F.col("n").alias("a_n"), F.col("earlier").alias("a_earlier"),
-        *[F.col(c).alias(f"a_{c}") for c in _KEYS],
-    )
-    rest = (
-        minor.join(
-            at,
-            (minor["list"] == at["list"])
-            & F.expr("a_in <> component")
-            & _may_link("a_n", "n", "a_", "", percent)
-            & ~F.arrays_overlap("a_earlier", "earlier"),
-        )
-        .select(F.least("a", "rep").alias("a"), F.greatest("a", "rep").alias("b"))
-        .distinct()
-    )
+    rest = _across(at, percent).distinct()
     more = _verified(docs, _plausible(rest, seen, percent), k, percent)
     found = components(known.select(F.col("node").alias("a"), F.col("component").alias("b")).union(more))
 
@@ -271,10 +261,43 @@ def _open_lists(lists: DataFrame, member: DataFrame, crowd: DataFrame) -> DataFr
     counted = keyed.groupBy("list", "component").agg(F.count("*").alias("n"))
     return (
         counted.groupBy("list")
-        .agg(F.max_by("component", F.struct("n", "component")).alias("main"), F.count("*").alias("parts"))
+        .agg(
+            F.max_by("component", F.struct("n", "component")).alias("main"),
+            F.count("*").alias("parts"),
+            (F.sum("n") > CROWDED).alias("crowded"),
+        )
         .where("parts > 1")
-        .select("list", "main")
+        .select("list", "main", "crowded")
+    )
+
+
+def _across(at: DataFrame, percent: int) -> DataFrame:
+    """Pairs ``a, b`` of different components in a list, of which one at most is of the list's main one.
+
+    ``pos`` is the place of the list's token in the row's ordered set.  In the list of the first token that
+    two sets share, all they share lies from there on, which bounds their sizes and the similarity; a pair
+    that this rules out there is not similar, whatever other lists it is in.
+    """
+    bin_ = lambda n: F.floor(F.log(n) * (4 / math.log(100 / percent) if percent < 100 else 1e9))
+    least = F.expr(f"cast(ceil({percent} * n / 100.0) as long)")
+    most = F.expr(f"(100L * n - {100 + percent}L * pos) div {percent}")
+    minor = at.where("component <> main").select(
+        "list",
+        F.explode(
+            F.when(F.col("crowded"), F.sequence(bin_(least), bin_(F.greatest(least, most)))).otherwise(F.array(F.lit(0).cast("long")))
+        ).alias("bin"),
+        *[F.col(c).alias(f"a_{c}") for c in ["rep", "component", "n", "pos", "earlier", *_KEYS]],
     )
+    other = at.withColumn("bin", F.when(F.col("crowded"), bin_(F.col("n"))).otherwise(0))
+    return minor.join(
+        other,
+        (minor["list"] == other["list"])
+        & (minor["bin"] == other["bin"])
+        & F.expr("a_component <> component and (component = main or a_rep < rep)")
+        & F.expr(f"{100 + percent}L * least(a_n - a_pos, n - pos) >= {percent}L * (a_n + n)")
+        & _may_link("a_n", "n", "a_", "", percent)
+        & ~F.arrays_overlap("a_earlier", "earlier"),
+    ).select(F.least("a_rep", "rep").alias("a"), F.greatest("a_rep", "rep").alias("b"))
 
 
 def _verified(docs: DataFrame, pairs: DataFrame, k: int, percent: int) -> DataFrame:

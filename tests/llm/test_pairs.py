@@ -124,3 +124,32 @@ def test_percent_is_checked(no_docs):
     with pytest.raises(ValueError):
         shingle_links(no_docs, percent=0)
     assert jaccard.SKETCH == 8
+
+
+def test_far_copies_in_a_large_family_are_not_compared_one_by_one(spark, monkeypatch):
+    # Near copies link with each other; far ones have too many words of their own to link with any.
+    rng = random.Random(5)
+    words = [f"w{i}" for i in range(400)]
+
+    def copy(i, edits):
+        at = set(rng.sample(range(400), edits))
+        return " ".join(f"x{i}_{j}" if j in at else w for j, w in enumerate(words))
+
+    rows = [(i, copy(i, 1 + i % 6 if i < 150 else 15 + i % 6)) for i in range(300)]
+    rows += [(300 + i, " ".join(words[: 300 + 10 * i])) for i in range(8)]
+    given = []
+    plausible = jaccard._plausible
+    monkeypatch.setattr(jaccard, "_plausible", lambda pairs, *more: given.append(pairs.distinct().count()) or plausible(pairs, *more))
+    got = {r.doc_id: r.component_id for r in shingle_links(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == smallest([i for i, _ in rows], brute_links(rows))
+    assert given[1] <= 2 * len(rows)
+
+
+@pytest.mark.parametrize("percent", [40, 75, 100])
+def test_links_across_components_in_crowded_lists(spark, monkeypatch, percent):
+    monkeypatch.setattr(jaccard, "CROWDED", 0)
+    rng = random.Random(percent)
+    rows = list(enumerate(t for size, edits in ((60, 25), (30, 9), (9, 3), (6, 1)) for t in family(rng, 40, size, edits)))
+    rows += [(len(rows) + i, " ".join(t.split()[rng.randint(0, 20) : rng.randint(30, 60)])) for i, t in rows[:40]]
+    got = {r.doc_id: r.component_id for r in shingle_links(spark.createDataFrame(rows, "doc_id long, text string"), percent=percent).collect()}
+    assert got == smallest([i for i, _ in rows], brute_links(rows, percent))
