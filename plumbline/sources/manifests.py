@@ -72,10 +72,10 @@ def _store_of(uri: str):
 
 
 def _uri_of(uri: str, path: str) -> str:
-    """The URI of a path in the same store as ``uri``."""
+    """The URI of a path in the same store as ``uri``; of a local one as Spark's readers write it."""
     parts = urlparse(uri)
     if parts.scheme in ("", "file"):
-        return "file://" + quote(path)
+        return "file:" + re.sub(r"[\x00-\x9f\s]+", lambda m: quote(m[0], safe="/!*'(),;:$&+=@"), path)
     # The stores give paths with the bucket first, but for HDFS, whose host is no part of them.
     return f"{parts.scheme}://{parts.netloc}{path}" if path.startswith("/") else f"{parts.scheme}://{path}"
 

@@ -98,6 +98,16 @@ def test_manifest_of_files(spark, tmp_path):
     assert {r["status"] for r in manifests.verify_manifest(frame, none).collect()} == {"unpinned"}
 
 
+def test_both_manifests_name_files_alike(spark, tmp_path):
+    for name in ("day=1/a b.bin", "day=1/é,ü (1).bin", "漢 字+&@;'!~$.bin", "50%25#1?.bin", "empty.bin"):
+        path = tmp_path / name
+        path.parent.mkdir(exist_ok=True)
+        path.write_bytes(b"" if name == "empty.bin" else name.encode())
+    small = manifests.file_manifest(spark, str(tmp_path)).orderBy("path").collect()
+    assert len(small) == 5
+    assert small == manifests.large_file_manifest(spark, str(tmp_path)).orderBy("path").collect()
+
+
 def test_landing(spark, tmp_path):
     source, dest = tmp_path / "in", str(tmp_path / "out")
     source.mkdir()
