@@ -113,6 +113,11 @@ def match_series(
     )
 
 
+def float_ratio(part: Column, whole: Column) -> Column:
+    """``part / whole`` as floats divide: by zero gives an infinity, and zero by zero NaN, not an error."""
+    return F.when(whole == 0, part * F.lit(float("inf"))).otherwise(F.try_divide(part, whole))
+
+
 def wide_status(
     vector: DataFrame, metrics: Mapping[str, str], shared: Sequence[str], at: Sequence[str] = ()
 ) -> DataFrame:

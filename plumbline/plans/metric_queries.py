@@ -228,7 +228,7 @@ def vector_match(spark, sf):
         .agg(F.sum(F.col("value").cast("decimal(18,2)")).cast("double").alias("value"))
     )
     both = vectors.match_series(daily, "error", "view", at=["day"])
-    value = F.round(100 * F.col("left_value") / F.col("right_value"), 6)
+    value = F.round(vectors.float_ratio(100 * F.col("left_value"), F.col("right_value")), 6)
     return _user(both.withColumn("value", value), "day", "value")
 
 

@@ -178,3 +178,14 @@ def test_panels(make_samples):
         ("unavailable replicas", '{"deployment":"y"}'): 2.0,
         ("tracker restarts", "{}"): pytest.approx(3.0),
     }
+
+
+def test_a_daily_ratio_over_nothing_divides_as_floats_do(spark, tmp_path):
+    import __spark_entry__ as entry
+
+    pairs = {1: (5.0, 0.0), 2: (0.0, 0.0), 3: (-5.0, 0.0), 4: (5.0, 8.0)}
+    rows = [(10 * u + i, T0, u, kind, pair[i]) for u, pair in pairs.items() for i, kind in enumerate(["error", "view"])]
+    events = spark.createDataFrame(rows, "event_id long, ts timestamp, user_id long, event_type string, value double")
+    events.withColumn("ts", F.col("ts").cast("timestamp_ntz")).write.parquet(f"{tmp_path}/events.parquet")
+    got = {r["user_id"]: str(r["value"]) for r in entry.queries()["vector_match"](spark, str(tmp_path)).collect()}
+    assert got == {"1": "inf", "2": "nan", "3": "-inf", "4": "62.5"}
