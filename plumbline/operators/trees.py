@@ -270,7 +270,8 @@ def grow(bins: np.ndarray, y: np.ndarray, w: np.ndarray, n_classes: int, fit: Fi
     nodes, paths = np.zeros(1, np.int64), np.array([path], np.uint64)
     while True:
         sizes = np.bincount(at, minlength=len(nodes))
-        counts = np.array([tree.counts[n] for n in nodes.tolist()])
+        # No node is left where none of the last level had a valid split.
+        counts = np.array([tree.counts[n] for n in nodes.tolist()]).reshape(-1, n_classes)
         go = _grows(counts, sizes, depth, fit)
         if not go.any():
             return tree

@@ -146,3 +146,15 @@ def test_what_cannot_be_learnt_is_refused(spark):
         Fit(min_split=1)
     one = fit_forest(df.where("x is not null"), ["x"], "y", ["id"], Fit(2))
     assert [len(t.feature) for t in one.trees] == [1, 1]
+
+
+@pytest.mark.parametrize("finish", [1 << 16, 40])
+def test_equal_rows_of_several_classes_end_in_mixed_leaves(spark, finish):
+    rows = [(i, float(i % 2), i % 3 % 2) for i in range(120)]
+    df = spark.createDataFrame(rows, "id long, x double, y int")
+    fit = Fit(3, None, 2, 1, 1, 5)
+    forest = fit_forest(df, ["x"], "y", ["id"], fit, finish=finish)
+    assert [t.feature for t in forest.trees] == [[0, -1, -1]] * 3
+    assert all(min(leaf) > 0 for t in forest.trees for leaf in t.counts)
+    alone = fit_forest(df.where("x = 0"), ["x"], "y", ["id"], fit, finish=finish)
+    assert [t.feature for t in alone.trees] == [[-1]] * 3
