@@ -48,3 +48,11 @@ def test_rows_agree_with_sql(spark, con, sf, name):
 
 def test_every_sql_has_its_query():
     assert set(entry.oracle_sql()) <= set(entry.queries())
+
+
+def test_predictions_over_copies_of_two_texts(spark, tmp_path):
+    docs = spark.range(60).selectExpr("id as doc_id", "if(id % 2 = 0, 'one text', 'another, longer text.') as text", "'en' as lang", "'s' as source", "8L as n_chars")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    spark.range(60).selectExpr("id as doc_id", "cast(id % 3 % 2 as int) as quality", "0 as toxic").write.parquet(f"{tmp_path}/labels.parquet")
+    rows = entry.queries()["batch_predict_rows"](spark, str(tmp_path)).collect()
+    assert len(rows) == 12 and all(r["known_class"] for r in rows)
