@@ -1,8 +1,8 @@
 """Exact per-series computations over a stream: counter growth, lives of series, late samples.
 
-Samples wait in keyed list state until the watermark has passed them and are then handled in
-the order of their times, so results depend neither on the order of arrival nor on how the
-stream is cut into micro-batches.  What no later result needs leaves the state.
+Samples wait in the state until the watermark has passed them and are then handled in the order
+of their times, so results depend neither on the order of arrival nor on how the stream is cut
+into micro-batches.  What no later result needs leaves the state.
 """
 
 from __future__ import annotations
@@ -12,135 +12,115 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
-from pyspark.sql.types import StructField, StructType
+from pyspark.sql.types import StructType
 
 from plumbline.errors import ConfigError
 from plumbline.operators.chunks import MICROS
 from plumbline.operators.ranges import SERIES
 from plumbline.streaming.alerts import use_rocksdb
+from plumbline.streaming.buckets import NEVER, BucketProcessor, numbered, process_buckets
 
 # Executors need not have this package installed: its task code travels with the plan.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-_SAMPLE = "us bigint, value double"
+#: Grid times of one table that a task gives.
+_GIVEN = 1 << 18
+_NONE = np.iinfo(np.int64).min
 
 
 def _times(us) -> pd.Series:
     return pd.Series(np.asarray(us, "int64")).astype("datetime64[us]")
 
 
-class OrderedSeries(StatefulProcessor):
-    """Gives a series' samples to ``advance`` in the order of their times, once they are settled."""
+def _samples(rows: pa.Table, keys: Sequence[str], mark: str, first: int) -> tuple[pa.Table, np.ndarray, list[np.ndarray]]:
+    """The rows by series, those marked ``first`` before others, then by time and value; ``(rows, codes, columns)``."""
+    code, _ = numbered(rows, keys)
+    us, value, marks = (rows.column(c).to_numpy() for c in ("us", "value", mark))
+    order = np.lexsort((value, us, marks != first, code))
+    return rows.take(pa.array(order)), code[order], [x[order] for x in (us, value, marks)]
 
-    #: Whether samples without a value are passed over; they move the watermark all the same.
-    whole = False
 
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.waiting = handle.getListState("waiting", _SAMPLE)
-        self.timer = handle.getValueState("timer", "ms bigint")
-
-    def advance(self, key, ready: list[tuple[int, float]], now: int) -> tuple[pd.DataFrame | None, int | None]:
-        """Rows to give, and when (in microseconds) to be called again without new samples."""
-        raise NotImplementedError
-
-    def _schedule(self, us: int | None) -> None:
-        """Wake up as soon as the watermark has passed ``us``."""
-        wanted = None if us is None else us // 1000 + 1
-        known = self.timer.get()[0] if self.timer.exists() else None
-        if wanted == known:
-            return
-        if known is not None:
-            self.handle.deleteTimer(known)
-            self.timer.clear()
-        if wanted is not None:
-            self.handle.registerTimer(wanted)
-            self.timer.update((wanted,))
-
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        new = []
-        for batch in rows:
-            batch = batch[batch["value"].notna()] if self.whole else batch
-            us = batch["ts"].astype("datetime64[us]").astype("int64").tolist()
-            new += zip(us, batch["value"].astype(float).tolist(), strict=True)
-        if new:
-            self.waiting.appendList(new)
-            first = min(new)[0]
-            known = self.timer.get()[0] if self.timer.exists() else None
-            if known is None or first // 1000 + 1 < known:
-                self._schedule(first)
-        return
-        yield
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        now = timerValues.getCurrentWatermarkInMs() * 1000
-        self.timer.clear()
-        samples = sorted(tuple(s) for s in self.waiting.get()) if self.waiting.exists() else []
-        ready = [s for s in samples if s[0] <= now]
-        rest = samples[len(ready) :]
-        if rest:
-            self.waiting.put(rest)
-        else:
-            self.waiting.clear()
-        out, again = self.advance(key, ready, now)
-        due = [x for x in (again, rest[0][0] if rest else None) if x is not None]
-        self._schedule(min(due) if due else None)
-        if out is not None and len(out):
-            yield out
-
-    def close(self) -> None:
-        pass
-
-
-class CounterGrowth(OrderedSeries):
+class CounterGrowth(BucketProcessor):
     """Growth of a counter over ``[t - range, t]`` at every grid time, resets counted from zero."""
 
-    whole = True
-
-    def __init__(self, keys: Sequence[str], range_s: int, step_s: int, extrapolate: bool):
-        self.keys, self.extrapolate = list(keys), extrapolate
+    def __init__(self, n_keys: int, range_s: int, step_s: int, extrapolate: bool):
+        # The number of the next grid time of a series is kept with its samples.
+        super().__init__(n_keys, {"value": "float64"}, {"next": _NONE})
+        self.extrapolate = extrapolate
         self.reach, self.step = range_s * MICROS, step_s * MICROS
 
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        super().init(handle)
-        self.window = handle.getListState("window", _SAMPLE)
-        self.next = handle.getValueState("next", "k bigint")
-
-    def advance(self, key, ready, now):
-        window = [*(tuple(s) for s in self.window.get()), *ready] if self.window.exists() else list(ready)
-        if not window:
-            return None, None
-        k = self.next.get()[0] if self.next.exists() else -(-window[0][0] // self.step)
-        us = np.array([s[0] for s in window], np.int64)
-        value = np.array([s[1] for s in window])
-        grid = np.arange(k, min(now, int(us[-1]) + self.reach) // self.step + 1) * self.step
-        out = self._rows(key, us, value, grid) if len(grid) else None
-        k = max(k, now // self.step + 1)
-        kept = int(np.searchsorted(us, k * self.step - self.reach, "left"))
-        if kept == len(us):
-            # Nothing can reach a later grid time; the next sample starts anew.
-            self.window.clear()
-            self.next.clear()
-            return out, None
-        self.window.put(window[kept:])
-        self.next.update((k,))
-        return out, k * self.step
-
-    def _rows(self, key, us, value, grid) -> pd.DataFrame:
-        grown = np.where(value[1:] < value[:-1], value[1:], value[1:] - value[:-1])
-        total = np.append(0.0, np.cumsum(grown))
-        low, high = np.searchsorted(us, grid - self.reach, "left"), np.searchsorted(us, grid, "right") - 1
-        several = (high > low) & (us[np.maximum(high, 0)] > us[np.minimum(low, len(us) - 1)] if self.extrapolate else True)
-        grid, low, high = grid[several], low[several], high[several]
+    def new_rows(self, batch):
+        # Samples without a value are passed over; they move the watermark all the same.
+        return batch[batch["value"].notna()]
+
+    def advance(self, rows, now):
+        rows, code, (us, value, marks) = _samples(rows, self.keys, "next", NEVER)
+        settled = us <= now
+        places = np.flatnonzero(settled)
+        code, us, value, marks = (x[settled] for x in (code, us, value, marks))
+        starts = np.flatnonzero(np.append(True, code[1:] != code[:-1])) if len(code) else np.zeros(0, np.int64)
+        ends = np.append(starts[1:], len(code))[: len(starts)]
+        known = np.maximum.reduceat(marks, starts) if len(starts) else starts
+        k = np.where(known == _NONE, -(-us[starts] // self.step), known)
+        last = np.minimum(now, us[ends - 1] + self.reach) // self.step
+        given = self._given(rows, places, us, value, starts, ends, k, last)
+        k = np.maximum(k, now // self.step + 1)
+        size = ends - starts
+        # A series none of whose samples can reach a later grid time starts anew with its next one.
+        keep = us >= np.repeat(k * self.step - self.reach, size)
+        follows = np.full(rows.num_rows, _NONE)
+        follows[places] = np.repeat(k, size)
+        kept = np.flatnonzero(~settled)
+        kept = np.sort(np.append(kept, places[keep]))
+        left = rows.set_column(rows.column_names.index("next"), "next", pa.array(follows)).take(pa.array(kept))
+        alive = np.logical_or.reduceat(keep, starts) if len(starts) else np.zeros(0, bool)
+        due = [*(k[alive] * self.step).tolist(), *rows.column("us").to_numpy()[~settled].tolist()]
+        return given, left, min(due, default=NEVER)
+
+    def _given(self, rows, places, us, value, starts, ends, k, last):
+        """The rows of all series with grid times from ``k`` to ``last``, some series at a time."""
+        n = np.maximum(last - k + 1, 0)
+        block = np.cumsum(n) // _GIVEN
+        for b in np.unique(block[n > 0]).tolist():
+            of = np.flatnonzero((block == b) & (n > 0))
+            out = self._rows(us, value, starts[of], ends[of], k[of], n[of])
+            if len(out[0]):
+                yield pd.DataFrame({**self.key_columns(rows, places[out[0]]), "t": _times(out[1]), "value": out[2]})
+
+    def _rows(self, us, value, starts, ends, k, n):
+        """``(place of the series' first sample, grid time, growth)`` of series with ``n`` grid times from ``k``."""
+        size = ends - starts
+        of, at = np.repeat(starts, n), np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+        grid = (np.repeat(k, n) + at) * self.step
+        total = np.zeros(len(us))
+        for a, b in zip(starts.tolist(), ends.tolist(), strict=True):
+            if b - a > 1:
+                v = value[a:b]
+                total[a + 1 : b] = np.cumsum(np.where(v[1:] < v[:-1], v[1:], v[1:] - v[:-1]))
+        low, high = self._found(us, starts, size, n, grid)
+        first, final = np.minimum(low, np.repeat(ends, n) - 1), np.maximum(high, of)
+        several = (high > low) & (us[final] > us[first] if self.extrapolate else True)
+        of, grid, low, high = of[several], grid[several], low[several], high[several]
         raw = total[high] - total[low]
         if self.extrapolate:
             raw = self._stretched(raw, us[low], us[high], value[low], high - low, grid)
-        columns = {name: [part] * len(grid) for name, part in zip(self.keys, key, strict=True)}
-        return pd.DataFrame({**columns, "t": _times(grid), "value": raw})
+        return of, grid, raw
+
+    def _found(self, us, starts, size, n, grid):
+        """The first sample inside each grid time's range, and the last one."""
+        low, high = np.empty(len(grid), np.int64), np.empty(len(grid), np.int64)
+        at = 0
+        for a, m, g in zip(starts.tolist(), size.tolist(), n.tolist(), strict=True):
+            own, times = us[a : a + m], grid[at : at + g]
+            low[at : at + g] = a + np.searchsorted(own, times - self.reach, "left")
+            high[at : at + g] = a + np.searchsorted(own, times, "right") - 1
+            at += g
+        return low, high
 
     def _stretched(self, raw, first, last, start_value, gaps, end):
         """Stretch to the ends of the range as the batch operator does."""
@@ -155,15 +135,8 @@ class CounterGrowth(OrderedSeries):
         return raw * (stretch / span)
 
 
-def _stateful(samples: DataFrame, keys: Sequence[str], processor: StatefulProcessor, columns: str, delay: str) -> DataFrame:
-    use_rocksdb(samples.sparkSession)
-    kind = StructType([StructField(k, samples.schema[k].dataType) for k in keys] + list(StructType.fromDDL(columns)))
-    return (
-        samples.select(*keys, "ts", F.col("value").cast("double").alias("value"))
-        .withWatermark("ts", delay)
-        .groupBy(*keys)
-        .transformWithStateInPandas(processor, outputStructType=kind, outputMode="append", timeMode="EventTime")
-    )
+def _stateful(samples: DataFrame, keys: Sequence[str], processor: BucketProcessor, columns: str, delay: str) -> DataFrame:
+    return process_buckets(samples.withColumn("value", F.col("value").cast("double")), keys, processor, columns, delay)
 
 
 def stream_increase_grid(
@@ -182,7 +155,7 @@ def stream_increase_grid(
     """
     if range_s < step_s or step_s < 1:
         raise ConfigError("the range must be at least one step")
-    return _stateful(samples.where("ts is not null"), keys, CounterGrowth(keys, range_s, step_s, extrapolate), "t timestamp, value double", delay)
+    return _stateful(samples.where("ts is not null"), keys, CounterGrowth(len(keys), range_s, step_s, extrapolate), "t timestamp, value double", delay)
 
 
 def stream_rate_grid(samples: DataFrame, range_s: int, step_s: int, **options) -> DataFrame:
@@ -190,39 +163,39 @@ def stream_rate_grid(samples: DataFrame, range_s: int, step_s: int, **options) -
     return stream_increase_grid(samples, range_s, step_s, **options).withColumn("value", F.col("value") / F.lit(float(range_s)))
 
 
-class SeriesLife(OrderedSeries):
+class SeriesLife(BucketProcessor):
     """The last value of a series, forgotten when nothing has come for a while."""
 
-    def __init__(self, keys: Sequence[str], lifetime_s: int):
-        self.keys, self.lifetime = list(keys), lifetime_s * MICROS
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        super().init(handle)
-        self.last = handle.getValueState("last", _SAMPLE)
-
-    def advance(self, key, ready, now):
-        last, events = (tuple(self.last.get()) if self.last.exists() else None), []
-        before, known = last, last is not None
-        for us, value in ready:
-            if last is not None and us - last[0] > self.lifetime:
-                events += [("seen", *last)] * (last != before) + [("forgotten", last[0] + self.lifetime, last[1])]
-                last = before = None
-            if last is None:
-                events.append(("appeared", us, value))
-                before = (us, value)
-            last = (us, value)
-        if last is not None and last != before:
-            events.append(("seen", *last))
-        if last is not None and last[0] + self.lifetime <= now:
-            events.append(("forgotten", last[0] + self.lifetime, last[1]))
-            last = None
-        if last is not None:
-            self.last.update(last)
-        elif known:
-            self.last.clear()
-        columns = {name: [part] * len(events) for name, part in zip(self.keys, key, strict=True)}
-        columns |= {"event": [e[0] for e in events], "ts": _times([e[1] for e in events]), "value": [e[2] for e in events]}
-        return pd.DataFrame(columns), None if last is None else last[0] + self.lifetime
+    def __init__(self, n_keys: int, lifetime_s: int):
+        # The last settled sample of a series is marked; it comes before all others.
+        super().__init__(n_keys, {"value": "float64"}, {"last": 0})
+        self.lifetime = lifetime_s * MICROS
+
+    def advance(self, rows, now):
+        rows, code, (us, value, marks) = _samples(rows, self.keys, "last", 1)
+        settled = np.flatnonzero(us <= now)
+        later = np.flatnonzero(us > now)
+        code, at, value, old = code[settled], us[settled], value[settled], marks[settled] == 1
+        other = code[1:] != code[:-1]
+        begins = np.append(True, other | (at[1:] - at[:-1] > self.lifetime))[: len(code)]
+        closes = np.append(begins[1:], True)[: len(code)]
+        final = np.append(other, True)[: len(code)]
+        start, end = np.flatnonzero(begins), np.flatnonzero(closes)
+        seen = end[(end > start) & ((at[end] != at[start]) | (value[end] != value[start]))]
+        known = final & (at + self.lifetime > now)
+        appeared, forgotten = np.flatnonzero(begins & ~old), np.flatnonzero(closes & ~known)
+        events = [("appeared", appeared, 0), ("seen", seen, 0), ("forgotten", forgotten, self.lifetime)]
+        given = [
+            pd.DataFrame({**self.key_columns(rows, settled[i]), "event": [name] * len(i), "ts": _times(at[i] + more), "value": value[i]})
+            for name, i, more in events
+            if len(i)
+        ]
+        stays = settled[known]
+        kept = np.append(stays, later)
+        left = rows.take(pa.array(kept))
+        left = left.set_column(left.column_names.index("last"), "last", pa.array(np.repeat([1, 0], [len(stays), len(later)])))
+        due = np.append(us[stays] + self.lifetime, us[later])
+        return given, left, int(due.min()) if len(due) else NEVER
 
 
 def stream_series_lives(
@@ -237,7 +210,7 @@ def stream_series_lives(
     """
     if lifetime_s < 1:
         raise ConfigError("the lifetime must be a second at least")
-    return _stateful(samples.where("ts is not null"), keys, SeriesLife(keys, lifetime_s), "event string, ts timestamp, value double", delay)
+    return _stateful(samples.where("ts is not null"), keys, SeriesLife(len(keys), lifetime_s), "event string, ts timestamp, value double", delay)
 
 
 _ARRIVED = "arrived_at__"
