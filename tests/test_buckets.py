@@ -57,3 +57,19 @@ def test_lives_keep_keys_of_any_type(spark, tmp_path):
     lives = drain(stream_series_lives(stream, 60, keys=["n", "b", "d"]), str(tmp_path / "out"))
     got = {(r.n, None if r.b is None else bytes(r.b), r.value) for r in lives.where("event = 'forgotten' and b is distinct from cast('' as binary)").collect()}
     assert got == {(2**60 + 1, b"\xff\x00", 1.0), (None, None, 2.0), (2**60 + 2, None, None)}
+
+
+@pytest.mark.parametrize("given", [buckets.BUCKETS, 7])
+def test_growth_of_many_series_shares_states(spark, tmp_path, monkeypatch, given):
+    from plumbline.streaming import series
+
+    # Tables of a few grid times, and another number of buckets, change no row.
+    monkeypatch.setattr(buckets, "BUCKETS", given)
+    monkeypatch.setattr(series, "_GIVEN", given)
+    parts = [[("m", f"s{i}", at(40 * p + 10 * j + i % 7), float((i + j) % 5)) for i in range(MANY // 2) for j in range(2)] for p in range(2)]
+    grown, states = run(stream_increase_grid(written(spark, tmp_path, [*parts, CLOCK]), 60, 30), tmp_path)
+    assert states <= 5 * buckets.BUCKETS
+    want = ranges.increase_grid(spark.createDataFrame([r for p in parts for r in p], KIND), 60, 30)
+    key = lambda df: {(r.series, r.t): r.value for r in df.collect()}
+    got, want = key(grown), key(want)
+    assert len(want) > MANY and got == pytest.approx(want)
