@@ -7,25 +7,25 @@ or never ends, is kept apart and is not a failure.
 
 from __future__ import annotations
 
-import json
 import sys
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
-from pyspark.sql.types import StructType
 
 from plumbline.operators.columns import STAGES
 from plumbline.operators.ranges import latest_group
-from plumbline.streaming.alerts import use_rocksdb
+from plumbline.streaming.buckets import NEVER, BucketProcessor, numbered, process_buckets
 
 # Executors need not have this package installed: its task code travels with the plan.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-STAGE_RUN = "run_id string, stage string, started timestamp, duration_seconds double, outcome string"
+# Kinds of events, in the order in which they count at the same time.
+_END, _INTERRUPT, _START = 0, 1, 2
 
 
 def stage_runs(events: DataFrame) -> DataFrame:
@@ -89,108 +89,71 @@ def stage_status(
     return newest.select(job, "run_id", F.inline(lines))
 
 
-class StageTimer(StatefulProcessor):
-    """Pairs the start and the end of one (run, stage) once nothing earlier can come.
+class StageTimer(BucketProcessor):
+    """Pairs the start and the end of each (run, stage) once nothing earlier can come.
 
-    Events of a key wait in the state, whatever their order of arrival: the earliest start,
-    and the ends up to the first one that follows it.  When the watermark has passed that
-    end, the row is given.  A timer gives up on a lost end, and clears the memory of a
-    finished stage.
+    Events wait in the state, whatever their order of arrival: the earliest start of a key,
+    and its ends up to the first one that follows it.  When the watermark has passed that
+    end, the row is given.  A lost end is given up when its time is over, which also clears the
+    memory of a finished stage.
     """
 
     def __init__(self, timeout_s: int):
+        # Of a key whose row is given, the start is kept, marked as done.
+        super().__init__(2, {"kind": "int64", "ok": "int64"}, {"done": 0})
         self.timeout_us = timeout_s * 1_000_000
 
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.seen = handle.getValueState("seen", "start bigint, done boolean, ends string, timer bigint")
-
-    def _load(self):
-        if not self.seen.exists():
-            return None, False, [], None
-        start, done, ends, timer = tuple(self.seen.get())
-        return start, done, [tuple(e) for e in json.loads(ends)], timer
-
-    def _wait(self, start, done, ends, timer) -> None:
-        """Store what is known, with a timer for the moment at which it is decided."""
-        close = None if done else self._close(start, ends)
-        if close is not None:
-            due = close[0]
-        elif start is not None:
-            due = start + self.timeout_us
-        else:
-            due = max(e[0] for e in ends)
-        due = due // 1000 + 1
-        if timer is not None and timer != due:
-            self.handle.deleteTimer(timer)
-        self.seen.update((start, done, json.dumps(ends), due))
-        if timer != due:
-            self.handle.registerTimer(due)
-
-    @staticmethod
-    def _close(start, ends):
-        """The first end at or after the start; an end comes before an interruption."""
-        return None if start is None else min((e for e in ends if e[0] >= start), default=None)
-
-    @staticmethod
-    def _row(key, start, seconds, outcome) -> pd.DataFrame:
-        columns = ["run_id", "stage", "started", "duration_seconds", "outcome"]
-        return pd.DataFrame([(*key, pd.Timestamp(start, unit="us"), seconds, outcome)], columns=columns)
-
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        start, done, ends, timer = self._load()
-        for batch in rows:
-            us = batch["ts"].astype("datetime64[us]").astype("int64")
-            for at, kind, ok in zip(us.tolist(), batch["kind"], batch["ok"], strict=True):
-                if kind == "start":
-                    start = at if start is None else min(start, at)
-                else:
-                    ends.append((at, int(kind == "interrupt"), int(bool(ok))))
-        close = self._close(start, ends)
-        ends = [] if done else sorted({e for e in ends if close is None or e <= close})
-        if start is not None or ends:
-            self._wait(start, done, ends, timer)
-        return
-        yield
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        start, done, ends, _ = self._load()
-        now = timerValues.getCurrentWatermarkInMs()
-        close = None if done else self._close(start, ends)
-        if close is not None:
-            at, interrupted, ok = close
-            if interrupted:
-                yield self._row(key, start, None, "interrupted")
-            else:
-                yield self._row(key, start, (at - start) / 1e6, "success" if ok else "failure")
-            done, ends = True, []
-        elif start is not None and not done:
-            yield self._row(key, start, None, "interrupted")
-            done = True
-        if start is not None and (start + self.timeout_us) // 1000 + 1 > now:
-            self._wait(start, done, ends, None)
-        else:
-            # A start that has not come by now would be late.
-            self.seen.clear()
-
-    def close(self) -> None:
-        pass
+    def advance(self, rows, now):
+        code, first = numbered(rows, self.keys)
+        us, kind, ok, marks = (rows.column(c).to_numpy() for c in ("us", "kind", "ok", "done"))
+        # By key and time; an end comes before an interruption, and that before a start.
+        order = np.lexsort((ok, kind, us, code))
+        code, us, kind, ok, marks = (x[order] for x in (code, us, kind, ok, marks))
+        start, newest, close = (np.full(len(first), v, np.int64) for v in (NEVER, -NEVER, len(code)))
+        starts = np.flatnonzero(kind == _START)
+        np.minimum.at(start, code[starts], us[starts])
+        done = np.bincount(code, marks, len(first)) > 0
+        ends = np.flatnonzero((kind != _START) & ~done[code])
+        np.maximum.at(newest, code[ends], us[ends])
+        follows = ends[us[ends] >= start[code[ends]]]
+        np.minimum.at(close, code[follows], follows)
+        begun, closed = start < NEVER, close < len(code)
+        at = np.append(us, 0)[close]
+        due = np.where(closed, at, np.where(begun, start + self.timeout_us, newest))
+        expired = due // 1000 + 1 <= now // 1000
+        given = self._given(rows, first, start, np.flatnonzero(expired & begun & ~done), at, np.append(kind, _INTERRUPT)[close], np.append(ok, 0)[close])
+        # A start that has not come when the time of its end is over would be late.
+        out = expired & begun & ((start + self.timeout_us) // 1000 + 1 > now // 1000)
+        stays = ~expired | out
+        done |= out
+        early = ends[(ends <= close[code[ends]]) & stays[code[ends]] & ~done[code[ends]]]
+        again = np.append(True, np.any([x[early][1:] != x[early][:-1] for x in (code, us, kind, ok)], 0))[: len(early)]
+        early, one = early[again], np.flatnonzero(stays & begun)
+        columns = [np.append(us[early], start[one]), np.append(kind[early], np.full(len(one), _START)), np.append(ok[early], np.zeros(len(one), np.int64))]
+        places = pa.array(np.append(first[code[early]], first[one]))
+        kept = self._table([rows.column(k).take(places).combine_chunks() for k in self.keys], columns[0], columns[1:])
+        kept = kept.set_column(kept.column_names.index("done"), "done", pa.array(np.append(np.zeros(len(early), np.int64), done[one].astype(np.int64))))
+        due = np.where(done & begun, start + self.timeout_us, due)[stays]
+        return given, kept, int(due.min()) if len(due) else NEVER
+
+    def _given(self, rows, first, start, of, at, kind, ok):
+        """The rows of these keys: how long until what closed them, if that was an end."""
+        if not len(of):
+            return
+        ended = kind[of] == _END
+        outcome = np.where(ended, np.where(ok[of] > 0, "success", "failure"), "interrupted")
+        seconds = np.where(ended, (at[of] - start[of]) / 1e6, np.nan)
+        started = pd.Series(start[of]).astype("datetime64[us]")
+        yield pd.DataFrame({**self.key_columns(rows, first[of]), "started": started, "duration_seconds": seconds, "outcome": outcome})
 
 
 def stream_stage_runs(events: DataFrame, *, timeout_s: int, delay: str = "1 minute") -> DataFrame:
     """The rows of ``stage_runs`` as they are known; a lost end is given up after a while.
 
-    State is one row per (run, stage) and is dropped when its timer runs out.  An end later
+    State is what is open of a (run, stage) and is dropped when its time runs out.  An end later
     than ``timeout_s`` after its start is not waited for.
     """
-    use_rocksdb(events.sparkSession)
-    return (
-        events.withWatermark("ts", delay)
-        .groupBy("run_id", "stage")
-        .transformWithStateInPandas(
-            StageTimer(timeout_s),
-            outputStructType=StructType.fromDDL(STAGE_RUN),
-            outputMode="append",
-            timeMode="EventTime",
-        )
-    )
+    kind = F.when(F.col("kind") == "start", _START).when(F.col("kind") == "interrupt", _INTERRUPT).otherwise(_END)
+    facts = events.select("run_id", "stage", "ts", kind.alias("kind"), F.coalesce(F.col("ok").cast("int"), F.lit(0)).alias("ok"))
+    columns = "started timestamp, duration_seconds double, outcome string"
+    return process_buckets(facts, ["run_id", "stage"], StageTimer(timeout_s), columns, delay)

@@ -1,5 +1,6 @@
 """Streams whose keys share states: few calls and states for many keys, and the same rows."""
 
+import random
 from datetime import datetime, timedelta, timezone
 
 import pytest
@@ -8,6 +9,7 @@ from plumbline.operators import ranges
 from plumbline.streaming import buckets
 from plumbline.streaming.jobs import drain
 from plumbline.streaming.series import stream_increase_grid, stream_series_lives
+from plumbline.streaming.stages import stage_runs, stream_stage_runs
 
 START = datetime(2026, 1, 1, tzinfo=timezone.utc)
 KIND = "metric string, series string, ts timestamp, value double"
@@ -73,3 +75,27 @@ def test_growth_of_many_series_shares_states(spark, tmp_path, monkeypatch, given
     key = lambda df: {(r.series, r.t): r.value for r in df.collect()}
     got, want = key(grown), key(want)
     assert len(want) > MANY and got == pytest.approx(want)
+
+
+def stage_feed(n, rng):
+    """Events of runs whose ends and starts come in any order, over three batches."""
+    rows = []
+    for i in range(n):
+        for _ in range(rng.randint(1, 4)):
+            kind = rng.choice(["start", "start", "end", "interrupt"])
+            rows.append((f"r{i}", rng.choice(["split", "train"]), kind, rng.choice([True, False, None]), at(rng.randint(0, 600) / 4)))
+    rng.shuffle(rows)
+    return [rows[: n // 2], rows[n // 2 : n], rows[n:], [("z", "clock", "end", True, at(10**6))]]
+
+
+@pytest.mark.parametrize("given", [buckets.BUCKETS, 3])
+def test_stages_of_many_runs_share_states(spark, tmp_path, monkeypatch, given):
+    monkeypatch.setattr(buckets, "BUCKETS", given)
+    kind = "run_id string, stage string, kind string, ok boolean, ts timestamp"
+    parts = stage_feed(MANY, random.Random(given))
+    runs, states = run(stream_stage_runs(written(spark, tmp_path, parts, kind), timeout_s=1000, delay="10 minutes"), tmp_path)
+    assert states <= 5 * buckets.BUCKETS
+    batch = stage_runs(spark.createDataFrame([r for p in parts for r in p], kind))
+    key = lambda df: sorted(map(str, df.select("run_id", "stage", "started", "duration_seconds", "outcome").collect()))
+    want = key(batch)
+    assert len(want) > MANY / 2 and key(runs) == want
