@@ -42,23 +42,26 @@ def content_manifest(df: DataFrame, path: str, content: str) -> DataFrame:
 def file_manifest(spark: SparkSession, path: str, pattern: str | None = None) -> DataFrame:
     """Manifest of every file under a path; ``pattern`` is a file-name glob.
 
-    Each file is read as one row, so a file must stay below 2 GB; see
-    ``large_file_manifest`` for larger ones.  Spark does not plan a read of an empty file;
-    those that its listing names and the read does not are added with the digests of nothing.
+    Spark's reader lists the files.  Those on local disks are hashed in blocks by the tasks that
+    they fall to, whatever their size.  Of other stores each file is read as one row, so it must stay
+    below 2 GB and fit in a task's memory; see ``large_file_manifest`` for larger ones.  Spark does
+    not plan a read of an empty file; those that its listing names and the read does not are added
+    with the digests of nothing.
     """
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", True)
     if pattern:
         reader = reader.option("pathGlobFilter", pattern)
     found = reader.load(path)
-    files = found.select(F.col("_metadata.file_path").alias("path"), "content")
     # The listing is on the driver in any case; it holds empty files too.
     names = [(re.sub("^file:/+", "file:/", p),) for p in found.inputFiles()]
+    if all(p.startswith("file:") for p, in names):
+        files = found.select(F.col("_metadata.file_path").alias("path")).mapInArrow(_digests, _MANIFEST)
+    else:
+        files = content_manifest(found.select(F.col("_metadata.file_path").alias("path"), "content"), "path", "content")
     listed = spark.createDataFrame(names, "path string")
     read = found.select(F.regexp_replace(F.col("_metadata.file_path"), "^file:/+", "file:/").alias("path"))
     empty = listed.join(read, "path", "left_anti")
-    return content_manifest(files, "path", "content").union(
-        content_manifest(empty.withColumn("content", F.lit(b"")), "path", "content")
-    )
+    return files.union(content_manifest(empty.withColumn("content", F.lit(b"")), "path", "content"))
 
 
 def _store_of(uri: str):
@@ -71,6 +74,27 @@ def _store_of(uri: str):
     return fs.FileSystem.from_uri(uri)
 
 
+_MANIFEST = "path string, length bigint, md5 string, sha256 string"
+
+
+def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The manifest of files named in the first column, each read in blocks."""
+    import hashlib
+
+    for batch in batches:
+        for name in batch.column(0).to_pylist():
+            store, at = _store_of(name)
+            md5, sha, length = hashlib.md5(usedforsecurity=False), hashlib.sha256(), 0
+            # The bytes as they lie there: by default Arrow unpacks what a name says is packed.
+            with store.open_input_stream(at, compression=None) as f:
+                while block := f.read(HASH_CHUNK_BYTES):
+                    md5.update(block)
+                    sha.update(block)
+                    length += len(block)
+            columns = [[name], [length], [md5.hexdigest()], [sha.hexdigest()]]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["path", "length", "md5", "sha256"])
+
+
 def _uri_of(uri: str, path: str) -> str:
     """The URI of a path in the same store as ``uri``; of a local one as Spark's readers write it."""
     parts = urlparse(uri)
@@ -124,23 +148,8 @@ def large_file_manifest(spark: SparkSession, path: str, pattern: str | None = No
     never has to fit in memory.  Empty files have the digests of nothing.
     """
 
-    def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import hashlib
-
-        for batch in batches:
-            for name in batch.column(0).to_pylist():
-                store, at = _store_of(name)
-                md5, sha, length = hashlib.md5(usedforsecurity=False), hashlib.sha256(), 0
-                with store.open_input_stream(at) as f:
-                    while block := f.read(HASH_CHUNK_BYTES):
-                        md5.update(block)
-                        sha.update(block)
-                        length += len(block)
-                columns = [[name], [length], [md5.hexdigest()], [sha.hexdigest()]]
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["path", "length", "md5", "sha256"])
-
     spread = list_files(spark, path, pattern).select("path").repartition("path")
-    return spread.mapInArrow(digest, "path string, length bigint, md5 string, sha256 string")
+    return spread.mapInArrow(_digests, _MANIFEST)
 
 
 def write_files(df: DataFrame, root: str, name: str, content: str) -> DataFrame:

@@ -210,3 +210,22 @@ def test_training_run(spark, tmp_path):
 def test_ties_go_to_the_first_candidate():
     scores = [(0, {"x": 1}, 0.5), (1, {"x": 2}, 0.7), (2, {"x": 3}, 0.7)]
     assert forest.best_candidate(scores)[0] == 1
+
+
+def test_a_local_file_is_never_one_row(spark, tmp_path):
+    from gzip import compress
+    from hashlib import md5, sha256
+
+    data = {"big one%.bin": bytes(range(256)) * 9000, "small.bin": b"x", "empty.bin": b"", "zipped.bin.gz": compress(b"z"), "other.txt": b"y"}
+    for name, content in data.items():
+        (tmp_path / name).write_bytes(content)
+    most = "spark.sql.sources.binaryFile.maxLength"
+    before = spark.conf.get(most)
+    spark.conf.set(most, "1000")
+    try:
+        rows = manifests.file_manifest(spark, str(tmp_path), "*.bin*").collect()
+    finally:
+        spark.conf.set(most, before)
+    want = {(len(c), md5(c).hexdigest(), sha256(c).hexdigest()) for n, c in data.items() if ".bin" in n}
+    assert len(rows) == 4 and {(r["length"], r["md5"], r["sha256"]) for r in rows} == want
+    assert {r["path"] for r in rows} == {f"file:{tmp_path}/{n}" for n in ("big%20one%25.bin", "small.bin", "empty.bin", "zipped.bin.gz")}
