@@ -161,3 +161,41 @@ def test_lines_of_samples(spark, tmp_path):
     assert key(read_sample_text(spark, str(tmp_path / "t"))) == key(samples)
     streamed = drain(stream_sample_text(spark, str(tmp_path / "t"), maxFilesPerTrigger=1), str(tmp_path / "s"))
     assert key(streamed) == key(samples)
+
+
+def test_parts_are_closed_where_they_fit_and_doubled_where_not(spark, monkeypatch):
+    import random
+
+    rng = random.Random(4)
+    # Chains, cycles, trees and loops under random names, and one part that is too large for a task.
+    edges = {(f"c{i}-{j}", f"c{i}-{(j + 1) % 12}") for i in range(30) for j in range(12 - i % 2)}
+    edges |= {(f"t{rng.randint(0, 40)}", f"t{i}") for i in range(41, 90)} | {("loop", "loop")}
+    edges |= {(f"big{i}", f"big{rng.randint(0, 60)}") for i in range(60)} | {(f"big{i}", f"big{i + 1}") for i in range(60)}
+    for limit in (1024, 30):
+        monkeypatch.setattr(lineage, "PART_NODES", limit)
+        df = spark.createDataFrame([*edges, (None, "x"), ("x", None), *list(edges)[:50]], "source string, target string")
+        got = [tuple(r) for r in lineage.closure(df.repartition(5)).collect()]
+        next_to, want = {}, set()
+        for a, b in edges:
+            next_to.setdefault(a, set()).add(b)
+        for start in next_to:
+            waiting, seen = list(next_to[start]), set()
+            while waiting:
+                node = waiting.pop()
+                if node not in seen:
+                    seen.add(node)
+                    waiting += next_to.get(node, ())
+            want |= {(start, node) for node in seen}
+        assert len(got) == len(set(got)) and set(got) == want
+
+
+def test_closing_small_parts_stores_no_pairs(spark):
+    seen = []
+    chains = spark.range(6000).where("id % 60 < 59").selectExpr("id as source", "id + 1 as target")
+    real = lineage.stored
+    try:
+        lineage.stored = lambda df, purpose: (seen.append(out := real(df, purpose)), out)[1]
+        assert lineage.closure(chains).count() == 100 * 59 * 60 // 2
+    finally:
+        lineage.stored = real
+    assert max(t.count() for t in seen) <= 6000
